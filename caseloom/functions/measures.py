@@ -14,15 +14,15 @@ def safe_rate(part: Column, whole: Column) -> Column:
 
 
 def case_indicators(
-    result: Column = F.col("resultado_prueba"), status: Column = F.col("estatus_paciente")
+    result: str = "resultado_prueba", status: str = "estatus_paciente"
 ) -> dict[str, Column]:
     """The boolean columns every table counts."""
-    positive = result == POSITIVE
-    hospitalised = status == HOSPITALISED
-    deceased = status == DECEASED
+    positive = F.col(result) == POSITIVE
+    hospitalised = F.col(status) == HOSPITALISED
+    deceased = F.col(status) == DECEASED
     return {
         "positive": positive,
-        "negative": result == NEGATIVE,
+        "negative": F.col(result) == NEGATIVE,
         "hospitalised": hospitalised,
         "deceased": deceased,
         "positive_hospitalised": positive & hospitalised,

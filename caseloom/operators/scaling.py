@@ -82,33 +82,97 @@ def catalog_join(
     )
 
 
-def dense_index(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], output: str, staging: Staging
+def prefix_sum(
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    weight: Column,
+    output: str,
+    staging: Staging,
 ) -> DataFrame:
-    """Number the rows of each group from 0 in ``order``, for groups of any size.
+    """Sum of ``weight`` over the earlier rows of each group, for groups of any size.
 
     A plain window would sort a whole group in one task. Here rows are spread
-    by range of (group, order), numbered inside their range, and shifted by the
-    number of rows of the group in earlier ranges.
+    by range of (group, order), summed inside their range, and shifted by what
+    the group holds in earlier ranges. ``order`` must be unique in a group.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = staging.table(
-        df.repartitionByRange(ranges, *groups, *order).withColumn(
-            "_range", F.spark_partition_id()
-        ),
+        df.withColumn("_weight", weight.cast("bigint"))
+        .repartitionByRange(ranges, *groups, *order)
+        .withColumn("_range", F.spark_partition_id()),
         "ranges",
     )
     cell = ["_range", *groups]
-    earlier = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    ranges_before = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    rows_before = W.partitionBy(*cell).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    none = F.lit(0)
     offsets = (
         spread.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*cell, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+        .agg(F.sum("_weight").alias("_total"))
+        .select(*cell, F.coalesce(F.sum("_total").over(ranges_before), none).alias("_offset"))
     )
-    within = F.row_number().over(W.partitionBy(*cell).orderBy(*order)) - 1
     return (
-        spread.withColumn("_within", within)
+        spread.withColumn("_within", F.coalesce(F.sum("_weight").over(rows_before), none))
         .join(offsets, cell)
-        .withColumn(output, (F.col("_within") + F.col("_offset")).cast("bigint"))
-        .drop("_range", "_within", "_offset")
+        .withColumn(output, F.col("_within") + F.col("_offset"))
+        .drop("_range", "_weight", "_within", "_offset")
+    )
+
+
+def dense_index(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], output: str, staging: Staging
+) -> DataFrame:
+    """Number the rows of each group from 0 in ``order``."""
+    return prefix_sum(df, groups, order, F.lit(1), output, staging)
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], staging: Staging
+) -> DataFrame:
+    """``(column, share, value)``: interpolated quantiles of numeric columns.
+
+    Equal values are counted first; the counts are then summed up in value
+    order by range, so no task holds the values of a column.
+    """
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+            for c in columns
+        ]
+    )
+    counted = (
+        df.select(F.explode(pairs).alias("p"))
+        .filter("p.value IS NOT NULL")
+        .groupBy(F.col("p.column").alias("column"), F.col("p.value").alias("value"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    ranked = staging.table(
+        prefix_sum(counted, ["column"], ["value"], F.col("rows"), "before", staging), "ranked"
+    )
+    totals = ranked.groupBy("column").agg(F.sum("rows").alias("total"))
+    ranks = totals.select(
+        "column",
+        F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"),
+        (F.col("share") * (F.col("total") - 1)).alias("rank"),
+    )
+    low, high = F.floor("rank"), F.ceil("rank")
+
+    def value_at(rank: Column) -> Column:
+        inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("rows"))
+        return F.max(F.when(inside, F.col("value")))
+
+    # one row per column and share: a bounded side
+    return (
+        ranked.join(F.broadcast(ranks), "column")
+        .filter((F.col("before") <= high) & (F.col("before") + F.col("rows") > low))
+        .groupBy("column", "share", "rank")
+        .agg(value_at(low).alias("_low"), value_at(high).alias("_high"))
+        .select(
+            "column",
+            "share",
+            (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("rank") - low)).alias(
+                "value"
+            ),
+        )
     )
