@@ -41,7 +41,7 @@ def read_summary_or_none(spark: SparkSession, path: str, schema: StructType) ->
     """A one-object JSON summary, or None where it is absent or not valid JSON."""
     if not path_exists(spark, path):
         return None
-    guarded = StructType(schema.fields).add("_corrupt_record", "string")
+    guarded = StructType(list(schema.fields)).add("_corrupt_record", "string")
     summary = (
         spark.read.schema(guarded)
         .option("mode", "PERMISSIVE")
