@@ -6,7 +6,9 @@ A dirty cell is a pair of columns: its text and its kind, one of ``datetime``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import strip
@@ -29,15 +31,24 @@ def _try_formats(text: Column, formats: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.try_to_date(text, f) for f in formats]).cast("timestamp_ntz")
 
 
-def _parse_text(text: Column, policy: DatePolicy) -> Column:
-    clean = fix_year_typos(strip(text), policy)
-    slash = F.nullif(F.regexp_extract(clean, _SLASH_DATE, 1), F.lit(""))
-    iso = F.nullif(F.regexp_extract(clean, _ISO_DATE, 1), F.lit(""))
+def _found(text: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+
+
+def _clean(value: Column, kind: Column, policy: DatePolicy) -> Column:
+    return F.when(kind == "text", fix_year_typos(strip(value), policy))
+
+
+def _parse_cell(
+    value: Column, kind: Column, text: Column, slash: Column, iso: Column, policy: DatePolicy
+) -> Column:
     iso_formats = ("yyyy-d-M", "yyyy-M-d") if policy.iso_dayfirst else ("yyyy-M-d",)
     return (
-        F.when(slash.isNotNull(), _try_formats(slash, policy.slash_formats))
+        F.when(kind == "datetime", value.try_cast("timestamp_ntz"))
+        .when(kind == "number", _parse_serial(value))
+        .when(slash.isNotNull(), _try_formats(slash, policy.slash_formats))
         .when(iso.isNotNull(), _try_formats(iso, iso_formats))
-        .otherwise(_try_formats(clean, policy.other_formats))
+        .when(text.isNotNull(), _try_formats(text, policy.other_formats))
     )
 
 
@@ -49,13 +60,56 @@ def _parse_serial(number: Column) -> Column:
 
 
 def parse_date(value: Column, kind: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
-    """A cell as a timestamp, before any plausibility check; null if it is no date."""
-    return shift_year(
-        F.when(kind == "datetime", value.try_cast("timestamp_ntz"))
-        .when(kind == "number", _parse_serial(value))
-        .when(kind == "text", _parse_text(value, policy)),
-        policy,
-    )
+    """A cell as a timestamp, before any plausibility check; null if it is no date.
+
+    As one expression; for many rows :func:`parse_dates` repeats less work.
+    """
+    text = _clean(value, kind, policy)
+    slash, iso = _found(text, _SLASH_DATE), _found(text, _ISO_DATE)
+    return shift_year(_parse_cell(value, kind, text, slash, iso, policy), policy)
+
+
+def parse_dates(
+    df: DataFrame, cells: Mapping[str, Column], policy: DatePolicy = DEFAULT_DATES
+) -> DataFrame:
+    """Add the timestamp of each ``struct(v, kind)`` cell under its name.
+
+    Cleaning, search, parsing and year shift are a projection each, so a step
+    reads the one before as a column instead of repeating it.
+    """
+    for steps in (
+        {f"_{n}_cell": c for n, c in cells.items()},
+        {
+            f"_{n}_text": _clean(F.col(f"_{n}_cell.v"), F.col(f"_{n}_cell.kind"), policy)
+            for n in cells
+        },
+        {
+            f"_{n}_{form}": _found(F.col(f"_{n}_text"), pattern)
+            for n in cells
+            for form, pattern in (("slash", _SLASH_DATE), ("iso", _ISO_DATE))
+        },
+        {
+            f"_{n}_parsed": _parse_cell(
+                F.col(f"_{n}_cell.v"),
+                F.col(f"_{n}_cell.kind"),
+                *[F.col(f"_{n}_{part}") for part in ("text", "slash", "iso")],
+                policy,
+            )
+            for n in cells
+        },
+        {n: shift_year(F.col(f"_{n}_parsed"), policy) for n in cells},
+    ):
+        df = df.withColumns(steps)
+    scratch = ("cell", "text", "slash", "iso", "parsed")
+    return df.drop(*[f"_{n}_{part}" for n in cells for part in scratch])
+
+
+def read_dates(
+    df: DataFrame, cells: Mapping[str, Column], policy: DatePolicy = DEFAULT_DATES
+) -> DataFrame:
+    """As :func:`parse_dates`, each date checked: ``struct(value, is_anomaly)``."""
+    parsed = parse_dates(df, cells, policy)
+    return parsed.withColumns({n: check_date(F.col(n), policy) for n in cells})
 
 
 def shift_year(parsed: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
@@ -87,19 +141,20 @@ def read_date(value: Column, kind: Column, policy: DatePolicy = DEFAULT_DATES) -
     return check_date(parse_date(value, kind, policy), policy)
 
 
-def result_is_swapped(
-    result: Column, date_value: Column, date_kind: Column, policy: DatePolicy = DEFAULT_DATES
-) -> Column:
-    """The result column holds a plausible date while the date cell holds other text."""
+def mark_swapped(
+    df: DataFrame, result: str, date_cell: Column, output: str, policy: DatePolicy = DEFAULT_DATES
+) -> DataFrame:
+    """Flag rows whose result is a plausible date while the date cell holds other text."""
     text = F.lit("text")
-
-    def plausible(cell: Column) -> Column:
-        return F.coalesce(within_window(parse_date(cell, text, policy), policy), F.lit(False))
-
-    return F.coalesce(
-        result.isNotNull() & (date_kind == "text") & plausible(result) & ~plausible(date_value),
-        F.lit(False),
-    )
+    is_text = date_cell["kind"] == "text"
+    cells = {
+        "_as_result": F.struct(F.when(is_text, F.col(result)).alias("v"), text.alias("kind")),
+        "_as_date": F.struct(F.when(is_text, date_cell["v"]).alias("v"), text.alias("kind")),
+    }
+    parsed = parse_dates(df, cells, policy)
+    in_result, in_date = [F.coalesce(within_window(F.col(c), policy), F.lit(False)) for c in cells]
+    swapped = F.coalesce(is_text & in_result & ~in_date, F.lit(False))
+    return parsed.withColumn(output, swapped).drop(*cells)
 
 
 def swap_if(condition: Column, left: Column, right: Column) -> tuple[Column, Column]:

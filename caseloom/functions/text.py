@@ -139,19 +139,21 @@ def regex_cascade(
     """Apply replacement calls in order; each call is (patterns, value).
 
     Within a call a pattern fires where it matches the text the call started
-    with, and replaces only the matched part of the current text. Each call is
-    its own projection: as one nested expression the text of the previous call
-    would be repeated per pattern and grow exponentially.
+    with, and replaces only the matched part of the current text. A pattern that
+    refers to both is its own projection: nested, the text so far would be
+    repeated per pattern and the expression grow exponentially.
     """
+    text = F.col(column)
     for patterns, value in calls:
-        before = F.col(column)
-        text = before
         replacement = value.replace("\\", "\\\\").replace("$", "\\$")
-        for pattern in patterns:
-            text = F.when(
-                before.rlike(pattern), F.regexp_replace(text, pattern, replacement)
-            ).otherwise(text)
-        df = df.withColumn(column, text)
+        first, *others = patterns
+        start = df.withColumn("_before", text) if others else df
+        df = start.withColumn(column, F.regexp_replace(text, first, replacement))
+        for pattern in others:
+            replaced = F.regexp_replace(text, pattern, replacement)
+            fires = F.col("_before").rlike(pattern)
+            df = df.withColumn(column, F.when(fires, replaced).otherwise(text))
+        df = df.drop("_before")
     return df
 
 

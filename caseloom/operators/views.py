@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -68,20 +68,24 @@ def map_dimension(shapes: DataFrame, states: Sequence[str] = MAP_STATES) -> Data
     )
 
 
-def _with_map_name(table: DataFrame) -> DataFrame:
-    return table.withColumn("municipio_mapa", alias(F.col("municipio_residencia"), MAP_ALIASES))
+def _with_map_name(table: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
+    return table.withColumn("municipio_mapa", alias(F.col("municipio_residencia"), aliases))
 
 
-def geo_match(table: DataFrame, dimension: DataFrame) -> DataFrame:
+def geo_match(
+    table: DataFrame, dimension: DataFrame, aliases: Mapping[str, str] = MAP_ALIASES
+) -> DataFrame:
     """Rows of the municipal table that have a shape, with the name to draw by."""
     names = dimension.select(F.col("municipio_match").alias("municipio_mapa")).distinct()
-    return join_checked(_with_map_name(table), names, ["municipio_mapa"], "left_semi")
+    return join_checked(_with_map_name(table, aliases), names, ["municipio_mapa"], "left_semi")
 
 
-def geo_omitted(table: DataFrame, dimension: DataFrame) -> DataFrame:
+def geo_omitted(
+    table: DataFrame, dimension: DataFrame, aliases: Mapping[str, str] = MAP_ALIASES
+) -> DataFrame:
     """Municipalities without a shape, in order."""
     names = dimension.select(F.col("municipio_match").alias("municipio_mapa")).distinct()
-    without = join_checked(_with_map_name(table), names, ["municipio_mapa"], "left_anti")
+    without = join_checked(_with_map_name(table, aliases), names, ["municipio_mapa"], "left_anti")
     return without.select("municipio_residencia").distinct().orderBy("municipio_residencia")
 
 

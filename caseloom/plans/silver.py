@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.dates import read_date, result_is_swapped, swap_if
+from caseloom.functions.dates import mark_swapped, read_dates, swap_if
 from caseloom.functions.demography import age_by_sex_columns, read_age_sex
 from caseloom.functions.identity import coerce_text, project_without_pii, pseudonymize
 from caseloom.functions.text import default_if_empty, lookup
@@ -128,9 +128,8 @@ def clean_cases(bronze: DataFrame, policy: DatePolicy = DEFAULT_DATES) -> DataFr
     Each step is its own projection, so that a repaired cell is computed once.
     """
     result_date = F.col("fecha_resultado_raw")
-    swapped = bronze.withColumn(
-        "columnas_intercambiadas",
-        result_is_swapped(F.col("resultado_raw"), result_date["v"], result_date["kind"], policy),
+    swapped = mark_swapped(
+        bronze, "resultado_raw", result_date, "columnas_intercambiadas", policy
     )
     result, date_text = swap_if(
         F.col("columnas_intercambiadas"), F.col("resultado_raw"), result_date["v"]
@@ -151,12 +150,8 @@ def clean_cases(bronze: DataFrame, policy: DatePolicy = DEFAULT_DATES) -> DataFr
         "fecha_resultado": "_result_date",
         "fecha_ingreso_hospital": "fecha_ingreso_raw",
     }
-    dated = repaired.select(
-        "*",
-        *[
-            read_date(F.col(source)["v"], F.col(source)["kind"], policy).alias(f"_{name}")
-            for name, source in cells_of.items()
-        ],
+    dated = read_dates(
+        repaired, {f"_{name}": F.col(source) for name, source in cells_of.items()}, policy
     )
     anomalies = sum((F.col(f"_{d}.is_anomaly").cast("int") for d in DATE_COLUMNS), F.lit(0))
     return dated.select(

@@ -188,8 +188,14 @@ def test_dates(spark):
         dates.read_date,
         "v string, k string",
     )
-    for (value, kind, expected, anomaly), row in zip(DATE_VECTORS, got):
+    stepwise = dates.read_dates(
+        spark.createDataFrame([(v, k) for v, k, _, _ in DATE_VECTORS], "v string, kind string")
+        .repartition(1),
+        {"d": F.struct("v", "kind")},
+    ).collect()
+    for (value, kind, expected, anomaly), row, other in zip(DATE_VECTORS, got, stepwise):
         assert (row["value"], row["is_anomaly"]) == (expected, anomaly), (value, kind)
+        assert other["d"] == row
 
 
 def test_iso_dayfirst_switch(spark):
@@ -213,7 +219,10 @@ def test_result_swap(spark):
         (None, "NEGATIVO", "text"),
         ("24/03/2020", None, None),
     ]
-    got = column(spark, rows, dates.result_is_swapped, "r string, d string, k string")
+    df = spark.createDataFrame(rows, "r string, v string, kind string").repartition(1)
+    marked = dates.mark_swapped(df, "r", F.struct("v", "kind"), "swapped")
+    assert marked.columns == [*df.columns, "swapped"]
+    got = [r.swapped for r in marked.collect()]
     assert got == [True, False, False, False, True, False, False]
 
 
