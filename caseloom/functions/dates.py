@@ -16,6 +16,7 @@ from caseloom.settings import DEFAULT_DATES, DatePolicy
 
 _SLASH_DATE = r"(\d{1,2}/\d{1,2}/\d{2,4})"
 _ISO_DATE = r"(\d{4}-\d{1,2}-\d{1,2})"
+_WHOLE_DATE = r"^(\d{1,2}[.-]\d{1,2}[.-]\d{4})$"
 _US_PER_DAY = 86_400_000_000
 # Spreadsheet day numbers outside this range have no timestamp (years 1 to 9999)
 _SERIAL_RANGE = (-693_593, 2_958_465)
@@ -27,10 +28,6 @@ def fix_year_typos(text: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
     return text
 
 
-def _try_formats(text: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats]).cast("timestamp_ntz")
-
-
 def _found(text: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
@@ -39,16 +36,49 @@ def _clean(value: Column, kind: Column, policy: DatePolicy) -> Column:
     return F.when(kind == "text", fix_year_typos(strip(value), policy))
 
 
-def _parse_cell(
-    value: Column, kind: Column, text: Column, slash: Column, iso: Column, policy: DatePolicy
-) -> Column:
-    iso_formats = ("yyyy-d-M", "yyyy-M-d") if policy.iso_dayfirst else ("yyyy-M-d",)
+def _search(text: Column) -> Column:
+    """The numbers of the first date in a text, and which of them is the year."""
+    slash, iso, whole = (_found(text, p) for p in (_SLASH_DATE, _ISO_DATE, _WHOLE_DATE))
+    return F.when(slash.isNotNull(), _numbers(slash, year=2)).otherwise(
+        F.when(iso.isNotNull(), _numbers(iso, year=0)).otherwise(_numbers(whole, year=2))
+    )
+
+
+def _numbers(found: Column, year: int) -> Column:
+    numbers = F.split(found, "[/.-]")
+    return F.when(
+        found.isNotNull(),
+        F.struct(
+            F.get(numbers, F.lit(year)).alias("year"),
+            F.get(numbers, F.lit(0 if year else 1)).cast("int").alias("first"),
+            F.get(numbers, F.lit(1 if year else 2)).cast("int").alias("second"),
+            F.lit(year == 0).alias("iso"),
+        ),
+    )
+
+
+def _assemble(date: Column, policy: DatePolicy) -> Column:
+    """A timestamp from year and two numbers: day before month, or month before
+    day after a leading year; the other way round where only that can be."""
+    first, second = date["first"], date["second"]
+    typed = date["year"].cast("int")
+    year = F.when(F.length(date["year"]) == 4, typed).when(
+        F.length(date["year"]) == 2, typed + 2000
+    )
+    month_first = F.when(date["iso"] & ~F.lit(policy.iso_dayfirst), first <= 12).otherwise(
+        second > 12
+    )
+    month = F.when(month_first, first).otherwise(second)
+    day = F.when(month_first, second).otherwise(first)
+    midnight = F.lit(0)
+    return F.try_make_timestamp_ntz(year, month, day, midnight, midnight, midnight)
+
+
+def _parse_cell(value: Column, kind: Column, date: Column, policy: DatePolicy) -> Column:
     return (
         F.when(kind == "datetime", value.try_cast("timestamp_ntz"))
         .when(kind == "number", _parse_serial(value))
-        .when(slash.isNotNull(), _try_formats(slash, policy.slash_formats))
-        .when(iso.isNotNull(), _try_formats(iso, iso_formats))
-        .when(text.isNotNull(), _try_formats(text, policy.other_formats))
+        .when(date.isNotNull(), _assemble(date, policy))
     )
 
 
@@ -64,9 +94,8 @@ def parse_date(value: Column, kind: Column, policy: DatePolicy = DEFAULT_DATES)
 
     As one expression; for many rows :func:`parse_dates` repeats less work.
     """
-    text = _clean(value, kind, policy)
-    slash, iso = _found(text, _SLASH_DATE), _found(text, _ISO_DATE)
-    return shift_year(_parse_cell(value, kind, text, slash, iso, policy), policy)
+    date = _search(_clean(value, kind, policy))
+    return shift_year(_parse_cell(value, kind, date, policy), policy)
 
 
 def parse_dates(
@@ -83,25 +112,17 @@ def parse_dates(
             f"_{n}_text": _clean(F.col(f"_{n}_cell.v"), F.col(f"_{n}_cell.kind"), policy)
             for n in cells
         },
-        {
-            f"_{n}_{form}": _found(F.col(f"_{n}_text"), pattern)
-            for n in cells
-            for form, pattern in (("slash", _SLASH_DATE), ("iso", _ISO_DATE))
-        },
+        {f"_{n}_date": _search(F.col(f"_{n}_text")) for n in cells},
         {
             f"_{n}_parsed": _parse_cell(
-                F.col(f"_{n}_cell.v"),
-                F.col(f"_{n}_cell.kind"),
-                *[F.col(f"_{n}_{part}") for part in ("text", "slash", "iso")],
-                policy,
+                F.col(f"_{n}_cell.v"), F.col(f"_{n}_cell.kind"), F.col(f"_{n}_date"), policy
             )
             for n in cells
         },
         {n: shift_year(F.col(f"_{n}_parsed"), policy) for n in cells},
     ):
         df = df.withColumns(steps)
-    scratch = ("cell", "text", "slash", "iso", "parsed")
-    return df.drop(*[f"_{n}_{part}" for n in cells for part in scratch])
+    return df.drop(*[f"_{n}_{part}" for n in cells for part in ("cell", "text", "date", "parsed")])
 
 
 def read_dates(

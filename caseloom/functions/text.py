@@ -12,10 +12,7 @@ from pyspark.sql import functions as F
 
 TILDE = "\u0303"
 # What counts as white space when words are split
-_WHITESPACE = (
-    r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+_WHITESPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
 
 
 @lru_cache(maxsize=None)
@@ -63,7 +60,9 @@ def _tilde_pairs() -> tuple[tuple[str, str], ...]:
 
 def _strip_marks(text: Column, form: str, keep: str) -> Column:
     source, target = _folding(form, keep)
-    return F.regexp_replace(F.translate(text, source, target), _mark_pattern(keep), "")
+    folded = F.regexp_replace(F.translate(text, source, target), _mark_pattern(keep), "")
+    is_ascii = F.octet_length(text) == F.length(text)
+    return F.when(is_ascii, text).otherwise(folded)
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -72,7 +71,8 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim white space of any kind from both ends."""
-    return F.regexp_replace(text, f"^{_WHITESPACE}|{_WHITESPACE}$", "")
+    spaces = r"[\s\x{1c}-\x{1f}]+"
+    return F.regexp_replace(text, f"(?U)^{spaces}|{spaces}$", "")
 
 
 def normalize_text(text: Column) -> Column:
@@ -83,9 +83,10 @@ def normalize_text(text: Column) -> Column:
 def normalize_person_name(text: Column) -> Column:
     """As :func:`normalize_text`, but a tilde stays on its letter (``Ñ``)."""
     folded = _strip_marks(F.upper(text), "NFD", TILDE)
-    for pair, composed in _tilde_pairs():
-        folded = F.replace(folded, F.lit(pair), F.lit(composed))
-    return collapse_spaces(folded)
+    composed = folded
+    for pair, letter in _tilde_pairs():
+        composed = F.replace(composed, F.lit(pair), F.lit(letter))
+    return collapse_spaces(F.when(F.contains(folded, F.lit(TILDE)), composed).otherwise(folded))
 
 
 def normalize_map_name(text: Column) -> Column:
@@ -99,7 +100,9 @@ def lookup(value: Column, catalog: Mapping[str, str], default: str) -> Column:
     Anything unknown, and null, becomes ``default``. Meant for catalogs of up
     to a few hundred entries; see ``operators.scaling.catalog_join`` for more.
     """
-    return _literal_map(normalize_text(value), catalog, F.lit(default))
+    # A value that is a key as it stands needs no normalising
+    cleaned = _literal_map(normalize_text(value), catalog, F.lit(default))
+    return _literal_map(value, catalog, cleaned)
 
 
 def alias(value: Column, names: Mapping[str, str]) -> Column:

@@ -55,6 +55,17 @@ def _micros(timestamp: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), timestamp)
 
 
+def _span(at: Column, window_days: int) -> Column:
+    """Number of the span of days a time lies in; spans are as long as the reach."""
+    return F.floor(at / F.lit((window_days + 1) * DAY_US)).cast("int")
+
+
+def _explode_spans(at: Column, window_days: int) -> Column:
+    """The spans, three at most, that hold every time within the window."""
+    back, ahead = window_days * DAY_US, (window_days + 1) * DAY_US
+    return F.explode(F.sequence(_span(at - back, window_days), _span(at + ahead, window_days)))
+
+
 # ---------------------------------------------------------------------------
 # Candidates: counts and nearest distance, without listing pairs
 # ---------------------------------------------------------------------------
@@ -64,7 +75,7 @@ def link_candidates(
     """Per notification: admissions of its key within the window, and the least days.
 
     Both sides are first reduced to distinct (key, time) cells, which meet on
-    (key, day); so many rows of one key and day cost one cell.
+    (key, span of days); so many rows of one key and time cost one cell.
     """
     keys, window = list(options.keys), options.window_days
     times = notifications.groupBy(*keys, F.col(options.notified).alias("_start")).agg(
@@ -73,14 +84,12 @@ def link_candidates(
     cells = (
         admissions.groupBy(*keys, F.col(options.admitted).alias("_end"))
         .agg(F.count(F.lit(1)).alias("_admissions"))
-        .withColumn("_day", F.to_date("_end"))
+        .withColumn("_span", _span(_micros(F.col("_end")), window))
     )
-    start_day = F.to_date("_start")
-    days = F.sequence(F.date_sub(start_day, window + 1), F.date_add(start_day, window + 1))
-    reached = times.withColumn("_day", F.explode(days))
+    reached = times.withColumn("_span", _explode_spans(_micros(F.col("_start")), window))
     distance = elapsed_days(F.col("_start"), F.col("_end"))
     nearest = (
-        reached.join(cells, [*keys, "_day"])
+        reached.join(cells, [*keys, "_span"])
         .withColumn("_days", distance)
         .filter(F.col("_days") <= window)
         .groupBy(*keys, "_start")
@@ -248,17 +257,16 @@ def _match_hot(
     state = staging.table(
         admitted.groupBy("_key", "cell")
         .agg(F.count(F.lit(1)).alias("capacity"))
-        .withColumn("day", F.floor(F.col("cell") / day).cast("int"))
+        .withColumn("span", _span(F.col("cell"), options.window_days))
         .withColumn("consumed", F.lit(0).cast("bigint")),
         "hot-cells",
     )
 
     # A chunk shrinks where its notifications can see many cells, so that it
     # never asks for more than ``chunk_cells`` admissions at once.
-    reach = options.window_days + 1
-    around = W.partitionBy("_key").orderBy("day").rangeBetween(-2 * reach, 0)
+    around = W.partitionBy("_key").orderBy("span").rangeBetween(-2, 0)
     visible = (
-        state.groupBy("_key", "day")
+        state.groupBy("_key", "span")
         .agg(F.count(F.lit(1)).alias("_cells"))
         .withColumn("_cells", F.sum("_cells").over(around))
         .groupBy("_key")
@@ -281,18 +289,17 @@ def _match_hot(
         return None
 
     fold = _fold_chunk(options.window_days)
-    at_day = F.floor(F.col("at") / day).cast("int")
     found_path = staging.path("matches")
     for number in range(last + 1):
         chunk = numbered.filter(F.col("chunk") == number).select("_key", "n_seq", "at")
         seekers = (
             chunk.groupBy("_key", "at")
             .agg(F.count(F.lit(1)).alias("_seekers"))
-            .withColumn("day", F.explode(F.sequence(at_day - reach, at_day + reach)))
+            .withColumn("span", _explode_spans(F.col("at"), options.window_days))
         )
         # No more admissions of a cell can be asked for than there are seekers
         demand = (
-            seekers.join(state, ["_key", "day"])
+            seekers.join(state, ["_key", "span"])
             .groupBy("_key", "cell", "capacity", "consumed")
             .agg(F.sum("_seekers").alias("_demand"))
         )
@@ -318,7 +325,7 @@ def _match_hot(
                 "_key",
                 "cell",
                 "capacity",
-                "day",
+                "span",
                 (F.col("consumed") + F.coalesce("_used", F.lit(0))).alias("consumed"),
             ),
             f"consumed-{number}",
