@@ -16,7 +16,7 @@ from caseloom.settings import DEFAULT_DATES, DatePolicy
 
 _SLASH_DATE = r"(\d{1,2}/\d{1,2}/\d{2,4})"
 _ISO_DATE = r"(\d{4}-\d{1,2}-\d{1,2})"
-_WHOLE_DATE = r"^(\d{1,2}[.-]\d{1,2}[.-]\d{4})$"
+_WHOLE_DATE = r"^(\d{1,2})[.-](\d{1,2})[.-](\d{4})$"
 _US_PER_DAY = 86_400_000_000
 # Spreadsheet day numbers outside this range have no timestamp (years 1 to 9999)
 _SERIAL_RANGE = (-693_593, 2_958_465)
@@ -28,58 +28,29 @@ def fix_year_typos(text: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
     return text
 
 
-def _found(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-
-
 def _clean(value: Column, kind: Column, policy: DatePolicy) -> Column:
     return F.when(kind == "text", fix_year_typos(strip(value), policy))
 
 
-def _search(text: Column) -> Column:
-    """The numbers of the first date in a text, and which of them is the year."""
-    slash, iso, whole = (_found(text, p) for p in (_SLASH_DATE, _ISO_DATE, _WHOLE_DATE))
-    return F.when(slash.isNotNull(), _numbers(slash, year=2)).otherwise(
-        F.when(iso.isNotNull(), _numbers(iso, year=0)).otherwise(_numbers(whole, year=2))
-    )
-
-
-def _numbers(found: Column, year: int) -> Column:
-    numbers = F.split(found, "[/.-]")
-    return F.when(
-        found.isNotNull(),
-        F.struct(
-            F.get(numbers, F.lit(year)).alias("year"),
-            F.get(numbers, F.lit(0 if year else 1)).cast("int").alias("first"),
-            F.get(numbers, F.lit(1 if year else 2)).cast("int").alias("second"),
-            F.lit(year == 0).alias("iso"),
-        ),
-    )
-
-
-def _assemble(date: Column, policy: DatePolicy) -> Column:
-    """A timestamp from year and two numbers: day before month, or month before
-    day after a leading year; the other way round where only that can be."""
-    first, second = date["first"], date["second"]
-    typed = date["year"].cast("int")
-    year = F.when(F.length(date["year"]) == 4, typed).when(
-        F.length(date["year"]) == 2, typed + 2000
-    )
-    month_first = F.when(date["iso"] & ~F.lit(policy.iso_dayfirst), first <= 12).otherwise(
-        second > 12
+def _year_first(slash: Column, iso: Column, text: Column) -> Column:
+    """A date found in a text, rewritten as ``y-m-d``; two-digit years are 20xx."""
+    four_digits = F.regexp_replace(slash, r"/(\d\d)$", "/20$1")
+    return (
+        F.when(slash != "", F.regexp_replace(four_digits, r"^(\d+)/(\d+)/(\d+)$", "$3-$2-$1"))
+        .when(iso != "", iso)
+        .when(text.rlike(_WHOLE_DATE), F.regexp_replace(text, _WHOLE_DATE, "$3-$2-$1"))
     )
-    month = F.when(month_first, first).otherwise(second)
-    day = F.when(month_first, second).otherwise(first)
-    midnight = F.lit(0)
-    return F.try_make_timestamp_ntz(year, month, day, midnight, midnight, midnight)
 
 
-def _parse_cell(value: Column, kind: Column, date: Column, policy: DatePolicy) -> Column:
-    return (
-        F.when(kind == "datetime", value.try_cast("timestamp_ntz"))
-        .when(kind == "number", _parse_serial(value))
-        .when(date.isNotNull(), _assemble(date, policy))
-    )
+def _read_year_first(date: Column, iso: Column, policy: DatePolicy) -> Column:
+    """The date as written, or with day and month exchanged where only that exists."""
+    exchanged = F.regexp_replace(date, r"^(\d+)-(\d+)-(\d+)$", "$1-$3-$2")
+    as_written, other = (d.try_cast("timestamp_ntz") for d in (date, exchanged))
+    if policy.iso_dayfirst:
+        return F.when(iso != "", F.coalesce(other, as_written)).otherwise(
+            F.coalesce(as_written, other)
+        )
+    return F.coalesce(as_written, other)
 
 
 def _parse_serial(number: Column) -> Column:
@@ -89,40 +60,47 @@ def _parse_serial(number: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, origin)
 
 
-def parse_date(value: Column, kind: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
-    """A cell as a timestamp, before any plausibility check; null if it is no date.
-
-    As one expression; for many rows :func:`parse_dates` repeats less work.
-    """
-    date = _search(_clean(value, kind, policy))
-    return shift_year(_parse_cell(value, kind, date, policy), policy)
-
-
 def parse_dates(
     df: DataFrame, cells: Mapping[str, Column], policy: DatePolicy = DEFAULT_DATES
 ) -> DataFrame:
-    """Add the timestamp of each ``struct(v, kind)`` cell under its name.
+    """Add the timestamp of each ``struct(v, kind)`` cell under its name; null if it
+    is no date. Nothing is dropped for being implausible yet.
 
-    Cleaning, search, parsing and year shift are a projection each, so a step
-    reads the one before as a column instead of repeating it.
+    A text is searched for ``d/m/y``, else ``y-m-d``, else read as a whole. Each
+    step is a projection of its own, so that it reads the one before as a column
+    instead of repeating it.
     """
-    for steps in (
-        {f"_{n}_cell": c for n, c in cells.items()},
-        {
+
+    def of(name: str, part: str) -> Column:
+        return F.col(f"_{name}_{part}")
+
+    def parse(name: str) -> Column:
+        value, kind = F.col(f"_{name}_cell.v"), F.col(f"_{name}_cell.kind")
+        return (
+            F.when(kind == "datetime", value.try_cast("timestamp_ntz"))
+            .when(kind == "number", _parse_serial(value))
+            .otherwise(_read_year_first(of(name, "date"), of(name, "iso"), policy))
+        )
+
+    steps = (
+        lambda n: {f"_{n}_cell": cells[n]},
+        lambda n: {
             f"_{n}_text": _clean(F.col(f"_{n}_cell.v"), F.col(f"_{n}_cell.kind"), policy)
-            for n in cells
         },
-        {f"_{n}_date": _search(F.col(f"_{n}_text")) for n in cells},
-        {
-            f"_{n}_parsed": _parse_cell(
-                F.col(f"_{n}_cell.v"), F.col(f"_{n}_cell.kind"), F.col(f"_{n}_date"), policy
+        lambda n: {f"_{n}_slash": F.regexp_extract(of(n, "text"), _SLASH_DATE, 1)},
+        lambda n: {
+            f"_{n}_iso": F.when(
+                of(n, "slash") == "", F.regexp_extract(of(n, "text"), _ISO_DATE, 1)
             )
-            for n in cells
         },
-        {n: shift_year(F.col(f"_{n}_parsed"), policy) for n in cells},
-    ):
-        df = df.withColumns(steps)
-    return df.drop(*[f"_{n}_{part}" for n in cells for part in ("cell", "text", "date", "parsed")])
+        lambda n: {f"_{n}_date": _year_first(of(n, "slash"), of(n, "iso"), of(n, "text"))},
+        lambda n: {f"_{n}_parsed": parse(n)},
+        lambda n: {n: shift_year(of(n, "parsed"), policy)},
+    )
+    for step in steps:
+        df = df.withColumns({k: v for n in cells for k, v in step(n).items()})
+    scratch = ("cell", "text", "slash", "iso", "date", "parsed")
+    return df.drop(*[f"_{n}_{part}" for n in cells for part in scratch])
 
 
 def read_dates(
@@ -157,11 +135,6 @@ def check_date(parsed: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
     )
 
 
-def read_date(value: Column, kind: Column, policy: DatePolicy = DEFAULT_DATES) -> Column:
-    """Parse and check in one go: ``struct(value, is_anomaly)``."""
-    return check_date(parse_date(value, kind, policy), policy)
-
-
 def mark_swapped(
     df: DataFrame, result: str, date_cell: Column, output: str, policy: DatePolicy = DEFAULT_DATES
 ) -> DataFrame:

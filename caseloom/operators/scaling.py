@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -15,6 +19,17 @@ from caseloom.functions.text import normalize_text
 BROADCAST_ROWS = 100_000
 
 
+def together(tasks: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Run independent jobs at the same time, so that small ones fill idle cores."""
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(task))
+            for name, task in tasks.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
 class Staging:
     """Intermediate tables in the cluster's shared checkpoint folder.
 
@@ -30,11 +45,10 @@ class Staging:
             spark.conf.set("spark.checkpoint.dir", base)
         self.spark = spark
         self.root = f"{base.rstrip('/')}/caseloom-{uuid.uuid4().hex}"
-        self._tables = 0
+        self._numbers = itertools.count(1)
 
     def path(self, name: str) -> str:
-        self._tables += 1
-        return f"{self.root}/{self._tables:03d}-{name}"
+        return f"{self.root}/{next(self._numbers):03d}-{name}"
 
     def table(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write ``df`` and return it as a scan of what was written."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from caseloom.operators.cubes import (
 )
 from caseloom.operators.kpi import kpi_row
 from caseloom.operators.quality import assert_reconciled, reconcile
-from caseloom.operators.scaling import Staging
+from caseloom.operators.scaling import Staging, together
 from caseloom.operators.series import case_series
 from caseloom.plans.silver import SILVER_COLUMNS
 from caseloom.settings import DEFAULT_DATES, DatePolicy
@@ -57,17 +58,25 @@ def build_gold(
     municipal table and the KPIs are computed from them.
     """
     staging = staging or Staging(cases.sparkSession)
-    base = staging.table(case_base(cases), "case-base")
-    stamped = kpi_row(base, BASE_WEIGHT).withColumn("timestamp_generacion", _utc_now())
+    series = case_series(cases, policy.first_day, policy.last_day)
+    scans = together(
+        {
+            "base": lambda: staging.table(case_base(cases), "case-base"),
+            "series": lambda: staging.table(series, "series"),
+        }
+    )
+    base = scans["base"]
     tables = {
         "demographic": demographic_cube(base, weight=BASE_WEIGHT),
-        "series": case_series(cases, policy.first_day, policy.last_day),
         "municipal": municipal_table(base, BASE_WEIGHT),
         "insurance": insurance_cube(base, BASE_WEIGHT),
-        "kpis": stamped,
+        "kpis": kpi_row(base, BASE_WEIGHT).withColumn("timestamp_generacion", _utc_now()),
     }
     # They are read again to reconcile and to write, and are small.
-    return GoldTables(**{name: staging.table(df, name) for name, df in tables.items()})
+    stored = together(
+        {name: partial(staging.table, df, name) for name, df in tables.items()}
+    )
+    return GoldTables(series=scans["series"], **stored)
 
 
 def _utc_now():
@@ -91,9 +100,12 @@ def check_gold(cases: DataFrame, tables: GoldTables, policy: DatePolicy = DEFAUL
 
 
 def write_gold(tables: GoldTables, folder: str) -> None:
-    for name, file in TABLE_FILES.items():
-        write_table(getattr(tables, name), f"{folder}/{file}")
-    write_summary(tables.kpis, f"{folder}/{SUMMARY_FILE}")
+    writes = {
+        name: partial(write_table, getattr(tables, name), f"{folder}/{file}")
+        for name, file in TABLE_FILES.items()
+    }
+    writes["summary"] = partial(write_summary, tables.kpis, f"{folder}/{SUMMARY_FILE}")
+    together(writes)
 
 
 def run_gold(

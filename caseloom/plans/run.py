@@ -20,6 +20,7 @@ from caseloom.plans.silver import (
     ingest_registries,
     unify_cases,
 )
+from caseloom.session import tune
 from caseloom.settings import DEFAULT_DATES, DatePolicy
 from caseloom.sources.tables import write_summary, write_table
 
@@ -43,7 +44,7 @@ def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"]
     Each layer is read back from what was written, so that later steps prune
     columns and a lost executor costs no more than its own tasks.
     """
-    staging = Staging(spark)
+    staging = Staging(tune(spark))
     bronze, counts = ingest_registries(
         spark.read.parquet(config.cells_path), config.registries, staging
     )
@@ -64,7 +65,7 @@ def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"]
 
 def run_stored_silver(spark: SparkSession, silver_path: str, folder: str) -> int:
     """Tables from stored cases; the exit code tells what went wrong."""
-    staging = Staging(spark)
+    staging = Staging(tune(spark))
     try:
         cases = load_silver(spark, silver_path)
     except (FileNotFoundError, SchemaMismatch) as error:

@@ -13,6 +13,7 @@ from caseloom.functions import dates, demography, identity, measures, text
 from caseloom.operators import cubes, kpi, profile, quality, scaling, series, views
 from caseloom.operators.linkage import LinkOptions, link_candidates, link_rows
 from caseloom.plans.silver import clean_cases, unify_cases
+from caseloom.session import tune
 from caseloom.sources import landing
 from caseloom.workloads import proxy
 
@@ -815,3 +816,13 @@ def describe(spark, sf):
     return summary.select(
         *[F.round(c, 4).alias(c) if c in rounded else F.col(c) for c in summary.columns]
     )
+
+
+def _tuned(function: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return function(tune(spark), sf)
+
+    return run
+
+
+QUERIES = {name: _tuned(function) for name, function in QUERIES.items()}

@@ -181,32 +181,23 @@ DATE_VECTORS = [
 ]
 
 
+def read_dates(spark, cells, policy=settings.DEFAULT_DATES):
+    df = spark.createDataFrame(cells, "v string, kind string").repartition(1)
+    read = dates.read_dates(df, {"d": F.struct("v", "kind")}, policy)
+    assert read.columns == ["v", "kind", "d"]
+    return [tuple(r.d) for r in read.collect()]
+
+
 def test_dates(spark):
-    got = column(
-        spark,
-        [(v, k) for v, k, _, _ in DATE_VECTORS],
-        dates.read_date,
-        "v string, k string",
-    )
-    stepwise = dates.read_dates(
-        spark.createDataFrame([(v, k) for v, k, _, _ in DATE_VECTORS], "v string, kind string")
-        .repartition(1),
-        {"d": F.struct("v", "kind")},
-    ).collect()
-    for (value, kind, expected, anomaly), row, other in zip(DATE_VECTORS, got, stepwise):
-        assert (row["value"], row["is_anomaly"]) == (expected, anomaly), (value, kind)
-        assert other["d"] == row
+    got = read_dates(spark, [(v, k) for v, k, _, _ in DATE_VECTORS])
+    for (value, kind, expected, anomaly), date_read in zip(DATE_VECTORS, got):
+        assert date_read == (expected, anomaly), (value, kind)
 
 
 def test_iso_dayfirst_switch(spark):
     policy = settings.DatePolicy(iso_dayfirst=True)
-    got = column(
-        spark,
-        [("2020-03-09", "text"), ("2020-03-24", "text")],
-        lambda v, k: dates.parse_date(v, k, policy),
-        "v string, k string",
-    )
-    assert got == [datetime(2020, 9, 3), datetime(2020, 3, 24)]
+    got = read_dates(spark, [("2020-03-09", "text"), ("2020-03-24", "text")], policy)
+    assert [d for d, _ in got] == [datetime(2020, 9, 3), datetime(2020, 3, 24)]
 
 
 def test_result_swap(spark):
@@ -311,8 +302,5 @@ def test_elapsed_days_floor_before_the_absolute_value(spark):
 
 def test_window_is_a_parameter(spark):
     policy = settings.DatePolicy(first_day=date(1995, 1, 1), last_day=date(2001, 12, 31))
-    got = column(
-        spark, [("1999-05-01", "text"), ("2020-05-01", "text")],
-        lambda v, k: dates.read_date(v, k, policy), "v string, k string",
-    )
-    assert [tuple(r) for r in got] == [(datetime(1999, 5, 1), False), (None, True)]
+    got = read_dates(spark, [("1999-05-01", "text"), ("2020-05-01", "text")], policy)
+    assert got == [(datetime(1999, 5, 1), False), (None, True)]
