@@ -47,7 +47,8 @@ def _read_year_first(date: Column, iso: Column, policy: DatePolicy) -> Column:
     exchanged = F.regexp_replace(date, r"^(\d+)-(\d+)-(\d+)$", "$1-$3-$2")
     as_written, other = (d.try_cast("timestamp_ntz") for d in (date, exchanged))
     if policy.iso_dayfirst:
-        return F.when(iso != "", F.coalesce(other, as_written)).otherwise(
+        # a year-first text with no slash date before it
+        return F.when(iso == date, F.coalesce(other, as_written)).otherwise(
             F.coalesce(as_written, other)
         )
     return F.coalesce(as_written, other)
@@ -75,7 +76,7 @@ def parse_dates(
         return F.col(f"_{name}_{part}")
 
     def parse(name: str) -> Column:
-        value, kind = F.col(f"_{name}_cell.v"), F.col(f"_{name}_cell.kind")
+        value, kind = cells[name]["v"], cells[name]["kind"]
         return (
             F.when(kind == "datetime", value.try_cast("timestamp_ntz"))
             .when(kind == "number", _parse_serial(value))
@@ -83,15 +84,10 @@ def parse_dates(
         )
 
     steps = (
-        lambda n: {f"_{n}_cell": cells[n]},
+        lambda n: {f"_{n}_text": _clean(cells[n]["v"], cells[n]["kind"], policy)},
         lambda n: {
-            f"_{n}_text": _clean(F.col(f"_{n}_cell.v"), F.col(f"_{n}_cell.kind"), policy)
-        },
-        lambda n: {f"_{n}_slash": F.regexp_extract(of(n, "text"), _SLASH_DATE, 1)},
-        lambda n: {
-            f"_{n}_iso": F.when(
-                of(n, "slash") == "", F.regexp_extract(of(n, "text"), _ISO_DATE, 1)
-            )
+            f"_{n}_slash": F.regexp_extract(of(n, "text"), _SLASH_DATE, 1),
+            f"_{n}_iso": F.regexp_extract(of(n, "text"), _ISO_DATE, 1),
         },
         lambda n: {f"_{n}_date": _year_first(of(n, "slash"), of(n, "iso"), of(n, "text"))},
         lambda n: {f"_{n}_parsed": parse(n)},
@@ -99,7 +95,7 @@ def parse_dates(
     )
     for step in steps:
         df = df.withColumns({k: v for n in cells for k, v in step(n).items()})
-    scratch = ("cell", "text", "slash", "iso", "date", "parsed")
+    scratch = ("text", "slash", "iso", "date", "parsed")
     return df.drop(*[f"_{n}_{part}" for n in cells for part in scratch])
 
 
@@ -139,16 +135,16 @@ def mark_swapped(
     df: DataFrame, result: str, date_cell: Column, output: str, policy: DatePolicy = DEFAULT_DATES
 ) -> DataFrame:
     """Flag rows whose result is a plausible date while the date cell holds other text."""
-    text = F.lit("text")
-    is_text = date_cell["kind"] == "text"
+    # Few results hold digits; the others are no dates and nothing is parsed
+    is_text = (date_cell["kind"] == "text") & F.col(result).rlike("[0-9]")
+    names = ("_result_date", "_cell_date")
     cells = {
-        "_as_result": F.struct(F.when(is_text, F.col(result)).alias("v"), text.alias("kind")),
-        "_as_date": F.struct(F.when(is_text, date_cell["v"]).alias("v"), text.alias("kind")),
+        name: F.struct(F.when(is_text, v).alias("v"), F.lit("text").alias("kind"))
+        for name, v in zip(names, (F.col(result), date_cell["v"]))
     }
     parsed = parse_dates(df, cells, policy)
-    in_result, in_date = [F.coalesce(within_window(F.col(c), policy), F.lit(False)) for c in cells]
-    swapped = F.coalesce(is_text & in_result & ~in_date, F.lit(False))
-    return parsed.withColumn(output, swapped).drop(*cells)
+    in_result, in_cell = [F.coalesce(within_window(F.col(n), policy), F.lit(False)) for n in names]
+    return parsed.withColumn(output, in_result & ~in_cell).drop(*names)
 
 
 def swap_if(condition: Column, left: Column, right: Column) -> tuple[Column, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import strip
@@ -13,14 +13,20 @@ _DIGITS = r"[0-9]+"
 
 def parse_age(text: Column) -> Column:
     """Years; newborns and ages given in months or days are 0, no digits is null."""
-    cell = F.upper(strip(text))
+    return _age(F.upper(strip(text)))
+
+
+def parse_sex(text: Column) -> Column:
+    return _sex(F.upper(strip(text)))
+
+
+def _age(cell: Column) -> Column:
     infant = (cell == "RN") | cell.rlike(r"^[0-9]+\s*[MD]$")
     first_number = F.regexp_extract(cell, f"({_DIGITS})", 1).try_cast("double")
     return F.when(infant, F.lit(0.0)).otherwise(first_number)
 
 
-def parse_sex(text: Column) -> Column:
-    cell = F.upper(strip(text))
+def _sex(cell: Column) -> Column:
     return (
         F.when(cell.isNull() | (cell == ""), F.lit("INDETERMINADO"))
         .when(cell.isin("F", "M"), cell)
@@ -28,22 +34,28 @@ def parse_sex(text: Column) -> Column:
     )
 
 
-def age_is_swapped(age: Column, sex: Column) -> Column:
-    """The age cell holds a sex code while the sex cell looks like an age."""
-    sex_cell = F.upper(strip(sex))
-    looks_like_age = (sex_cell == "RN") | sex_cell.rlike(_DIGITS)
-    return F.coalesce(F.upper(strip(age)).isin("F", "M") & looks_like_age, F.lit(False))
-
-
-def read_age_sex(age: Column, sex: Column) -> Column:
-    """``struct(edad, sexo)`` after repair; an unknown age is -1."""
-    swapped = age_is_swapped(age, sex)
-    age_cell = F.when(swapped, sex).otherwise(age)
-    sex_cell = F.when(swapped, age).otherwise(sex)
-    return F.struct(
-        F.coalesce(parse_age(age_cell), F.lit(UNKNOWN_AGE)).alias("edad"),
-        parse_sex(sex_cell).alias("sexo"),
+def read_age_sex(
+    df: DataFrame, age: str, sex: str, age_output: str = "edad", sex_output: str = "sexo"
+) -> DataFrame:
+    """Add age and sex, exchanged first where the age cell holds a sex code while
+    the sex cell looks like an age; an unknown age is -1."""
+    cells = df.withColumns(
+        {"_age": F.upper(strip(F.col(age))), "_sex": F.upper(strip(F.col(sex)))}
+    )
+    looks_like_age = (F.col("_sex") == "RN") | F.col("_sex").rlike(_DIGITS)
+    swapped = F.coalesce(F.col("_age").isin("F", "M") & looks_like_age, F.lit(False))
+    repaired = cells.withColumn("_swap", swapped).withColumns(
+        {
+            "_age": F.when(F.col("_swap"), F.col("_sex")).otherwise(F.col("_age")),
+            "_sex": F.when(F.col("_swap"), F.col("_age")).otherwise(F.col("_sex")),
+        }
     )
+    return repaired.withColumns(
+        {
+            age_output: F.coalesce(_age(F.col("_age")), F.lit(UNKNOWN_AGE)),
+            sex_output: _sex(F.col("_sex")),
+        }
+    ).drop("_age", "_sex", "_swap")
 
 
 def age_by_sex_columns(female: Column, male: Column) -> Column:

@@ -71,8 +71,12 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim white space of any kind from both ends."""
-    spaces = r"[\s\x{1c}-\x{1f}]+"
-    return F.regexp_replace(text, f"(?U)^{spaces}|{spaces}$", "")
+    return F.btrim(text, F.lit(_blanks()))
+
+
+@lru_cache(maxsize=None)
+def _blanks() -> str:
+    return "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def normalize_text(text: Column) -> Column:

@@ -125,58 +125,56 @@ def ingest_registries(
 def clean_cases(bronze: DataFrame, policy: DatePolicy = DEFAULT_DATES) -> DataFrame:
     """Typed cases, not yet linked, with what was repaired in each row.
 
-    Each step is its own projection, so that a repaired cell is computed once.
+    What is final is computed first, so that the raw cells it came from are not
+    carried through the repairs.
     """
-    result_date = F.col("fecha_resultado_raw")
-    swapped = mark_swapped(
-        bronze, "resultado_raw", result_date, "columnas_intercambiadas", policy
-    )
-    result, date_text = swap_if(
-        F.col("columnas_intercambiadas"), F.col("resultado_raw"), result_date["v"]
-    )
-    changed = F.col("columnas_intercambiadas") & (
-        F.col("resultado_raw") != F.col("fecha_resultado_raw.v")
-    )
-    repaired = swapped.select(
-        "*",
-        result.alias("_result"),
-        F.struct(date_text.alias("v"), result_date["kind"].alias("kind")).alias("_result_date"),
-        read_age_sex(F.col("edad_raw"), F.col("sexo_raw")).alias("_person"),
-        changed.alias("_changed"),
-    )
-    cells_of = {
-        "fecha_notificacion": "fecha_notificacion_raw",
-        "fecha_toma_muestra": "fecha_toma_muestra_raw",
-        "fecha_resultado": "_result_date",
-        "fecha_ingreso_hospital": "fecha_ingreso_raw",
-    }
-    dated = read_dates(
-        repaired, {f"_{name}": F.col(source) for name, source in cells_of.items()}, policy
-    )
-    anomalies = sum((F.col(f"_{d}.is_anomaly").cast("int") for d in DATE_COLUMNS), F.lit(0))
-    return dated.select(
+    results = synonym_catalog(RESULT_SYNONYMS)
+    started = bronze.select(
         "row_order",
         "paciente_id",
-        "_person.edad",
-        "_person.sexo",
         lookup(F.col("municipio_raw"), MUNICIPALITY_CATALOG, MUNICIPALITY_DEFAULT).alias(
             "municipio_residencia"
         ),
         default_if_empty(F.col("derechohabiencia_raw"), INSURANCE_BLANK).alias("derechohabiencia"),
-        F.col("_fecha_notificacion.value").alias("fecha_notificacion"),
-        F.col("_fecha_toma_muestra.value").alias("fecha_toma_muestra"),
-        F.col("_fecha_resultado.value").alias("fecha_resultado"),
-        lookup(F.col("_result"), synonym_catalog(RESULT_SYNONYMS), UNSPECIFIED).alias(
-            "resultado_prueba"
-        ),
         lookup(F.col("estatus_raw"), synonym_catalog(STATUS_SYNONYMS), UNSPECIFIED).alias(
             "estatus_paciente"
         ),
         F.col("hospital_raw").alias("hospital"),
-        F.col("_fecha_ingreso_hospital.value").alias("fecha_ingreso_hospital"),
-        F.lit(False).alias("es_registro_unificado"),
-        F.lit(None).cast("int").alias("dias_entre_notificacion_e_ingreso"),
-        F.col("_changed").alias("columnas_intercambiadas"),
+        "edad_raw",
+        "sexo_raw",
+        "resultado_raw",
+        "fecha_notificacion_raw",
+        "fecha_toma_muestra_raw",
+        "fecha_resultado_raw",
+        "fecha_ingreso_raw",
+    )
+    aged = read_age_sex(started, "edad_raw", "sexo_raw").drop("edad_raw", "sexo_raw")
+    date_cell = F.col("fecha_resultado_raw")
+    marked = mark_swapped(aged, "resultado_raw", date_cell, "_swapped", policy)
+    result, date_text = swap_if(F.col("_swapped"), F.col("resultado_raw"), date_cell["v"])
+    repaired = marked.withColumns(
+        {
+            "resultado_prueba": lookup(result, results, UNSPECIFIED),
+            "fecha_resultado_raw": F.struct(
+                date_text.alias("v"), date_cell["kind"].alias("kind")
+            ),
+            "columnas_intercambiadas": F.col("_swapped")
+            & (F.col("resultado_raw") != date_cell["v"]),
+        }
+    ).drop("_swapped", "resultado_raw")
+    raw = {d: f"{d}_raw" for d in DATE_COLUMNS}
+    raw["fecha_ingreso_hospital"] = "fecha_ingreso_raw"
+    dated = read_dates(repaired, {d: F.col(column) for d, column in raw.items()}, policy)
+    anomalies = sum((F.col(f"{d}.is_anomaly").cast("int") for d in DATE_COLUMNS), F.lit(0))
+    typed = {
+        **{d: F.col(f"{d}.value") for d in DATE_COLUMNS},
+        "es_registro_unificado": F.lit(False),
+        "dias_entre_notificacion_e_ingreso": F.lit(None).cast("int"),
+    }
+    return dated.select(
+        "row_order",
+        *[typed.get(c, F.col(c)).alias(c) for c in SILVER_COLUMNS],
+        "columnas_intercambiadas",
         anomalies.alias("fechas_anomalas"),
     )
 

@@ -633,10 +633,8 @@ def legacy_swap(spark, sf):
 @query
 def parse_age_sex(spark, sf):
     """Ages and sexes repaired and parsed."""
-    read = demography.read_age_sex(F.col("edad_raw"), F.col("sexo_raw"))
-    return proxy.dirty_people(spark, sf).select("p_partkey", read.alias("p")).select(
-        "p_partkey", "p.edad", "p.sexo"
-    )
+    read = demography.read_age_sex(proxy.dirty_people(spark, sf), "edad_raw", "sexo_raw")
+    return read.select("p_partkey", "edad", "sexo")
 
 
 @query

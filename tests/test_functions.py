@@ -243,8 +243,12 @@ def test_age_and_sex(spark):
         (" 34.0", " f "): (34, "F"),
         ("x", ""): (-1, "INDETERMINADO"),
     }
-    got = column(spark, list(vectors), demography.read_age_sex, "a string, s string")
+    df = spark.createDataFrame(list(vectors), "a string, s string").repartition(1)
+    got = demography.read_age_sex(df, "a", "s").select("edad", "sexo").collect()
     assert [tuple(r) for r in got] == list(vectors.values())
+    ages = ["RN", "3 MESES", "años: 4", None]
+    assert column(spark, ages, demography.parse_age) == [0.0, 3.0, 4.0, None]
+    assert column(spark, [" f", "Z"], demography.parse_sex) == ["F", "OTRO"]
 
 
 def test_age_by_sex_columns(spark):
