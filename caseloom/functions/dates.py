@@ -161,10 +161,21 @@ def lacks_capitals(value: Column, kind: Column | None = None) -> Column:
     return plain if kind is None else (kind.isNull() | (kind != "text"))
 
 
+def micros_between(start: Column, end: Column) -> Column:
+    """Microseconds from one zoneless timestamp to another, in any session time zone."""
+    interval = end - start
+
+    def part(name: str) -> Column:
+        return F.extract(F.lit(name), interval)
+
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    # seconds come with their fraction
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
+
+
 def elapsed_days(start: Column, end: Column) -> Column:
     """Absolute number of days, where a negative distance is floored first.
 
     Two hours *before* is therefore one day, two hours *after* none.
     """
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    return F.abs(F.floor(micros / _US_PER_DAY)).cast("int")
+    return F.abs(F.floor(micros_between(start, end) / _US_PER_DAY)).cast("int")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from caseloom.functions.dates import elapsed_days
+from caseloom.functions.dates import elapsed_days, micros_between
 from caseloom.operators.scaling import Staging, dense_index, join_checked
 from caseloom.settings import HOSPITALISED, LINK_KEYS, LINK_WINDOW_DAYS
 
@@ -52,7 +52,7 @@ def _key(columns: Sequence[str]) -> Column:
 
 
 def _micros(timestamp: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), timestamp)
+    return micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), timestamp)
 
 
 def _span(at: Column, window_days: int) -> Column:

@@ -304,6 +304,22 @@ def test_elapsed_days_floor_before_the_absolute_value(spark):
     assert got == [1, 0, 7]
 
 
+def test_days_do_not_depend_on_the_session_time_zone(spark):
+    # the clock goes forward an hour in between
+    rows = [
+        (datetime(2021, 3, 10, 0, 30), datetime(2021, 3, 17, 0, 30, 0, 5)),
+        (datetime(2021, 3, 17, 0, 30), datetime(2021, 3, 10, 0, 30)),
+        (datetime(2021, 3, 14, 2, 30), datetime(2021, 3, 15, 2, 29, 59, 999999)),
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = column(spark, rows, dates.elapsed_days, "a timestamp_ntz, b timestamp_ntz")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [7, 7, 0]
+
+
 def test_window_is_a_parameter(spark):
     policy = settings.DatePolicy(first_day=date(1995, 1, 1), last_day=date(2001, 12, 31))
     got = read_dates(spark, [("1999-05-01", "text"), ("2020-05-01", "text")], policy)
