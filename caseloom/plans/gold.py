@@ -70,7 +70,7 @@ def build_gold(
         "demographic": demographic_cube(base, weight=BASE_WEIGHT),
         "municipal": municipal_table(base, BASE_WEIGHT),
         "insurance": insurance_cube(base, BASE_WEIGHT),
-        "kpis": kpi_row(base, BASE_WEIGHT).withColumn("timestamp_generacion", _utc_now()),
+        "kpis": kpi_row(base, BASE_WEIGHT).withColumn("timestamp_generacion", utc_now()),
     }
     # They are read again to reconcile and to write, and are small.
     stored = together(
@@ -79,7 +79,7 @@ def build_gold(
     return GoldTables(series=scans["series"], **stored)
 
 
-def _utc_now():
+def utc_now():
     now = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return F.concat(F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 

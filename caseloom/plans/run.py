@@ -12,7 +12,7 @@ from caseloom.errors import IntegrityError, SchemaMismatch
 from caseloom.operators.linkage import LinkOptions
 from caseloom.operators.quality import assert_contract, one_date_contract, quality_summary
 from caseloom.operators.scaling import Staging
-from caseloom.plans.gold import SILVER_FILE, _utc_now, load_silver, run_gold
+from caseloom.plans.gold import SILVER_FILE, utc_now, load_silver, run_gold
 from caseloom.plans.silver import (
     SILVER_COLUMNS,
     Registries,
@@ -45,6 +45,13 @@ def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"]
     columns and a lost executor costs no more than its own tasks.
     """
     staging = Staging(tune(spark))
+    try:
+        _run(spark, config, layer, staging)
+    finally:
+        staging.clear()
+
+
+def _run(spark: SparkSession, config: RunConfig, layer: str, staging: Staging) -> None:
     bronze, counts = ingest_registries(
         spark.read.parquet(config.cells_path), config.registries, staging
     )
@@ -58,9 +65,8 @@ def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"]
         run_gold(load_silver(spark, silver), folder, config.dates, staging)
     summary = quality_summary(
         counts["seguimiento"], counts["nominal"], cleaned, unified
-    ).withColumn("timestamp_ejecucion", _utc_now())
+    ).withColumn("timestamp_ejecucion", utc_now())
     write_summary(summary, f"{config.silver_folder}/{QUALITY_FILE}")
-    staging.clear()
 
 
 def run_stored_silver(spark: SparkSession, silver_path: str, folder: str) -> int:
