@@ -14,6 +14,7 @@ from caseloom.functions.dates import lacks_capitals, swap_if
 from caseloom.functions.demography import bin_column
 from caseloom.functions.text import fill_null, keep_only, regex_cascade
 from caseloom.operators.cubes import crosstab
+from caseloom.operators.scaling import Staging
 
 COLUMNS = (
     "sexo",
@@ -85,10 +86,18 @@ def clean_older(registry: DataFrame) -> DataFrame:
     ).select(*COLUMNS)
 
 
-def older_crosstabs(cleaned: DataFrame) -> dict[str, DataFrame]:
-    """The five zero-filled crosstabs of the report."""
+def older_crosstabs(
+    cleaned: DataFrame, staging: Staging | None = None
+) -> dict[str, DataFrame]:
+    """The five zero-filled crosstabs of the report.
+
+    The cleaned table is stored first: it is read five times, and a filter pushed
+    down through the many steps of the rules would repeat them without end.
+    """
+    staging = staging or Staging(cleaned.sparkSession)
     ranges = (*settings.LEGACY_AGE_BINS.labels, settings.LEGACY_AGE_BINS.missing)
-    df = cleaned.withColumn("rango", bin_column(F.col("edad"), settings.LEGACY_AGE_BINS))
+    stored = staging.table(cleaned, "older-cleaned")
+    df = stored.withColumn("rango", bin_column(F.col("edad"), settings.LEGACY_AGE_BINS))
     results, sexes = settings.LEGACY_RESULTS, settings.LEGACY_SEXES
     return {
         "resultado_sexo": crosstab(df, "resultado", "sexo", results, sexes),

@@ -126,7 +126,8 @@ def clean_cases(bronze: DataFrame, policy: DatePolicy = DEFAULT_DATES) -> DataFr
     """Typed cases, not yet linked, with what was repaired in each row.
 
     What is final is computed first, so that the raw cells it came from are not
-    carried through the repairs.
+    carried through the repairs. Store the result before filtering it: a filter pushed
+    down through the repairs would repeat them.
     """
     results = synonym_catalog(RESULT_SYNONYMS)
     started = bronze.select(
