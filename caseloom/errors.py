@@ -11,3 +11,7 @@ class SchemaMismatch(ValueError):
 
 class IntegrityError(Exception):
     """Derived tables do not add up to the cases they were computed from."""
+
+
+class ConfigError(ValueError):
+    """The session or a run lacks a setting the job cannot do without."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from caseloom.errors import ConfigError
 from caseloom.functions.text import normalize_text
 
 BROADCAST_ROWS = 100_000
@@ -30,19 +32,32 @@ def together(tasks: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
         return {name: future.result() for name, future in running.items()}
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder driver and executors share: the session's, else the context's.
+
+    Without either, a temp folder serves a ``local[...]`` master, where driver and
+    executors are one process; any other master is an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        return tempfile.mkdtemp(prefix="caseloom-")
+    raise ConfigError(
+        "no folder for intermediate tables: set spark.checkpoint.dir to one that all executors"
+        " share, or name a folder"
+    )
+
+
 class Staging:
-    """Intermediate tables in the cluster's shared checkpoint folder.
+    """Intermediate tables in ``folder``, by default the cluster's shared checkpoint folder.
 
     A staged table cuts lineage, survives the loss of executors and, being
     Parquet, is read back with column pruning.
     """
 
-    def __init__(self, spark: SparkSession) -> None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            # Single-machine runs and tests only: a cluster names its shared folder.
-            base = tempfile.mkdtemp(prefix="caseloom-checkpoint-")
-            spark.conf.set("spark.checkpoint.dir", base)
+    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
+        base = folder or shared_folder(spark)
         self.spark = spark
         self.root = f"{base.rstrip('/')}/caseloom-{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)

@@ -36,6 +36,7 @@ class RunConfig:
     gold_folder: str | None = None
     dates: DatePolicy = DEFAULT_DATES
     link: LinkOptions = field(default_factory=LinkOptions)
+    staging_folder: str | None = None
 
 
 def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"] = "silver") -> None:
@@ -44,7 +45,7 @@ def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"]
     Each layer is read back from what was written, so that later steps prune
     columns and a lost executor costs no more than its own tasks.
     """
-    staging = Staging(tune(spark))
+    staging = Staging(tune(spark), config.staging_folder)
     try:
         _run(spark, config, layer, staging)
     finally:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -20,8 +19,6 @@ def spark():
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="caseloom-tests-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
