@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from oracle_check import connect, differences
 
 SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = contract.QUERIES, contract.ORACLE
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
