@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caseloom.llm import language_id, line_rules
+from caseloom.llm import decontaminate, language_id, line_rules, segment, simhash
 
-_MODULES = (language_id, line_rules)
+_MODULES = (language_id, segment, line_rules, decontaminate, simhash)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

@@ -1,45 +1,98 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents, stage by stage.
+
+Every stage takes the documents its predecessor kept, carries all their columns
+whatever they are called, and handles null and empty texts, repeated rows and empty
+tables as its operator states.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import language_id, line_rules
+from caseloom.llm import decontaminate, language_id, line_rules, segment, simhash
+from caseloom.operators.scaling import Staging
+
+
+def _nested(docs: DataFrame, *beside: Column) -> DataFrame:
+    """Documents as one column ``row``, out of the way of the columns operators add."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *beside)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; their recorded language stays as it is."""
+    """Documents whose language can be told; one without a letter goes."""
     learned = language_id.learn_profiles(docs)
-    found = language_id.identify(docs.withColumn("_lang_text", F.col("text")), learned, "_lang_text")
-    return found.filter(F.col("lang_pred") != language_id.UNDETERMINED).select(docs.columns)
+    found = language_id.identify(_nested(docs, F.col("text").alias("t")), learned, "t", keep=["row"])
+    return found.filter(F.col("lang_pred") != language_id.UNDETERMINED).select("row.*")
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that keep enough of their lines, with those lines."""
-    judged = line_rules.line_first(docs)
+    """Documents that keep enough of their lines, with those lines as their text."""
+    judged = line_rules.line_first(_nested(docs, F.col("text").alias("t")), "t")
+    new = {
+        "text": F.col("line_rules.cleaned"),
+        "n_chars": F.length("line_rules.cleaned").cast("bigint"),
+    }
     return judged.filter("line_rules.kept").select(
-        *[
-            F.col("line_rules.cleaned").alias("text")
-            if c == "text"
-            else F.length("line_rules.cleaned").cast("bigint").alias("n_chars")
-            if c == "n_chars"
-            else F.col(f"`{c}`")
-            for c in docs.columns
-        ]
+        *[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    )
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows with that id and fingerprint are one document; a group without any id keeps
+    one row of its smallest fingerprint.
+    """
+    staging = Staging(spark)
+    rows = _nested(docs, F.col("doc_id"), F.col("text").alias("t"))
+    prints = staging.table(simhash.fingerprints(rows, "t", keep=["row", "doc_id"]), "prints")
+    groups = simhash.near_duplicates(prints.select("doc_id", "fp"), staging)
+    stays = (
+        groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("doc_id", "component_id")
+        .agg(F.min("fp").alias("fp"))
+        .select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp"))
     )
+    kept = prints.join(
+        stays,
+        (prints["fp"] == stays["stay_fp"]) & prints["doc_id"].eqNullSafe(stays["stay_id"]),
+        "left_semi",
+    )
+    return kept.dropDuplicates(["doc_id", "fp"]).select("row.*")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    staging = Staging(spark)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    keyed = _nested(docs, decontaminate.row_key().alias("key"))
+    found = decontaminate.contaminated(
+        keyed.select("key", F.col("row.text").alias("text")), items, staging
+    )
+    return keyed.join(found.select("key"), "key", "left_anti").select("row.*")
+
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document, checked against their decoding."""
+    return segment.segmentations(docs, keep=["doc_id", "lang", "source", "n_chars"])
 
-STAGES = [("language_id", identify_language), ("quality_rules", clean_lines)]
+
+STAGES = [
+    ("language_id", identify_language),
+    ("quality_rules", clean_lines),
+    ("simhash", drop_near_copies),
+    ("decontaminate", drop_contaminated),
+    ("segment", encode),
+]
+# Profiles, fingerprints and sampling are beyond SQL; the stages are tested against plain models.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
-    from caseloom.operators.scaling import Staging
-
     staging = Staging(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = staging.table(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
