@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, language_id, line_rules, segment, simhash
+from caseloom.llm import (
+    chat,
+    cotrain,
+    decontaminate,
+    language_id,
+    licenses,
+    line_rules,
+    segment,
+    simhash,
+    warc,
+    wrapper,
+)
 
-_MODULES = (language_id, segment, line_rules, decontaminate, simhash)
+_MODULES = (
+    language_id,
+    cotrain,
+    licenses,
+    segment,
+    warc,
+    wrapper,
+    line_rules,
+    decontaminate,
+    simhash,
+    chat,
+)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
