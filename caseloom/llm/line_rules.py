@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 
-# How lines of running text may end, closing marks included, and within
-# how many characters the end is looked for.
-END_MARK = r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"'\x{201D}\x{2019}\x{00BB})\]]*[\x20\x09-\x0D]*\z"
-END_CHARS = 16
+# How sentences of running text end, closing marks included.
+SENTENCE_END = (
+    r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"'\x{201D}\x{2019}\x{00BB})\]]*([\x20\x09-\x0D]|\z)"
+)
 
 # Signs between the entries of a menu or table.
 MENU_MARKS = ("|", "»", "›", "•", "·", ">")
@@ -151,13 +151,14 @@ def repeated_words(words: Column, size: int = 3) -> Column:
 
 
 def line_fails(line: Column, words: Column, rules: LineRules) -> Column:
-    """Whether a line with words is not running text."""
+    """Whether a line with words is not running text: it has no end of a sentence, or
+    looks like a menu, a table, shouting, decoration or one phrase over and over."""
     n = F.size(words)
     letters = F.length(F.regexp_replace(line, r"\P{L}+", ""))
     upper = F.length(F.regexp_replace(line, r"\P{Lu}+", ""))
     marks = F.size(F.filter(words, lambda w: w.isin(*MENU_MARKS)))
     return (
-        ~F.regexp_like(F.substring(line, -END_CHARS, END_CHARS), F.lit(END_MARK))
+        ~F.regexp_like(line, F.lit(SENTENCE_END))
         | (
             F.regexp_like(line, F.lit(f"{SYMBOLS}|[{''.join(MENU_MARKS)}]"))
             & (
@@ -300,7 +301,7 @@ def _sql(rules: LineRules = LineRules()) -> str:
     symbols = "(length({0}) - length(translate({0}, '#*$%&|<>', '')))"
     phrases = " OR ".join(f"contains(lower(line), '{p}')" for p in PHRASES)
     marks = ", ".join(f"'{m}'" for m in MENU_MARKS)
-    end_mark = END_MARK.replace("'", "''")
+    end = SENTENCE_END.replace("'", "''")
     return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
@@ -316,7 +317,7 @@ m AS (
   SELECT rid, line, length(line) AS chars, len(words) AS n, words,
     length(regexp_replace(line, '\P{{L}}+', '', 'g')) AS letters,
     length(regexp_replace(line, '\P{{Lu}}+', '', 'g')) AS upper,
-    regexp_matches(right(line, {END_CHARS}), '{end_mark}') AS ended
+    regexp_matches(line, '{end}') AS ended
   FROM l
 ), f AS (
   SELECT rid, line, chars,
