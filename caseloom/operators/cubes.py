@@ -222,18 +222,30 @@ def crosstab(
     row_domain: Sequence[str],
     column_domain: Sequence[str],
     names: Mapping[str, str] | None = None,
+    other: str | None = None,
 ) -> DataFrame:
     """Counts of a closed row domain by a closed column domain, zeros included.
 
     The aggregation has one count per column value, so there is a single
     shuffle and no pass to find the values; absent rows come from the domain.
+    With ``other`` a row and a column of that name hold all values outside the
+    domains, nulls too, so that the counts add up to the rows there are.
     """
     names = names or {}
+    row, column = F.col(rows), F.col(columns)
+    if other is not None:
+        row_domain, column_domain = [*row_domain, other], [*column_domain, other]
+        row = F.when(row.isin(*row_domain), row).otherwise(other)
+        column = F.when(column.isin(*column_domain), column).otherwise(other)
     domain = df.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(value) for value in row_domain])).alias(rows),
         F.lit(None).cast("string").alias(columns),
     )
-    counted = df.select(rows, columns).filter(F.col(rows).isin(*row_domain)).unionByName(domain)
+    counted = (
+        df.select(row.alias(rows), column.alias(columns))
+        .filter(F.col(rows).isin(*row_domain))
+        .unionByName(domain)
+    )
     return counted.groupBy(rows).agg(
         *[
             F.count_if(F.col(columns) == value).alias(names.get(value, value))

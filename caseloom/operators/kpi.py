@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.measures import case_indicators, safe_rate, weighted_count
@@ -153,21 +153,31 @@ def kpi_view(
     insurance: DataFrame | None,
     covers_all_days: bool = True,
 ) -> DataFrame:
-    """The four figures from the best table for a filter.
+    """The four figures from the table that knows a filter.
 
-    In order: the stored row when nothing is filtered; the insurance cube when
-    insurances are; the demographic cube when sexes or ages are (neither knows
-    dates, so a date filter is then ignored); else the daily series.
+    In order: the insurance cube when insurances are selected; the demographic cube
+    when sexes or ages are (neither knows dates, so a date filter is then ignored); the
+    stored row when nothing is filtered, if it has one; else the daily series. A filter
+    whose own table is absent or empty has zeros: no other table stands in for it.
     ``covers_all_days`` tells that the selected days are all there are.
     """
-    by_person = bool(view.sexes or view.age_groups)
-    unfiltered = covers_all_days and not by_person and not view.insurances
-    if unfiltered and kpis is not None:
+    if view.insurances:
+        if insurance is not None:
+            insurance = filter_insurance(insurance, view.insurances)
+        return _cube_or_zeros(insurance)
+    if view.sexes or view.age_groups:
+        if demographic is not None:
+            demographic = filter_demographic(demographic, view.sexes, view.age_groups)
+        return _cube_or_zeros(demographic)
+    if covers_all_days and kpis is not None and not kpis.isEmpty():
         return kpi_view_stored(kpis)
-    if view.insurances and insurance is not None:
-        return kpi_view_from_cube(filter_insurance(insurance, view.insurances))
-    if by_person and demographic is not None:
-        return kpi_view_from_cube(filter_demographic(demographic, view.sexes, view.age_groups))
     if series is None:
-        raise ValueError("no stored table can answer this filter")
+        return _cube_or_zeros(None)
     return kpi_view_from_series(filter_series(series, view.first_day, view.last_day))
+
+
+def _cube_or_zeros(cube: DataFrame | None) -> DataFrame:
+    if cube is None:
+        columns = "resultado_prueba string, estatus_paciente string, total_casos bigint"
+        cube = SparkSession.active().createDataFrame([], columns)
+    return kpi_view_from_cube(cube)

@@ -6,7 +6,7 @@ sex ends as ``M``); the unified cases do not use them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import settings
@@ -61,7 +61,7 @@ def clean_older(registry: DataFrame) -> DataFrame:
     cascades = {
         "pais": settings.COUNTRY_CASCADE,
         "estatus": settings.STATUS_CASCADE,
-        "residencia": settings.residence_cascade(),
+        "residencia": settings.RESIDENCE_CASCADE,
         "toma_muestra": settings.SAMPLE_CASCADE,
         "resultado": settings.RESULT_CASCADE,
         "fecha_resultado": settings.RESULT_DATE_CASCADE,
@@ -86,23 +86,38 @@ def clean_older(registry: DataFrame) -> DataFrame:
     ).select(*COLUMNS)
 
 
+def _label(column: str, labels: tuple[str, ...]) -> Column:
+    """The first of ``labels`` a text contains, else the text."""
+    text = F.col(column)
+    return F.coalesce(*[F.when(text.contains(label), F.lit(label)) for label in labels], text)
+
+
 def older_crosstabs(
-    cleaned: DataFrame, staging: Staging | None = None
+    cleaned: DataFrame, staging: Staging | None = None, other: str | None = None
 ) -> dict[str, DataFrame]:
     """The five zero-filled crosstabs of the report.
 
+    A status counts as what it contains, as ``PACIENTE AMBULATORIO`` does; one that
+    contains several labels counts as the first of them. Other statuses are left out,
+    or counted as ``other`` if given.
+
     The cleaned table is stored first: it is read five times, and a filter pushed
     down through the many steps of the rules would repeat them without end.
     """
     staging = staging or Staging(cleaned.sparkSession)
     ranges = (*settings.LEGACY_AGE_BINS.labels, settings.LEGACY_AGE_BINS.missing)
     stored = staging.table(cleaned, "older-cleaned")
-    df = stored.withColumn("rango", bin_column(F.col("edad"), settings.LEGACY_AGE_BINS))
+    df = stored.withColumns(
+        {
+            "rango": bin_column(F.col("edad"), settings.LEGACY_AGE_BINS),
+            "estatus": _label("estatus", STATES),
+        }
+    )
     results, sexes = settings.LEGACY_RESULTS, settings.LEGACY_SEXES
     return {
-        "resultado_sexo": crosstab(df, "resultado", "sexo", results, sexes),
-        "estatus_resultado": crosstab(df, "estatus", "resultado", STATES, results),
-        "estatus_sexo": crosstab(df, "estatus", "sexo", STATES, sexes),
-        "edad_resultado": crosstab(df, "rango", "resultado", ranges, results),
-        "edad_estatus": crosstab(df, "rango", "estatus", ranges, STATES),
+        "resultado_sexo": crosstab(df, "resultado", "sexo", results, sexes, other=other),
+        "estatus_resultado": crosstab(df, "estatus", "resultado", STATES, results, other=other),
+        "estatus_sexo": crosstab(df, "estatus", "sexo", STATES, sexes, other=other),
+        "edad_resultado": crosstab(df, "rango", "resultado", ranges, results, other=other),
+        "edad_estatus": crosstab(df, "rango", "estatus", ranges, STATES, other=other),
     }

@@ -168,9 +168,9 @@ AGE14 = bins(
 AGE4 = bins([("< 18", "<18"), ("< 40", "18-39"), ("< 60", "40-59")], "60+", "SIN_DATO")
 AGE10 = bins(
     [
-        (f"< {high}", label)
+        (f"{'<=' if high == 1 else '<'} {high}", label)
         for high, label in (
-            (2, "0-1"), (12, "2-11"), (18, "12-17"), (30, "18-29"), (40, "30-39"), (50, "40-49"),
+            (1, "0-1"), (12, "2-11"), (18, "12-17"), (30, "18-29"), (40, "30-39"), (50, "40-49"),
             (60, "50-59"), (70, "60-69"),
         )
     ],
@@ -348,6 +348,18 @@ SELECT sum(pruebas_tomadas)::BIGINT AS total_pruebas,
          AS tasa_global_positividad,
        {rate("sum(ingresos_hospitalarios)", "sum(resultados_positivos)")} AS tasa_hospitalizacion
 FROM serie WHERE fecha BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'"""
+ORACLE["kpi_view_missing_cube"] = """
+SELECT 0::BIGINT AS total_pruebas, 0::BIGINT AS casos_positivos_confirmados,
+       0.0::DOUBLE AS tasa_global_positividad, 0.0::DOUBLE AS tasa_hospitalizacion"""
+ORACLE["kpi_view_empty_kpis"] = ORACLE["kpi_view_days"].split(" FROM serie WHERE")[0].split("\nFROM serie WHERE")[0] + " FROM serie"
+ORACLE["crosstab_other"] = """
+WITH t AS (
+  SELECT CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_mktsegment ELSE 'OTRO' END AS c_mktsegment,
+         o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION ALL SELECT unnest(['BUILDING', 'MACHINERY', 'NONE', 'OTRO']), NULL
+)
+SELECT c_mktsegment, count(*) FILTER (o_orderstatus = 'O') AS O, count(*) FILTER (o_orderstatus = 'F') AS F,
+       count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) AS OTRO FROM t GROUP BY 1"""
 ORACLE["safe_rate"] = f"""
 SELECT l_orderkey, {count("l_returnflag = 'R'")} AS positivos,
        {count("l_returnflag = 'A'")} AS negativos,
@@ -552,7 +564,7 @@ ORACLE["residence_cascade"] = cascade(
     " AS residencia FROM customer)",
     "c_custkey",
     "residencia",
-    settings.residence_cascade(),
+    settings.RESIDENCE_CASCADE,
     whole_cell=True,
 )
 ORACLE["whitelist"] = """

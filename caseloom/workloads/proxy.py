@@ -156,7 +156,7 @@ def dirty_dates(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey",
         F.when(way == 0, slash)
         .when(way == 1, F.date_format(day, "yyyy-MM-dd"))
-        .when(way == 2, F.concat(slash, F.lit("  H. ZUMPANGO")))
+        .when(way == 2, F.concat(slash, F.lit("   turno B")))
         .when(way == 3, F.date_format(day, "dd.MM.yyyy"))
         .when(way == 4, F.date_format(day, "dd-MM-yyyy"))
         .when(way == 5, serial)

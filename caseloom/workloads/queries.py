@@ -249,6 +249,17 @@ QUERIES["crosstab_age_result"] = _crosstab("rango", "resultado_prueba", _RANGES,
 QUERIES["crosstab_age_status"] = _crosstab("rango", "estatus_paciente", _RANGES, _STATES)
 
 
+@query
+def crosstab_other(spark, sf):
+    """A10: segments and a status outside the domains counted too, so that nothing is lost."""
+    joined = proxy.table(spark, sf, "orders").join(
+        proxy.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    return cubes.crosstab(
+        joined, "c_mktsegment", "o_orderstatus", ["BUILDING", "MACHINERY", "NONE"], ["O", "F"], other="OTRO"
+    )
+
+
 # ---------------------------------------------------------------------------
 # Key figures
 # ---------------------------------------------------------------------------
@@ -313,6 +324,21 @@ def kpi_view_days(spark, sf):
     )
 
 
+@query
+def kpi_view_missing_cube(spark, sf):
+    """A sex selected and no demographic cube: zeros, not the unfiltered series."""
+    chosen = kpi.ViewFilter(sexes=("F",))
+    kpis = kpi.kpi_row(proxy.cases(spark, sf, *_KPI_FIELDS))
+    return kpi.kpi_view(chosen, kpis, _case_series(spark, sf), None, _insurance(spark, sf))
+
+
+@query
+def kpi_view_empty_kpis(spark, sf):
+    """Nothing selected and a stored table without a row: the daily series answers."""
+    kpis = kpi.kpi_row(proxy.cases(spark, sf, *_KPI_FIELDS)).limit(0)
+    return kpi.kpi_view(kpi.ViewFilter(), kpis, _case_series(spark, sf), None, None)
+
+
 @query
 def safe_rate(spark, sf):
     """A rate per order, 0 where its base is empty."""
@@ -571,7 +597,7 @@ def residence_cascade(spark, sf):
     )
     df = proxy.table(spark, sf, "customer").select("c_custkey", raw.alias("residencia"))
     filled = text.fill_null(df, {"residencia": "FORANEO"})
-    return text.regex_cascade(filled, "residencia", settings.residence_cascade())
+    return text.regex_cascade(filled, "residencia", settings.RESIDENCE_CASCADE)
 
 
 @query

@@ -148,14 +148,14 @@ def test_cascade_fires_on_the_text_the_call_started_with(spark):
     assert got == ["AYYC", "AYYMX", "MEXICO"]
     got = [r[0] for r in text.regex_cascade(df, "v", settings.RESULT_CASCADE).collect()]
     assert got == ["ABC", "ABSOSPECHOSO", "SOSPECHOSO"]
-    chained = text.regex_cascade(df, "v", settings.residence_cascade() * 2)
+    chained = text.regex_cascade(df, "v", settings.RESIDENCE_CASCADE * 2)
     assert len(chained.collect()) == 3
 
 
 DATE_VECTORS = [
     ("43914", "number", datetime(2020, 3, 24), False),
     ("43914.5", "number", datetime(2020, 3, 24, 12), False),
-    ("24/03/2020  H. ZUMPANGO", "text", datetime(2020, 3, 24), False),
+    ("24/03/2020   turno B", "text", datetime(2020, 3, 24), False),
     ("18/03/2020 10:30", "text", datetime(2020, 3, 18), False),
     ("PENDIENTE", "text", None, False),
     (None, None, None, False),

@@ -10,7 +10,7 @@ from caseloom.sources import landing
 
 
 def three_rows(n=3):
-    return [{1: i + 1, 2: f"Nombre {i}", 3: "F"} for i in range(n)]
+    return [{"folio": i + 1, "nombre": f"Nombre {i}", "sexo": "F"} for i in range(n)]
 
 
 def test_headers_are_found_by_text_in_many_books(spark):
@@ -22,13 +22,13 @@ def test_headers_are_found_by_text_in_many_books(spark):
     found = landing.find_headers(
         cells.filter(F.col("sheet") == fx.OUT), OUTPATIENT_SHEET.keys, 1
     )
-    assert {(r.file, r.header_row) for r in found.collect()} == {("a.xlsx", 13), ("b.xlsx", 17)}
+    assert {(r.file, r.header_row) for r in found.collect()} == {("a.xlsx", fx.OUT_HEADER), ("b.xlsx", fx.OUT_HEADER + 4)}
 
 
 def test_word_boundary_keeps_titles_out(spark):
     cells = fx.cell_table(spark, fx.workbook("a.xlsx", inpatient=[{"hospital": "H"}]))
     found = landing.find_headers(cells.filter(F.col("sheet") == fx.IN), INPATIENT_SHEET.keys, 3)
-    assert found.first().header_row == 6
+    assert found.first().header_row == fx.IN_HEADER
 
 
 def test_missing_header_is_reported(spark):
@@ -42,15 +42,15 @@ def test_merged_headers_are_flattened(spark):
     cells = cells.filter(F.col("sheet") == fx.IN)
     headers = landing.find_headers(cells, INPATIENT_SHEET.keys, 3)
     names = landing.flatten_headers(cells, headers, 3).orderBy("c")
-    assert [r.name for r in names.collect()] == [
-        "HOSPITAL",
+    assert [r.name for r in names.collect()][1:] == [
         "NO.",
-        "NOMBRE DEL PACIENTE",
-        "EDAD | F",
+        "FECHA DE INGRESO al piso",
         "EDAD | M",
-        "FECHA DE INGRESO O DE ATENCION",
-        "LABORATORIO | RESULTADO",
-        "LABORATORIO | FECHA DE RESULTADO",
+        "EDAD | F",
+        "NOMBRE DEL PACIENTE",
+        "HOSPITAL",
+        "PRUEBA | FECHA DE RESULTADO",
+        "PRUEBA | RESULTADO",
     ]
 
 
@@ -105,10 +105,10 @@ def test_rows_carry_resolved_columns(spark):
     when = datetime(2020, 3, 18)
     cells = fx.cell_table(
         spark,
-        fx.workbook("a.xlsx", [{1: 7, 2: "Uno", 9: when, 13: "POSITIVO", 14: "19/03/2020"}]),
+        fx.workbook("a.xlsx", [{"folio": 7, "nombre": "Uno", "fecha_notificacion": when, "resultado": "POSITIVO", "fecha_resultado": "19/03/2020"}]),
     )
     row = landing.read_sheet(cells, OUTPATIENT_SHEET).first()
-    assert row.r == 14
+    assert row.r == fx.OUT_FIRST
     assert row.cells["folio"].v == "7" and row.cells["folio"].kind == "number"
     assert row.cells["fecha_notificacion"].kind == "datetime"
     assert row.cells["resultado"].v == "POSITIVO"

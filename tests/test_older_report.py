@@ -35,3 +35,14 @@ def test_kinds_decide_what_is_text(spark):
     kept = df.selectExpr("*", "'text' AS resultado_kind", "'text' AS sexo_kind")
     assert clean_older(kept).first().fecha_resultado == "20/03/2020"
     assert clean_older(df).first().fecha_resultado == "sin letras"
+
+
+def test_a_status_counts_as_what_it_contains_and_nothing_is_lost(spark):
+    df = rows(
+        spark,
+        *[{"sexo": "F", "edad": "1.5", "resultado": "POSITIVO", "estatus": s} for s in ("PACIENTE AMBULATORIO", "EGRESO", None)],
+    )
+    tables = older_crosstabs(clean_older(df), other="RESTO")
+    by_status = {r.estatus: r.POSITIVO for r in tables["estatus_resultado"].collect()}
+    assert by_status == {"AMBULATORIO": 1, "HOSPITALIZADO": 0, "DEFUNCION": 0, "RESTO": 2}
+    assert {r.rango: r.POSITIVO for r in tables["edad_resultado"].collect()}["2-11"] == 3

@@ -17,10 +17,9 @@ from caseloom.settings import PII_COLUMNS
 from caseloom.sources import tables
 
 
-def outpatient(no, name, age="34", notified="18/03/2020", result="POSITIVO", result_date=None, **more):
-    row = {1: no, 2: name, 3: "F", 4: age, 9: notified, 13: result, 14: result_date}
-    row.update({int(k[1:]): v for k, v in more.items()})
-    return {k: v for k, v in row.items() if v is not None}
+def outpatient(folio, nombre, edad="34", fecha_notificacion="18/03/2020", resultado="POSITIVO", sexo="F", **more):
+    row = dict(more, folio=folio, nombre=nombre, edad=edad, sexo=sexo, resultado=resultado)
+    return row | {"fecha_notificacion": fecha_notificacion}
 
 
 @pytest.fixture(scope="module")
@@ -30,9 +29,9 @@ def finished(spark, tmp_path_factory):
         fx.workbook(
             "a.xlsx",
             [
-                outpatient(1, "Ana Pérez", c5="GAM", c15="AMBULATORIO", result_date="20/03/2020"),
-                outpatient(2, "Luis  Peña", age="M", c3="50", notified=43914, result="24/03/2020", result_date="NEGATIVO"),
-                outpatient(3, "Eva", notified="0208-05-15", result="RECHAZO", c15="Defunción", c8=""),
+                outpatient(1, "Ana Pérez", municipio="GAM", estatus="AMBULATORIO", fecha_resultado="20/03/2020"),
+                outpatient(2, "Luis  Peña", "M", 43914, "24/03/2020", "50", fecha_resultado="NEGATIVO"),
+                outpatient(3, "Eva", "34", "0208-05-15", "RECHAZO", estatus="Defunción", derechohabiencia=""),
             ],
             [
                 {"hospital": "H1", "folio": 1.0, "nombre": "ANA PEREZ", "F": 34, "ingreso": datetime(2020, 3, 22), "res": "POSITIVO"},
@@ -41,7 +40,7 @@ def finished(spark, tmp_path_factory):
             daily=[["30.03.2020", "H1"], ["31.03.2020", "H1"]],
             phantom=True,
         ),
-        fx.workbook("b.xlsx", [outpatient(1, "Zoe", age="3M", c5="Ecatepec de Morelos")]),
+        fx.workbook("b.xlsx", [outpatient(1, "Zoe", "3M", municipio="Ecatepec de Morelos")]),
     ]
     fx.cell_table(spark, *books).write.parquet(f"{folder}/cells")
     config = run.RunConfig(
