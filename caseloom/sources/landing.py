@@ -2,8 +2,8 @@
 
 A landed workbook is a long table ``(file, sheet, r, c, v, kind)`` with rows and
 columns counted from 1; blank cells are absent or null. All functions work on
-many workbooks at once. What is gathered per sheet is the header block only,
-which the search limits bound; data rows are never gathered by sheet.
+many workbooks at once. What is gathered per sheet is the header block and the
+rows that hold a header's key; data rows are never gathered by sheet.
 """
 
 from __future__ import annotations
@@ -17,36 +17,47 @@ from pyspark.sql import Window as W
 from caseloom.errors import HeaderNotFound
 from caseloom.functions.text import starts_with_word, strip
 from caseloom.operators.scaling import Staging, join_checked
-from caseloom.settings import (
-    HEADER_SEARCH_COLUMNS,
-    HEADER_SEARCH_ROWS,
-    MAX_BLANK_ROWS,
-    SheetSpec,
-)
+from caseloom.settings import SheetSpec
 
 CELL_SCHEMA = "file string, sheet string, r int, c int, v string, kind string"
 SHEET_KEY = ["file", "sheet"]
 LEVEL_SEPARATOR = " | "
 
 
-def find_headers(cells: DataFrame, keys: Sequence[str], header_rows: int) -> DataFrame:
+def _within(column: str, limit: int | None) -> Column:
+    return F.lit(True) if limit is None else F.col(column) <= limit
+
+
+def find_headers(
+    cells: DataFrame,
+    keys: Sequence[str],
+    header_rows: int,
+    search_rows: int | None = None,
+    search_columns: int | None = None,
+) -> DataFrame:
     """``(file, sheet, header_row)``: first row of each sheet's header block.
 
-    The first key must stand in that row, every key somewhere in the block.
-    ``header_row`` is null for sheets without one.
+    The first key must stand in that row, every key somewhere in the block; the whole
+    block lies in the first ``search_rows`` and ``search_columns``, if they are given.
+    ``header_row`` is null for sheets without one. Only rows that hold a key are
+    compared with their neighbours, so a long sheet is no large group.
     """
     found = [f"_k{i}" for i in range(len(keys))]
+    sheets = cells.filter(F.col("v").isNotNull()).select(*SHEET_KEY).distinct()
+    holds_key = F.lit(False)
+    for key in keys:
+        holds_key = holds_key | starts_with_word(F.col("v"), key)
     rows = (
         cells.filter(
-            (F.col("r") <= HEADER_SEARCH_ROWS)
-            & (F.col("c") <= HEADER_SEARCH_COLUMNS)
-            & F.col("v").isNotNull()
+            F.col("v").isNotNull() & _within("r", search_rows) & _within("c", search_columns) & holds_key
         )
         .groupBy(*SHEET_KEY, "r")
         .agg(*[F.bool_or(starts_with_word(F.col("v"), k)).alias(n) for k, n in zip(keys, found)])
     )
     block = W.partitionBy(*SHEET_KEY).orderBy("r").rangeBetween(0, header_rows - 1)
-    complete = F.col(found[0]) & (F.col("r") + header_rows - 1 <= HEADER_SEARCH_ROWS)
+    complete = F.col(found[0])
+    if search_rows is not None:
+        complete = complete & (F.col("r") + header_rows - 1 <= search_rows)
     in_block = rows.select(
         *SHEET_KEY,
         "r",
@@ -55,7 +66,8 @@ def find_headers(cells: DataFrame, keys: Sequence[str], header_rows: int) -> Dat
     )
     for name in found:
         complete = complete & F.col(f"{name}_block")
-    return in_block.groupBy(*SHEET_KEY).agg(F.min(F.when(complete, F.col("r"))).alias("header_row"))
+    placed = in_block.groupBy(*SHEET_KEY).agg(F.min(F.when(complete, F.col("r"))).alias("header_row"))
+    return sheets.join(placed, SHEET_KEY, "left")
 
 
 def assert_headers(headers: DataFrame, what: str) -> DataFrame:
@@ -67,7 +79,9 @@ def assert_headers(headers: DataFrame, what: str) -> DataFrame:
     return headers
 
 
-def flatten_headers(cells: DataFrame, headers: DataFrame, header_rows: int) -> DataFrame:
+def flatten_headers(
+    cells: DataFrame, headers: DataFrame, header_rows: int, search_columns: int | None = None
+) -> DataFrame:
     """``(file, sheet, header_row, c, name)``: one flat name per column.
 
     Within a level a value covers the blank cells to its right, up to a column
@@ -76,9 +90,9 @@ def flatten_headers(cells: DataFrame, headers: DataFrame, header_rows: int) -> D
     """
     placed = headers.filter("header_row IS NOT NULL")
     block = (
-        cells.filter((F.col("c") <= HEADER_SEARCH_COLUMNS) & F.col("v").isNotNull())
-        .filter(F.col("r") <= HEADER_SEARCH_ROWS)
-        .join(placed, SHEET_KEY)
+        join_checked(
+            cells.filter(_within("c", search_columns) & F.col("v").isNotNull()), placed, SHEET_KEY
+        )
         .withColumn("_level", F.col("r") - F.col("header_row"))
         .filter((F.col("_level") >= 0) & (F.col("_level") < header_rows))
     )
@@ -130,10 +144,12 @@ def key_columns(names: DataFrame, key: str) -> DataFrame:
     )
 
 
-def bound_rows(cells: DataFrame, key_cols: DataFrame, header_rows: int) -> DataFrame:
+def bound_rows(
+    cells: DataFrame, key_cols: DataFrame, header_rows: int, blank_rows: int | None = None
+) -> DataFrame:
     """``(file, sheet, first_row, stop_row, key_c, width)``: the run of data rows.
 
-    Up to ten rows with a blank key are skipped after the header; the data end
+    Rows with a blank key, up to ``blank_rows`` if given, are skipped after the header; the data end
     before the first blank key after that, whatever stray cells follow. The run
     is found from row pairs, so a sheet of any length is spread over tasks.
     """
@@ -164,7 +180,8 @@ def bound_rows(cells: DataFrame, key_cols: DataFrame, header_rows: int) -> DataF
         F.min(F.when(F.col("here"), F.col("r"))).alias("first_row"),
         F.min(F.when(~F.col("here"), F.col("r"))).alias("stop_row"),
     )
-    return runs.filter(F.col("first_row") <= start + MAX_BLANK_ROWS).select(
+    near = F.lit(True) if blank_rows is None else F.col("first_row") <= start + blank_rows
+    return runs.filter(near & F.col("first_row").isNotNull()).select(
         *SHEET_KEY, "first_row", "stop_row", F.col("c").alias("key_c"), "width"
     )
 
@@ -211,6 +228,57 @@ def read_rows(cells: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
+def _layout(
+    cells: DataFrame, spec: SheetSpec, staging: Staging
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The sheet's cells, and its stored headers, column names and bounds."""
+    sheet = cells.filter(F.col("sheet") == spec.sheet)
+    headers = staging.table(
+        find_headers(sheet, spec.keys, spec.header_rows, spec.search_rows, spec.search_columns),
+        "headers",
+    )
+    names = staging.table(
+        flatten_headers(sheet, headers, spec.header_rows, spec.search_columns), "names"
+    )
+    keys = key_columns(names, spec.keys[0])
+    bounds = staging.table(bound_rows(sheet, keys, spec.header_rows, spec.blank_rows), "bounds")
+    return sheet, headers, names, bounds
+
+
+# Why cells of a sheet are not in its data rows
+REASONS = ("no_header", "header", "no_data", "after_data", "beyond_columns")
+
+
+def sheet_rejects(cells: DataFrame, spec: SheetSpec, staging: Staging | None = None) -> DataFrame:
+    """``(file, sheet, reason, cells)``: all non-blank cells of a sheet, counted by what became of them.
+
+    ``kept`` cells are those :func:`read_sheet` reads its rows from; the others have one
+    of :data:`REASONS`, so the counts add up to the cells landed. ``header`` is the
+    header itself and what stands above the data, ``no_data`` what follows a header
+    without a data row, ``after_data`` what follows the first blank key.
+    """
+    staging = staging or Staging(cells.sparkSession)
+    sheet, headers, _, bounds = _layout(cells, spec, staging)
+    facts = headers.join(bounds, SHEET_KEY, "left").select(
+        *SHEET_KEY, "header_row", "first_row", "stop_row", "width"
+    )
+    row = F.col("r")
+    reason = (
+        F.when(F.col("header_row").isNull(), "no_header")
+        .when(row < F.coalesce("first_row", F.col("header_row") + spec.header_rows), "header")
+        .when(F.col("first_row").isNull(), "no_data")
+        .when(row >= F.col("stop_row"), "after_data")
+        .when(F.col("c") > F.col("width"), "beyond_columns")
+        .otherwise("kept")
+    )
+    placed = join_checked(sheet.filter(F.col("v").isNotNull()), facts, SHEET_KEY)
+    return (
+        placed.select(*SHEET_KEY, reason.alias("reason"))
+        .groupBy(*SHEET_KEY, "reason")
+        .agg(F.count(F.lit(1)).alias("cells"))
+    )
+
+
 def read_sheet(
     cells: DataFrame, spec: SheetSpec, strict: bool = True, staging: Staging | None = None
 ) -> DataFrame:
@@ -218,27 +286,31 @@ def read_sheet(
 
     ``cells`` maps each resolved logical name to ``struct(v, kind)``. Names and
     bounds, a few rows per sheet, are stored once; the cells are scanned for the
-    header block, for the key column, and for the data.
+    header block, for the key column, and for the data. What is left out is counted by
+    :func:`sheet_rejects`. A column landed twice for a row counts once, by its smallest
+    value.
     """
     staging = staging or Staging(cells.sparkSession)
-    sheet = cells.filter(F.col("sheet") == spec.sheet)
-    headers = staging.table(find_headers(sheet, spec.keys, spec.header_rows), "headers")
+    sheet, headers, names, bounds = _layout(cells, spec, staging)
     if strict:
         assert_headers(headers, f"{list(spec.keys)} in {spec.header_rows} row(s)")
-    names = staging.table(flatten_headers(sheet, headers, spec.header_rows), "names")
-    bounds = staging.table(
-        bound_rows(sheet, key_columns(names, spec.keys[0]), spec.header_rows), "bounds"
-    )
     block = read_rows(sheet, bounds)
     # The key cell stands for its row even where no logical name reads it
     entries = block.filter(F.col("c") == F.col("key_c")).withColumn("logical", F.lit("_row"))
     if spec.columns:
         mapped = staging.table(resolve_columns(names, spec.columns), "columns")
         entries = join_checked(block, mapped, [*SHEET_KEY, "c"]).unionByName(entries)
-    entry = F.struct("logical", F.struct("v", "kind").alias("cell"))
-    return entries.groupBy(*SHEET_KEY, "r").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("cells")
+    # one aggregate per logical column: a row is built from a bounded number of values
+    names_read = ["_row", *(name for name, _ in spec.columns)]
+    held = F.struct("v", "kind")
+    rows = entries.groupBy(*SHEET_KEY, "r").agg(
+        *[F.min(F.when(F.col("logical") == n, held)).alias(f"_{i}") for i, n in enumerate(names_read)]
+    )
+    pairs = F.array(
+        *[F.struct(F.lit(n).alias("logical"), F.col(f"_{i}").alias("cell")) for i, n in enumerate(names_read)]
     )
+    there = F.filter(pairs, lambda p: p["cell"].isNotNull())
+    return rows.select(*SHEET_KEY, "r", F.map_from_entries(there).alias("cells"))
 
 
 def cell(logical: str) -> Column:

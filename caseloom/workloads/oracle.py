@@ -675,6 +675,17 @@ SELECT file, (first_row + i)::INTEGER AS r, c_custkey::VARCHAR AS folio, c_name
        c_acctbal AS saldo
 FROM fichas JOIN libros USING (libro) WHERE libro % 13 <> 12 AND i < n"""
 
+ORACLE["read_sheet_unlimited"] = ORACLE["read_sheet"].replace("libro % 13 <> 12 AND ", "")
+# Per customer four cells: name, one of two ages, balance, and the key unless it is the blank one;
+# seven cells of title and header per workbook.
+ORACLE["landing_rejects"] = f"""
+WITH {BOOKS}, c AS (
+  SELECT file, CASE WHEN libro % 13 = 12 THEN 'no_data' WHEN i < n THEN 'kept' ELSE 'after_data' END AS reason,
+         CASE WHEN i = 30 + libro % 10 THEN 3 ELSE 4 END AS cells
+  FROM fichas JOIN libros USING (libro)
+  UNION ALL SELECT file, 'header', 7 FROM libros)
+SELECT file, reason, sum(cells)::BIGINT AS cells FROM c GROUP BY file, reason"""
+
 # ---------------------------------------------------------------------------
 # Quality and profiles
 # ---------------------------------------------------------------------------

@@ -6,13 +6,14 @@ Every expression is deterministic, so the same data can be written down in SQL
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.dates import elapsed_days
-from caseloom.settings import DatePolicy, SheetSpec
+from caseloom.settings import EARLIER_LIMITS, DatePolicy, SheetSpec
 
 # The days the tables cover
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
@@ -35,7 +36,9 @@ SHEET = SheetSpec(
         ("edad_m", "EDAD | M"),
         ("saldo", "SALDO"),
     ),
+    **EARLIER_LIMITS,
 )
+UNLIMITED_SHEET = replace(SHEET, search_rows=None, search_columns=None, blank_rows=None)
 ROWS_PER_BOOK = 40
 
 

@@ -752,9 +752,8 @@ def header_names(spark, sf):
 def bounded_rows(spark, sf):
     """S3: first data row and first row after the data, per workbook."""
     sheet, names = _names(spark, sf)
-    bounds = landing.bound_rows(
-        sheet, landing.key_columns(names, proxy.SHEET.keys[0]), proxy.SHEET.header_rows
-    )
+    keys = landing.key_columns(names, proxy.SHEET.keys[0])
+    bounds = landing.bound_rows(sheet, keys, proxy.SHEET.header_rows, proxy.SHEET.blank_rows)
     return bounds.select("file", "first_row", "stop_row", "key_c")
 
 
@@ -765,10 +764,7 @@ def resolve_columns(spark, sf):
     return found.select("file", "logical", "c")
 
 
-@query
-def read_sheet(spark, sf):
-    """The data rows of all workbooks."""
-    rows = landing.read_sheet(proxy.cells(spark, sf), proxy.SHEET)
+def _people(rows: DataFrame) -> DataFrame:
     pair = demography.age_by_sex_columns(landing.cell("edad_f")["v"], landing.cell("edad_m")["v"])
     return rows.select(
         "file",
@@ -781,6 +777,24 @@ def read_sheet(spark, sf):
     )
 
 
+@query
+def read_sheet(spark, sf):
+    """The data rows of all workbooks, under the limits of earlier runs."""
+    return _people(landing.read_sheet(proxy.cells(spark, sf), proxy.SHEET))
+
+
+@query
+def read_sheet_unlimited(spark, sf):
+    """The same without limits, so that no workbook is lost to blank rows."""
+    return _people(landing.read_sheet(proxy.cells(spark, sf), proxy.UNLIMITED_SHEET))
+
+
+@query
+def landing_rejects(spark, sf):
+    """Cells by what became of them; kept and rejected add up to what was landed."""
+    return landing.sheet_rejects(proxy.cells(spark, sf), proxy.SHEET).select("file", "reason", "cells")
+
+
 # ---------------------------------------------------------------------------
 # Quality and profiles
 # ---------------------------------------------------------------------------

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from caseloom.errors import HeaderNotFound
-from caseloom.settings import INPATIENT_SHEET, OUTPATIENT_SHEET
+from caseloom.settings import EARLIER_LIMITS, INPATIENT_SHEET, OUTPATIENT_SHEET
 from caseloom.sources import landing
 
 
@@ -94,11 +95,30 @@ def test_flattening_equals_the_model(spark):
         assert [n.name for n in names if n.file == f"{i}"] == flatten_model(block), i
 
 
-@pytest.mark.parametrize(("blanks", "expected"), [(0, 3), (10, 3), (11, 0)])
-def test_data_are_bounded(spark, blanks, expected):
+@pytest.mark.parametrize("blanks", [0, 10, 11])
+def test_data_are_bounded_and_what_is_left_out_is_counted(spark, blanks):
     cells = fx.cell_table(spark, fx.workbook("a.xlsx", three_rows(), phantom=True, blanks=blanks))
-    rows = landing.read_sheet(cells, OUTPATIENT_SHEET).collect()
-    assert len(rows) == expected
+    limited = replace(OUTPATIENT_SHEET, **EARLIER_LIMITS)
+    assert landing.read_sheet(cells, limited).count() == (3 if blanks < 11 else 0)
+    assert landing.read_sheet(cells, OUTPATIENT_SHEET).count() == 3
+    for spec in (limited, OUTPATIENT_SHEET):
+        got = {r.reason: r.cells for r in landing.sheet_rejects(cells, spec).collect()}
+        assert sum(got.values()) == cells.filter(F.col("sheet") == fx.OUT).count()
+        if spec is limited and blanks == 11:
+            assert got == {"header": 1 + len(fx.OUTPATIENT), "no_data": 11}
+        else:
+            assert got == {"header": 1 + len(fx.OUTPATIENT), "kept": 9, "after_data": 2}
+
+
+def test_wide_low_and_doubled_sheets_are_read(spark):
+    wide = [("w", fx.OUT, 70, c, v, "text") for c, v in ((1, "NO. (consecutivo)"), (2, "CASO"), (225, "ESTATUS"))]
+    wide += [("w", fx.OUT, 71, c, v, "text") for c, v in ((1, "1"), (2, "Ana"), (225, "ALTA"), (225, "BAJA"), (300, "x"))]
+    rows = landing.read_sheet(fx.cell_table(spark, wide), OUTPATIENT_SHEET).collect()
+    assert [r.cells["estatus"].v for r in rows] == ["ALTA"]
+    got = {r.reason: r.cells for r in landing.sheet_rejects(fx.cell_table(spark, wide), OUTPATIENT_SHEET).collect()}
+    assert got == {"header": 3, "kept": 4, "beyond_columns": 1}
+    with pytest.raises(HeaderNotFound):
+        landing.read_sheet(fx.cell_table(spark, wide), replace(OUTPATIENT_SHEET, **EARLIER_LIMITS))
 
 
 def test_rows_carry_resolved_columns(spark):
