@@ -16,7 +16,37 @@ from caseloom.settings import DEFAULT_DATES, DatePolicy
 
 _SLASH_DATE = r"(\d{1,2}/\d{1,2}/\d{2,4})"
 _ISO_DATE = r"(\d{4}-\d{1,2}-\d{1,2})"
-_WHOLE_DATE = r"^(\d{1,2})[.-](\d{1,2})[.-](\d{4})$"
+# A whole text, lower case, as (pattern, its date as y-m-d); years of two digits are 20xx
+_WHOLE_DATES = (
+    (r"^(\d{1,2})[-. ](\d{1,2})[-. ](\d{4}|\d{2})$", "$3-$2-$1"),
+    (r"^(\d{4})[. ](\d{1,2})[. ](\d{1,2})$", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4})-(\d{1,2})$", "$1-$2-1"),
+)
+# Names of months, English and Spanish, whole or as their first letters
+_MONTHS = {
+    name: number
+    for number, names in enumerate(
+        (
+            "january jan enero ene",
+            "february feb febrero",
+            "march mar marzo",
+            "april apr abril abr",
+            "may mayo",
+            "june jun junio",
+            "july jul julio",
+            "august aug agosto ago",
+            "september sept sep septiembre setiembre set",
+            "october oct octubre",
+            "november nov noviembre",
+            "december dec diciembre dic",
+        ),
+        1,
+    )
+    for name in names.split()
+}
+_DAY_NAMED = r"^(\d{1,2})[-. ]+(?:de )?([a-z]+)[-., ]+(?:del? )?(\d{4}|\d{2})$"
+_NAMED_DAY = r"^([a-z]+)[-. ]+(\d{1,2})[, ]+(\d{4})$"
 _US_PER_DAY = 86_400_000_000
 # Spreadsheet day numbers outside this range have no timestamp (years 1 to 9999)
 _SERIAL_RANGE = (-693_593, 2_958_465)
@@ -38,8 +68,25 @@ def _year_first(slash: Column, iso: Column, text: Column) -> Column:
     return (
         F.when(slash != "", F.regexp_replace(four_digits, r"^(\d+)/(\d+)/(\d+)$", "$3-$2-$1"))
         .when(iso != "", iso)
-        .when(text.rlike(_WHOLE_DATE), F.regexp_replace(text, _WHOLE_DATE, "$3-$2-$1"))
+        .otherwise(_whole_text(F.lower(text)))
+    )
+
+
+def _whole_text(text: Column) -> Column:
+    """A text that is nothing but a date, as ``y-m-d``, else null."""
+    months = F.create_map(*[F.lit(x) for pair in _MONTHS.items() for x in pair])
+
+    def named(pattern: str, day: int, month: int) -> Column:
+        number = F.try_element_at(months, F.regexp_extract(text, pattern, month))
+        part = F.concat_ws("-", F.regexp_extract(text, pattern, 3), number, F.regexp_extract(text, pattern, day))
+        return F.when(number.isNotNull(), part)
+
+    found = F.when(text.rlike(_DAY_NAMED), named(_DAY_NAMED, 1, 2)).when(
+        text.rlike(_NAMED_DAY), named(_NAMED_DAY, 2, 1)
     )
+    for pattern, date in _WHOLE_DATES:
+        found = found.when(text.rlike(pattern), F.regexp_replace(text, pattern, date))
+    return F.regexp_replace(found, r"^(\d\d)-", "20$1-")
 
 
 def _read_year_first(date: Column, iso: Column, policy: DatePolicy) -> Column:
@@ -67,7 +114,10 @@ def parse_dates(
     """Add the timestamp of each ``struct(v, kind)`` cell under its name; null if it
     is no date. Nothing is dropped for being implausible yet.
 
-    A text is searched for ``d/m/y``, else ``y-m-d``, else read as a whole. Each
+    A text is searched for ``d/m/y``, else ``y-m-d``, else read as a whole: day, month
+    and year apart by points, dashes or blanks, the month as a number or an English or
+    Spanish name; year first; eight digits; or year and month alone, which is the first
+    of the month. A whole text with a time of day or a weekday stays null. Each
     step is a projection of its own, so that it reads the one before as a column
     instead of repeating it.
     """
@@ -99,6 +149,11 @@ def parse_dates(
     return df.drop(*[f"_{n}_{part}" for n in cells for part in scratch])
 
 
+def is_unreadable(cell: Column, parsed: Column) -> Column:
+    """Whether a cell holds something, but no date."""
+    return (F.length(strip(cell["v"])) > 0) & parsed.isNull()
+
+
 def read_dates(
     df: DataFrame, cells: Mapping[str, Column], policy: DatePolicy = DEFAULT_DATES
 ) -> DataFrame:

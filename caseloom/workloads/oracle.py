@@ -585,6 +585,10 @@ WITH d AS (
     THEN o_orderdate - INTERVAL 2 YEAR ELSE o_orderdate END AS f FROM orders)
 SELECT o_orderkey, CASE WHEN f < TIMESTAMP '2001-01-01' THEN f::DATE END AS fecha,
        coalesce(f >= TIMESTAMP '2001-01-01', false) AS anomalia FROM d"""
+ORACLE["parse_date_shapes"] = """
+WITH d AS (SELECT o_orderkey, o_orderkey % 20 AS w, (o_orderdate + INTERVAL 10 YEAR)::DATE AS f FROM orders)
+SELECT o_orderkey, w > 16 AS ilegible,
+       CASE WHEN w = 16 THEN date_trunc('month', f)::DATE WHEN w < 16 THEN f END AS fecha FROM d"""
 RESULT_CELLS = """
 c AS (
   SELECT o_orderkey, o_orderkey % 4 AS w, strftime(o_orderdate, '%d/%m/%Y') AS dia, o_orderdate,

@@ -174,6 +174,45 @@ def dirty_dates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Ways to type a date, by the key's remainder: (format, what stands before, what after)
+DATE_SHAPES = (
+    ("dd/MM/yyyy", "", ""),
+    ("dd/MM/yy", "", " turno C"),
+    ("yyyy-MM-dd", "el ", ""),
+    ("dd-MM-yy", "", ""),
+    ("dd.MM.yy", "", ""),
+    ("d.M.yyyy", " ", ""),
+    ("dd MM yyyy", "", ""),
+    ("yyyy.MM.dd", "", ""),
+    ("yyyy MM dd", "", ""),
+    ("yyyyMMdd", "", ""),
+    ("d MMM yyyy", "", ""),
+    ("dd-MMM-yyyy", "", ""),
+    ("d MMMM yyyy", "", ""),
+    ("MMMM d, yyyy", "", ""),
+    ("MMM d yyyy", "", ""),
+    ("d. MMMM yy", "", ""),
+    ("yyyy-MM", "", ""),
+    ("yyyy", "PENDIENTE ", ""),
+    ("EEEE", "", ""),
+    ("yyyyMM", "", "?"),
+)
+
+
+def shaped_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates in all :data:`DATE_SHAPES`, the first of the century's years moved to 20xx."""
+    way = F.col("o_orderkey") % len(DATE_SHAPES)
+    day = F.col("o_orderdate") + F.expr("INTERVAL 10 YEARS")
+    typed = [
+        F.concat(F.lit(before), F.date_format(day, shape), F.lit(after)) for shape, before, after in DATE_SHAPES
+    ]
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.element_at(F.array(*typed), (way + 1).cast("int")).alias("v"),
+        F.lit("text").alias("kind"),
+    )
+
+
 def dirty_results(spark: SparkSession, sf: str) -> DataFrame:
     """Result and result date, in exchanged cells for every fourth order."""
     key = F.col("o_orderkey")

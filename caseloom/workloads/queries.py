@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -635,6 +636,18 @@ def parse_dates(spark, sf):
     )
 
 
+@query
+def parse_date_shapes(spark, sf):
+    """Twenty ways to type a date, three of them none."""
+    cell = F.struct("v", "kind")
+    policy = replace(proxy.DATES, year_typos=(), shifted_year=None)
+    return dates.parse_dates(proxy.shaped_dates(spark, sf), {"d": cell}, policy).select(
+        "o_orderkey",
+        F.to_date("d").alias("fecha"),
+        dates.is_unreadable(cell, F.col("d")).alias("ilegible"),
+    )
+
+
 @query
 def swap_repair(spark, sf):
     """Results and dates put back into their columns."""

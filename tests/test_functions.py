@@ -152,6 +152,30 @@ def test_cascade_fires_on_the_text_the_call_started_with(spark):
     assert len(chained.collect()) == 3
 
 
+WHOLE_TEXTS = {
+    "18-03-20": (2020, 3, 18),
+    "18.03.20": (2020, 3, 18),
+    "2020.03.18": (2020, 3, 18),
+    "18 03 2020": (2020, 3, 18),
+    "20200318": (2020, 3, 18),
+    "18 mar 2020": (2020, 3, 18),
+    "18-MAR-2020": (2020, 3, 18),
+    "March 18, 2020": (2020, 3, 18),
+    "18 de marzo de 2020": (2020, 3, 18),
+    "2020-03": (2020, 3, 1),
+    "18 foo 2020": None,
+    "31-02-2020": None,
+    "2020": None,
+    "ayer": None,
+}
+
+
+def test_whole_texts_are_read_as_dates(spark):
+    df = spark.createDataFrame([(t, "text") for t in WHOLE_TEXTS], "v string, kind string")
+    got = dates.parse_dates(df, {"d": F.struct("v", "kind")}).collect()
+    assert {r.v: r.d and (r.d.year, r.d.month, r.d.day) for r in got} == WHOLE_TEXTS
+
+
 DATE_VECTORS = [
     ("43914", "number", datetime(2020, 3, 24), False),
     ("43914.5", "number", datetime(2020, 3, 24, 12), False),
