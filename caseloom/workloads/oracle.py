@@ -703,6 +703,14 @@ SELECT control, valor, valor AS esperado, true AS coincide FROM (
                  'demografia.positives', 'geografia.positives', 'derechohabiencia.positives',
                  'kpis.positives', 'series.dated_positives', 'demografia.sin_dato']) AS control,
          unnest([n, n, n, n, p, p, p, p, d, s]) AS valor FROM t)"""
+ORACLE["reconciliation_broken"] = (
+    ORACLE["reconciliation"]
+    .replace("count(*) AS n,", f"""count(*) AS n, {count("seguro <> 'IMSS'")} AS i,
+         {count(f"{POS} AND seguro <> 'IMSS'")} AS j,""", 1)
+    .replace("unnest([n, n, n, n, p, p, p, p, d, s]) AS valor",
+             "unnest([n, n, i, n, p, p, j, p, d, s]) AS valor, unnest([n, n, n, n, p, p, p, p, d, s]) AS bueno")
+    .replace("valor, valor AS esperado, true AS coincide", "valor, bueno AS esperado, valor = bueno AS coincide")
+)
 ORACLE["contract_check"] = f"""
 WITH {CASES}
 SELECT count(*) AS filas, 0::BIGINT AS viola_paciente_id, 0::BIGINT AS viola_edad,

@@ -13,6 +13,7 @@ from caseloom import settings
 from caseloom.functions import dates, demography, identity, measures, text
 from caseloom.operators import cubes, kpi, profile, quality, scaling, series, views
 from caseloom.operators.linkage import LinkOptions, link_candidates, link_rows
+from caseloom.plans.gold import build_gold
 from caseloom.plans.silver import clean_cases, unify_cases
 from caseloom.session import tune
 from caseloom.sources import landing
@@ -811,22 +812,37 @@ def landing_rejects(spark, sf):
 # ---------------------------------------------------------------------------
 # Quality and profiles
 # ---------------------------------------------------------------------------
-@query
-def reconciliation(spark, sf):
-    """Q2-Q4: every table's totals against the cases."""
-    cases = proxy.cases(spark, sf)
+def _reconciled(spark: SparkSession, sf: str, lost: str | None = None) -> DataFrame:
+    """The controls over all tables; ``lost`` is an insurance left out of its cube."""
+    staging = scaling.Staging(spark)
+    cases = staging.table(proxy.cases(spark, sf), "cases")
+    policy = replace(settings.DEFAULT_DATES, first_day=proxy.FIRST_DAY, last_day=proxy.LAST_DAY)
+    tables = build_gold(cases, policy, staging)
+    insurance = tables.insurance if lost is None else tables.insurance.filter(F.col("derechohabiencia") != lost)
     return quality.reconcile(
         cases,
-        _demographic(spark, sf),
-        _case_series(spark, sf),
-        _municipal(spark, sf),
-        _insurance(spark, sf),
-        kpi.kpi_row(proxy.cases(spark, sf, *_KPI_FIELDS)),
-        proxy.FIRST_DAY,
-        proxy.LAST_DAY,
+        tables.demographic,
+        tables.series,
+        tables.municipal,
+        insurance,
+        tables.kpis,
+        policy.first_day,
+        policy.last_day,
     )
 
 
+@query
+def reconciliation(spark, sf):
+    """Q2-Q4: every table's totals against the cases."""
+    return _reconciled(spark, sf)
+
+
+@query
+def reconciliation_broken(spark, sf):
+    """Q2-Q4: the same with an insurance missing from its cube, which two controls tell."""
+    return _reconciled(spark, sf, "IMSS")
+
+
 @query
 def contract_check(spark, sf):
     """Q1: rows breaking the case contract (the proxy has insurances missing)."""
