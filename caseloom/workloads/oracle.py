@@ -711,6 +711,9 @@ ORACLE["reconciliation_broken"] = (
              "unnest([n, n, i, n, p, p, j, p, d, s]) AS valor, unnest([n, n, n, n, p, p, p, p, d, s]) AS bueno")
     .replace("valor, valor AS esperado, true AS coincide", "valor, bueno AS esperado, valor = bueno AS coincide")
 )
+ORACLE["silver_roundtrip"] = f"""
+WITH {CASES} SELECT resultado_prueba, estatus_paciente, count(*) AS n, true AS falta_otra FROM casos GROUP BY ALL"""
+ORACLE["summary_roundtrip"] = ORACLE["kpi_row"]
 ORACLE["contract_check"] = f"""
 WITH {CASES}
 SELECT count(*) AS filas, 0::BIGINT AS viola_paciente_id, 0::BIGINT AS viola_edad,

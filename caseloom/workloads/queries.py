@@ -16,7 +16,7 @@ from caseloom.operators.linkage import LinkOptions, link_candidates, link_rows
 from caseloom.plans.gold import build_gold
 from caseloom.plans.silver import clean_cases, unify_cases
 from caseloom.session import tune
-from caseloom.sources import landing
+from caseloom.sources import landing, tables
 from caseloom.workloads import proxy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -817,15 +817,15 @@ def _reconciled(spark: SparkSession, sf: str, lost: str | None = None) -> DataFr
     staging = scaling.Staging(spark)
     cases = staging.table(proxy.cases(spark, sf), "cases")
     policy = replace(settings.DEFAULT_DATES, first_day=proxy.FIRST_DAY, last_day=proxy.LAST_DAY)
-    tables = build_gold(cases, policy, staging)
-    insurance = tables.insurance if lost is None else tables.insurance.filter(F.col("derechohabiencia") != lost)
+    gold = build_gold(cases, policy, staging)
+    insurance = gold.insurance if lost is None else gold.insurance.filter(F.col("derechohabiencia") != lost)
     return quality.reconcile(
         cases,
-        tables.demographic,
-        tables.series,
-        tables.municipal,
+        gold.demographic,
+        gold.series,
+        gold.municipal,
         insurance,
-        tables.kpis,
+        gold.kpis,
         policy.first_day,
         policy.last_day,
     )
@@ -843,6 +843,27 @@ def reconciliation_broken(spark, sf):
     return _reconciled(spark, sf, "IMSS")
 
 
+@query
+def silver_roundtrip(spark, sf):
+    """Cases stored, read back under their contract, and counted."""
+    path = scaling.Staging(spark).path("cases")
+    tables.write_table(proxy.cases(spark, sf), path)
+    cases = tables.read_table(spark, path, ["resultado_prueba", "estatus_paciente"])
+    absent = tables.read_table_or_none(spark, path + "-none")
+    return cases.groupBy("resultado_prueba", "estatus_paciente").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(absent is None).alias("falta_otra")
+    )
+
+
+@query
+def summary_roundtrip(spark, sf):
+    """The global figures as a JSON object and back."""
+    row = kpi.kpi_row(proxy.cases(spark, sf, *_KPI_FIELDS))
+    path = scaling.Staging(spark).path("summary")
+    tables.write_summary(row, path)
+    return tables.read_summary_or_none(spark, path, row.schema)
+
+
 @query
 def contract_check(spark, sf):
     """Q1: rows breaking the case contract (the proxy has insurances missing)."""
