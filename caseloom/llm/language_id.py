@@ -242,8 +242,8 @@ def identify(
             lead = top - rest.max(axis=1) if len(names) > 1 else top
             return [
                 pa.array([names[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]),
-                pa.array(np.where(known, np.clip(top, 0, 1), 0).astype(np.float64)),
-                pa.array(np.where(known, lead, 0).astype(np.float64)),
+                pa.array(np.where(known, np.round(np.clip(top, 0, 1).astype(np.float64), 6), 0)),
+                pa.array(np.where(known, np.round(lead.astype(np.float64), 6), 0)),
             ]
 
         return work
