@@ -29,12 +29,15 @@ def components(links: DataFrame, staging: Staging, max_rounds: int = 60) -> Data
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # stored before the join, whose other side can then be split at a node with many links
+        least = staging.table(
+            both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least"
+        )
         large = (
             both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         )
         large = staging.table(large, "large")
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        lowest = staging.table(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = (
             large.join(lowest, "a")
             .filter("b <> m")
