@@ -245,7 +245,7 @@ def test_probabilities_are_those_of_the_lattice(vocabulary, text):
 
 
 def test_samples_are_drawn_without_replacement(vocabulary):
-    text, n = "ten", 20_000
+    text, n = "ten", 5000
     p = {k: np.exp(v) for k, v in all_paths(vocabulary, text).items()}
     got = segment.sample(vocabulary, [text] * n, np.arange(n), 2)
     first = Counter(tuple(r[0][0].tolist()) for r in got)
