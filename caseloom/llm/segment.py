@@ -24,7 +24,7 @@ from caseloom.llm.arrow import pieces
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
-_PIECE_CHARS = 1_500_000
+_PIECE_CHARS = 3_000_000
 # Noise from 53-bit uniform numbers lies in (-3.7, 37.5): a region whose log-mass is
 # further below another's than both together cannot come before it.
 _REACH = 41.2
@@ -81,7 +81,7 @@ class Vocabulary:
         for i, score in zip(plain, scores.tolist(), strict=True):
             node = 0
             for c in texts[i]:
-                key = node * len(alphabet) + alphabet[c]
+                key = node * (len(alphabet) + 1) + alphabet[c]
                 if key not in step:
                     step[key] = len(piece_at)
                     piece_at.append(-1)
@@ -107,7 +107,8 @@ class Vocabulary:
 
     @property
     def width(self) -> int:
-        return int(self.chars.max()) + 1
+        """Letters of the trie, and one number for all others."""
+        return int(self.chars.max()) + 2
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of a segmentation: what was encoded, with U+2581 read as a space."""
@@ -151,48 +152,55 @@ class Lattice:
         self.final = np.zeros(n, bool)
         self.final[ends] = True
         end_of = np.repeat(ends, lengths + 1)
-        char = v.chars[points].astype(np.int64)
-        char[self.final] = -1
-        active = np.flatnonzero(char >= 0)
-        node = np.zeros(len(active), np.int64)
-        begin, stop, ids, logs = [], [], [], []
-        depth = 0
-        key_of_root = np.minimum(np.searchsorted(v.keys, np.arange(v.width)), len(v.keys) - 1)
+        # 32-bit numbers do for the places of a piece of text and the keys of the trie
+        wide = np.int32 if max(64 * n, (len(v.piece_at) + 1) * v.width) < 2**31 else np.int64
+        keys = v.keys.astype(wide)
+        char = v.chars[points].astype(wide)
+        char[self.final | (char < 0)] = v.width - 1
+        active = np.flatnonzero(char < v.width - 1).astype(wide)
+        node = np.zeros(len(active), wide)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        key_of_root = np.minimum(np.searchsorted(keys, np.arange(v.width, dtype=wide)), len(keys) - 1)
         while len(active):
-            c = char[active + depth]
-            known = c >= 0
-            active, node, c = active[known], node[known], c[known]
-            key = node * v.width + c
-            at = key_of_root[c] if depth == 0 else np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-            hit = v.keys[at] == key
-            active, node = active[hit], v.targets[at[hit]].astype(np.int64)
-            depth += 1
+            c = char[active + wide(len(found))]
+            key = node * wide(v.width) + c
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1) if found else key_of_root[c]
+            hit = keys[at] == key
+            active, node = active[hit], v.targets[at[hit]].astype(wide)
             whole = v.piece_at[node] >= 0
-            begin.append(active[whole])
-            stop.append(active[whole] + depth)
-            ids.append(v.piece_at[node[whole]])
-            logs.append(v.log_at[node[whole]])
+            found.append((active[whole], node[whole]))
         single = np.zeros(n, bool)
-        if begin:
-            single[begin[0]] = True
+        if found:
+            single[found[0][0]] = True
         bare = np.flatnonzero(~single & ~self.final)
-        size = 1 + (points[bare] > 0x7F) + (points[bare] > 0x7FF).astype(int) + (points[bare] > 0xFFFF)
-        begin.append(bare)
-        stop.append(bare + 1)
-        ids.append(-1 - points[bare].astype(np.int64))
-        logs.append(size * v.byte_log)
-        begin, stop = np.concatenate(begin), np.concatenate(stop)
-        # longer pieces, the likelier ones, come first
-        order = np.argsort(begin * (depth + 2) + (depth + 1 - (stop - begin)), kind="stable")
-        begin, self.stop = begin[order], stop[order]
-        self.id = np.concatenate(ids)[order].astype(np.int64)
-        weight = np.concatenate(logs)[order]
-        self.count = np.bincount(begin, minlength=n)
+        # edges by their start, longer pieces, the likelier ones, first
+        self.count = np.bincount(bare, minlength=n)
+        for begin, _ in found:
+            self.count[begin] += 1
         self.first = np.cumsum(self.count) - self.count
+        total_edges = int(self.count.sum())
+        begin = np.repeat(np.arange(n), self.count)
+        self.stop, self.id = np.empty(total_edges, np.int64), np.empty(total_edges, np.int64)
+        weight = np.empty(total_edges)
+        fill = self.first.copy()
+        for depth in range(len(found), 0, -1):
+            start, last = found[depth - 1]
+            place = fill[start]
+            fill[start] += 1
+            self.stop[place] = start + depth
+            self.id[place] = v.piece_at[last]
+            weight[place] = v.log_at[last]
+        place = fill[bare]
+        size = 1 + (points[bare] > 0x7F) + (points[bare] > 0x7FF).astype(int) + (points[bare] > 0xFFFF)
+        self.stop[place] = bare + 1
+        self.id[place] = -1 - points[bare].astype(np.int64)
+        weight[place] = size * v.byte_log
         # log of all paths' mass from a node to its unit's end, nearest nodes first
         left = end_of[begin] - begin
+        if left.max(initial=0) < 65536:
+            left = left.astype(np.uint16)  # sorted by counting
         by_left = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
+        bounds = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2, dtype=np.int64))
         total = np.zeros(n)
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             part = by_left[lo:hi]
@@ -236,18 +244,20 @@ class Lattice:
 
 
 def units_of(text: str) -> list[str]:
-    """A text with a space put before it, cut before each run of spaces."""
-    words = (_MARK + text.replace(" ", _MARK)).split(_MARK)[1:]
+    """A text with a space put before it, cut before each run of spaces.
+
+    Units are given without the mark for their first space."""
+    words = text.replace(" ", _MARK).split(_MARK)
     if "" not in words:
-        return [_MARK + w for w in words]
-    out, spaces = [], 1
+        return words
+    out, spaces = [], 0
     for w in words:
         if w:
             out.append(_MARK * spaces + w)
-            spaces = 1
+            spaces = 0
         else:
             spaces += 1
-    return out + [_MARK * (spaces - 1)] if spaces > 1 else out
+    return out + [_MARK * (spaces - 1)] if spaces else out
 
 
 # ---------------------------------------------------------------------------
@@ -284,11 +294,12 @@ def _open(row: _Row, lattice: Lattice, wanted: int, since: int, excluded: tuple[
             choice = _choice(lattice, _start(lattice, row, number, since), excluded)
             off[0] = before[0] + np.logaddexp.reduce(log[choice]) if choice else -np.inf
         parts.append(off)
-        seen = np.concatenate(parts)
-        if len(seen) >= wanted:
-            least = float(np.partition(seen, len(seen) - wanted)[len(seen) - wanted])
         reach += len(block)
         prefix += float(block.sum())
+        if reach < len(path):
+            seen = np.concatenate(parts)
+        if reach < len(path) and len(seen) >= wanted:
+            least = float(np.partition(seen, len(seen) - wanted)[len(seen) - wanted])
     if not parts:
         return
     mass = np.concatenate(parts)
@@ -299,8 +310,8 @@ def _open(row: _Row, lattice: Lattice, wanted: int, since: int, excluded: tuple[
     salt = np.full(1, (int(row.seed) + row.number * 0x632BE59BD9B4E019) & (2**64 - 1), np.uint64)
     u = _uniform(salt, live)
     value = -np.logaddexp(-bound, -(mass[live] - np.log(-np.log(u))))
-    best = np.argsort(-value, kind="stable")[:wanted]
-    for k in best.tolist():
+    best = [int(value.argmax())] if wanted == 1 else np.argsort(-value, kind="stable")[:wanted].tolist()
+    for k in best:
         at = since + int(live[k])
         used = excluded if at == since and excluded else (int(path[at]),)
         heapq.heappush(row.regions, (-float(value[k]), number, at, used))
@@ -330,18 +341,19 @@ def sample(vocabulary: Vocabulary, texts: list[str | None], seeds: np.ndarray, k
     """
     if k < 1:
         raise ValueError("at least one segmentation has to be asked for")
-    place: dict[str, int] = {}
-    found: list[int] = []
+    every: list[str] = []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
             units = units_of(text)
             counts[i] = len(units)
-            found += [place.setdefault(u, len(place)) for u in units]
-    if not found:
+            every += units
+    if not every:
         return [[] for _ in texts]
-    lattice = Lattice(vocabulary, list(place))
-    nodes = lattice.starts[np.array(found)]
+    distinct = dict.fromkeys(every)
+    place = dict(zip(distinct, range(len(distinct)), strict=True))
+    lattice = Lattice(vocabulary, [_MARK + u for u in distinct])
+    nodes = lattice.starts[np.fromiter(map(place.__getitem__, every), np.int64, len(every))]
     offset = np.cumsum(counts) - counts
     row_of = np.repeat(np.arange(len(texts)), counts)
     seeds = _mix(np.asarray(seeds, np.uint64))
@@ -392,7 +404,7 @@ def sample(vocabulary: Vocabulary, texts: list[str | None], seeds: np.ndarray, k
             )
             row.values.append(value)
             item += size
-            _open(row, lattice, k, step, (*used, edge))
+            _open(row, lattice, k - number, step, (*used, edge))
     out: list[list[tuple]] = [[] for _ in texts]
     for i, row in rows.items():
         limit = -row.regions[0][0] if row.regions else -np.inf
