@@ -29,6 +29,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that keep enough of their lines, with those lines as their text."""
     judged = line_rules.line_first(_nested(docs, F.col("text").alias("t")), "t")
+    # a filter is not pushed below a generator, so the rules are evaluated once
+    judged = judged.select("row", F.explode(F.array("line_rules")).alias("line_rules"))
     new = {
         "text": F.col("line_rules.cleaned"),
         "n_chars": F.length("line_rules.cleaned").cast("bigint"),
