@@ -48,20 +48,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     staging = Staging(spark)
     rows = _nested(docs, F.col("doc_id"), F.col("text").alias("t"))
-    prints = staging.table(simhash.fingerprints(rows, "t", keep=["row", "doc_id"]), "prints")
-    groups = simhash.near_duplicates(prints.select("doc_id", "fp"), staging)
+    prints = staging.table(simhash.fingerprints(rows, "t", keep=["doc_id"]), "prints")
+    groups = simhash.near_duplicates(prints, staging)
+    # what stands for a row: its id, null or not, and fingerprint, in 128 bits
+    facts = F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp")
+    key = [F.xxhash64(F.lit(k), *facts).alias(f"k{k}") for k in (1, 2)]
     stays = (
         groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("doc_id", "component_id")
         .agg(F.min("fp").alias("fp"))
-        .select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp"))
+        .select(*key)
     )
-    kept = prints.join(
-        stays,
-        (prints["fp"] == stays["stay_fp"]) & prints["doc_id"].eqNullSafe(stays["stay_id"]),
-        "left_semi",
+    # repeated rows are folded before the one shuffle of texts, which the join then shares
+    once = (
+        simhash.fingerprints(rows, "t", keep=["row", "doc_id"])
+        .select("row", *key)
+        .groupBy("k1", "k2")
+        .agg(F.first("row").alias("row"))
     )
-    return kept.dropDuplicates(["doc_id", "fp"]).select("row.*")
+    return once.join(stays, ["k1", "k2"], "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
