@@ -77,7 +77,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = decontaminate.contaminated(
         keyed.select("key", F.col("row.text").alias("text")), items, staging
     )
-    return keyed.join(found.select("key"), "key", "left_anti").select("row.*")
+    # stored, so that its size is known before the join is planned: mostly small enough to
+    # send to the documents, which then need not move
+    stored = staging.table(found.select("key"), "contaminated")
+    return keyed.join(stored, "key", "left_anti").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
