@@ -292,8 +292,10 @@ def near_duplicates(
     distance: int = 4,
     blocks: Sequence[Block] = BLOCKS_WITHIN_4,
 ) -> DataFrame:
-    """``rows (id, fp)`` and ``component_id``: the smallest id reachable over links.
+    """``rows (id, fp)``, ``component_id``, the smallest id reachable over links, and ``root``.
 
+    ``root`` is the smallest fingerprint reachable over links. It tells components apart
+    also where their ids do not: ids that are null, or one id on unlinked texts.
     ``rows`` is read more than once, so pass a stored table. Equal fingerprints are
     folded first; links join only different ones. Every row gets one row back,
     repeated ids too. A null id counts as larger than any other; a component whose
@@ -304,14 +306,18 @@ def near_duplicates(
     roots = components(links(folded, staging, distance, blocks), staging)
     joined = roots.join(folded, roots["node"] == folded["fp"]).select("node", "root", "first")
     least = joined.groupBy("root").agg(F.min("first").alias("least"))
-    found = joined.join(least, "root").select(F.col("node").alias("fp"), "least")
+    found = joined.join(least, "root").select(F.col("node").alias("fp"), "least", "root")
     of_fp = staging.table(
         folded.join(found, "fp", "left").select(
-            "fp", F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id")
+            "fp",
+            F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"),
+            F.coalesce("root", "fp").alias("root"),
         ),
         "components",
     )
-    return known.join(of_fp, "fp", "left").select(F.col("id").alias(id), F.col("fp").alias(fp), "component_id")
+    return known.join(of_fp, "fp", "left").select(
+        F.col("id").alias(id), F.col("fp").alias(fp), "component_id", "root"
+    )
 
 
 def op9_simhash(spark, sf: str) -> DataFrame:

@@ -7,6 +7,7 @@ tables as its operator states.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +21,14 @@ def _nested(docs: DataFrame, *beside: Column) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; one without a letter goes."""
+    """Documents whose language can be told; one without a letter goes.
+
+    Where no row has a language to learn from, only those without a letter go.
+    """
     learned = language_id.learn_profiles(docs)
+    if not any(np.any(v) for v in learned.values()):
+        # any profile tells texts with a letter from those without
+        learned = {"unnamed": np.ones(language_id.Space().dims)}
     found = language_id.identify(_nested(docs, F.col("text").alias("t")), learned, "t", keep=["row"])
     return found.filter(F.col("lang_pred") != language_id.UNDETERMINED).select("row.*")
 
@@ -43,8 +50,9 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Rows with that id and fingerprint are one document; a group without any id keeps
-    one row of its smallest fingerprint.
+    Rows with that id and fingerprint are one document; of several fingerprints under
+    that id the smallest stays, and a group without any id keeps one row of its
+    smallest fingerprint. Groups are told apart by their texts, never by an id.
     """
     staging = Staging(spark)
     rows = _nested(docs, F.col("doc_id"), F.col("text").alias("t"))
@@ -55,7 +63,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     key = [F.xxhash64(F.lit(k), *facts).alias(f"k{k}") for k in (1, 2)]
     stays = (
         groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", "component_id")
+        .groupBy("root", "doc_id")
         .agg(F.min("fp").alias("fp"))
         .select(*key)
     )

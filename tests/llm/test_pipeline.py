@@ -1,5 +1,7 @@
 """The pipeline, stage by stage, against plain statements of what each keeps."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +123,21 @@ def test_the_whole_run_equals_the_stages_one_by_one(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in got} == want and len(got) == len(want)
     assert all(r["round_trip"] and len(r["samples"]) >= 1 for r in got)
+
+
+def test_near_copies_are_grouped_by_text_and_not_by_id(spark):
+    rng = np.random.default_rng(21)
+    a, b, c, d, e = (prose(rng, 90) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (5, c), (5, d), (5, d), (None, e), (7, e), (6, e)]
+    docs = documents(spark, [(i, t, "en", "s", len(t)) for i, t in rows])
+    got = [(r["doc_id"], r["text"]) for r in STAGES["simhash"](spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (None, b), (5, c), (5, d), (6, e)], key=str)
+
+
+def test_without_a_language_to_learn_only_texts_without_a_letter_go(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    texts = [(1000, "some words"), (1001, "\u0905"), (1002, "12 ..."), (1003, ""), (1004, None)]
+    for known in ([], [(held, "more words", "en", "s", 1)], [(1005, "34", "en", "s", 1)]):
+        docs = documents(spark, known + [(i, t, None, "s", 1) for i, t in texts])
+        want = listed(1000, 1001, *[i for i, *_ in known if i == held])
+        assert ids(STAGES["language_id"](spark, docs, SF)) == want
