@@ -12,116 +12,130 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from caseloom.operators.scaling import Staging
+from caseloom.operators.scaling import Staging, dense_index, prefix_sum
 
 BLOCK_TURNS = 1024
-"""Turns are numbered, hashed and rendered in blocks of this width of turn numbers."""
+"""So many turns at most are hashed, or rendered into one segment, as one group."""
 
 # What stands around a turn.
 TURN_OPEN, TURN_CLOSE = "<|im_start|>", "<|im_end|>"
 
 
 def _turns(df: DataFrame) -> DataFrame:
+    """Turns with ``conv``, the id in a struct, which is never null and so can be joined."""
     return df.select(
-        F.col("conv_id"),
-        F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK_TURNS).alias("block"),
+        F.struct("conv_id").alias("conv"),
         F.coalesce(F.col("turn"), F.lit(-1)).cast("bigint").alias("turn"),
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    ).withColumn("a", F.xxhash64("role", "text"))
+    ).withColumns({"a": F.xxhash64("role", "text"), "b": F.xxhash64("text", F.lit("|"), "role")})
 
 
-def prefixes(turns: DataFrame, staging: Staging) -> DataFrame:
-    """``(conv_id, n, h1, h2, last)`` for every turn: hashes of the first ``n`` turns.
+def numbered(turns: DataFrame, staging: Staging) -> DataFrame:
+    """``(conv, block, cell, turn, a, b, n)`` for every different turn, ``n`` from 1.
 
-    A hash is the exclusive-or of its turns' hashes, each taken with its place, so
-    blocks of a long conversation are hashed side by side: places come from block
-    counts summed over the blocks before, and rolling hashes from block hashes in
-    the same way. No task sorts more than a block, or a conversation's list of blocks.
+    Turns are counted by range of (conversation, number, role, hashes), so one
+    conversation may hold any share of them under any numbers. ``block`` goes by place
+    and has ``BLOCK_TURNS`` turns at most, ``cell`` by turn number.
     """
-    cell = W.partitionBy("conv_id", "block")
-    order = cell.orderBy("turn", "role", "a", "b")
-    earlier = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy("conv_id")
-    numbered = staging.table(
-        turns.withColumn("b", F.xxhash64("text", F.lit("|"), "role"))
-        .select("conv_id", "block", "turn", "role", "a", "b")
-        .distinct()
-        .select("conv_id", "block", F.row_number().over(order).alias("r"), "a", "b"),
+    apart = turns.select("conv", "turn", "role", "a", "b").distinct()
+    return staging.table(
+        dense_index(apart, ["conv"], ["turn", "role", "a", "b"], "r", staging).select(
+            "conv",
+            F.floor(F.col("r") / BLOCK_TURNS).alias("block"),
+            F.floor(F.col("turn") / BLOCK_TURNS).alias("cell"),
+            "turn",
+            "a",
+            "b",
+            (F.col("r") + 1).alias("n"),
+        ),
         "turns",
     )
-    before = (
-        numbered.groupBy("conv_id", "block")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(
-            "conv_id",
-            "block",
-            F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"),
-            F.sum("rows").over(whole).alias("total"),
-        )
-    )
 
-    def beside(rows: DataFrame, facts: DataFrame) -> DataFrame:
-        facts = facts.withColumnsRenamed({"conv_id": "_conv", "block": "_block"})
-        return rows.join(
-            facts, rows["conv_id"].eqNullSafe(facts["_conv"]) & (rows["block"] == facts["_block"])
-        ).drop("_conv", "_block")
 
-    placed = staging.table(
-        beside(numbered, before).select(
-            "conv_id",
-            "block",
-            (F.col("offset") + F.col("r")).alias("n"),
-            (F.col("offset") + F.col("r") == F.col("total")).alias("last"),
-            F.xxhash64("a", F.col("offset") + F.col("r")).alias("a"),
-            F.xxhash64("b", F.col("offset") + F.col("r")).alias("b"),
-        ),
-        "placed",
+def prefixes(turns: DataFrame) -> DataFrame:
+    """``(conv, n, h1, h2, last)`` for every numbered turn: hashes of the first ``n`` turns.
+
+    A hash is the exclusive-or of its turns' hashes, each taken with its place, so
+    blocks of a long conversation are hashed side by side: rolling hashes come from
+    those of the blocks before. No task sorts more than blocks, or a conversation's
+    list of blocks.
+    """
+    placed = turns.select(
+        "conv", "block", "n", F.xxhash64("a", "n").alias("a"), F.xxhash64("b", "n").alias("b")
     )
+    earlier = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     rolled = (
-        placed.groupBy("conv_id", "block")
-        .agg(F.bit_xor("a").alias("a0"), F.bit_xor("b").alias("b0"))
+        placed.groupBy("conv", "block")
+        .agg(F.bit_xor("a").alias("a0"), F.bit_xor("b").alias("b0"), F.max("n").alias("end"))
         .select(
-            "conv_id",
+            "conv",
             "block",
             F.coalesce(F.bit_xor("a0").over(earlier), F.lit(0)).alias("a0"),
             F.coalesce(F.bit_xor("b0").over(earlier), F.lit(0)).alias("b0"),
+            F.max("end").over(W.partitionBy("conv")).alias("total"),
         )
     )
-    so_far = cell.orderBy("n").rowsBetween(W.unboundedPreceding, 0)
+    so_far = W.partitionBy("conv", "block").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
     inside = placed.select(
-        "conv_id",
+        "conv",
         "block",
         "n",
-        "last",
         F.bit_xor("a").over(so_far).alias("a"),
         F.bit_xor("b").over(so_far).alias("b"),
     )
-    return beside(inside, rolled).select(
-        "conv_id",
+    return inside.join(rolled, ["conv", "block"]).select(
+        "conv",
         "n",
         F.col("a").bitwiseXOR(F.col("a0")).alias("h1"),
         F.col("b").bitwiseXOR(F.col("b0")).alias("h2"),
-        "last",
+        (F.col("n") == F.col("total")).alias("last"),
     )
 
 
-def maximal(df: DataFrame, staging: Staging) -> DataFrame:
-    """``(conv_id, n_turns, n_copies)`` of conversations no other one continues.
+def maximal(turns: DataFrame, staging: Staging) -> DataFrame:
+    """``(conv, n_turns, n_copies)`` of conversations no other one continues.
 
     ``n_copies`` counts the conversations with the same turns, of which the one with
     the smallest id stays. Prefixes are distinct before they are compared, so an
     opening that thousands of conversations share is one row.
     """
-    known = staging.table(prefixes(_turns(df), staging), "prefixes")
+    known = staging.table(prefixes(turns), "prefixes")
     key = ["n", "h1", "h2"]
     ends = (
         known.filter("last")
         .groupBy(*key)
-        .agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_copies"))
+        .agg(
+            # a null id is taken only where there is no other
+            F.struct(F.min("conv.conv_id").alias("conv_id")).alias("conv"),
+            F.count(F.lit(1)).alias("n_copies"),
+        )
     )
     inner = known.filter(~F.col("last")).select(*key).distinct()
-    return ends.join(inner, key, "left_anti").select("conv_id", F.col("n").alias("n_turns"), "n_copies")
+    return ends.join(inner, key, "left_anti").select("conv", F.col("n").alias("n_turns"), "n_copies")
+
+
+def segments(turns: DataFrame, kept: DataFrame, staging: Staging) -> DataFrame:
+    """Numbered turns of the conversations ``kept`` with its columns and their ``segment``.
+
+    A cell of more than ``BLOCK_TURNS`` turns is cut, and the segments after it move up.
+    What is joined to turns is found from counts per cell and block, which are few
+    also where a cell holds many turns.
+    """
+    parts = staging.table(
+        turns.groupBy("conv", "cell", "block")
+        .agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("rows"))
+        .join(kept, "conv"),
+        "parts",
+    )
+    cells = parts.groupBy("conv", "cell").agg(F.min("first").alias("first"), F.sum("rows").alias("rows"))
+    more = F.floor((F.col("rows") - 1) / BLOCK_TURNS)
+    starts = prefix_sum(cells, ["conv"], ["cell"], more, "moved", staging).drop("rows")
+    facts = parts.drop("first", "rows").join(starts, ["conv", "cell"])
+    piece = F.floor((F.col("n") - F.col("first")) / BLOCK_TURNS)
+    return turns.join(facts, ["conv", "cell", "block"]).withColumn(
+        "segment", F.col("cell") + F.col("moved") + piece
+    )
 
 
 def rendered(turn: Column) -> Column:
@@ -138,20 +152,26 @@ def format_chats(df: DataFrame, staging: Staging) -> DataFrame:
     order; a null number comes first, null role and text count as empty. A row repeated
     as it stands is one turn. Rows without ``conv_id`` are one conversation. A
     conversation is a segment for each ``BLOCK_TURNS`` turn numbers that it has, to be
-    joined in order; hardly any has more than one. An empty table gives an empty one.
+    joined in order; hardly any has more than one. Where more turns than that have such
+    numbers (null or repeated ones), they are several segments and later ones move up.
+    An empty table gives an empty one.
     """
-    kept = staging.table(maximal(df, staging), "maximal")
-    facts = kept.withColumnRenamed("conv_id", "_conv")
     turns = _turns(df)
-    ours = turns.join(facts, turns["conv_id"].eqNullSafe(facts["_conv"])).drop("_conv")
+    places = numbered(turns, staging)
+    kept = staging.table(maximal(places, staging), "maximal")
+    key = ["conv", "turn", "a", "b"]
+    where = segments(places, kept, staging).select(*key, "n", "n_turns", "n_copies", "segment")
+    # repeated rows are folded before the shuffle of texts, which the join then shares
+    once = turns.groupBy(*key).agg(F.first(F.struct("role", "text")).alias("said"))
     return (
-        ours.groupBy("conv_id", "n_turns", "n_copies", "block")
-        .agg(F.sort_array(F.collect_set(F.struct("turn", "role", "a", "text"))).alias("turns"))
+        once.join(where, key)
+        .groupBy("conv", "n_turns", "n_copies", "segment")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "said.role", "said.text"))).alias("turns"))
         .select(
-            "conv_id",
+            "conv.conv_id",
             "n_turns",
             "n_copies",
-            F.col("block").alias("segment"),
+            "segment",
             F.array_join(F.transform("turns", rendered), "").alias("text"),
         )
     )

@@ -227,3 +227,24 @@ def test_chats_equal_a_plain_model(spark):
         assert texts[c] == "".join(f"{chat.TURN_OPEN}{r}\n{t}{chat.TURN_CLOSE}\n" for r, t in path)
     assert sum(r["conv_id"] == 900 for r in got) == 3 and 901 not in facts
     assert chat.format_chats(extra.limit(0), Staging(spark)).count() == 0
+
+
+def test_chats_are_cut_however_turns_are_numbered(spark):
+    size = chat.BLOCK_TURNS
+    many = 2 * size + 500
+    rows = [(None, None, f"{k:05d}", "lost") for k in range(many)] + [(None, 5000, "user", "late")]
+    rows += [(1, 7, f"{k:05d}", "tied") for k in range(size + 1)] + [(1, size + 3, "user", "next")]
+    rows += [(2, None, "user", "first")] + [(2, k, "user", str(k)) for k in range(size)]
+    rows += [(3, None, f"{k:05d}", "lost") for k in range(size + 76)] + rows[:9]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = chat.format_chats(table, Staging(spark)).orderBy("conv_id", "segment").collect()
+    assert all(r["text"].count(chat.TURN_OPEN) <= size for r in got)
+    want = plain_chats(rows)
+    assert 3 not in want
+    for c, (n, copies, path) in want.items():
+        ours = [r for r in got if r["conv_id"] == c]
+        assert {(r["n_turns"], r["n_copies"]) for r in ours} == {(n, copies)}
+        told = "".join(f"{chat.TURN_OPEN}{r}\n{t}{chat.TURN_CLOSE}\n" for r, t in path)
+        assert "".join(r["text"] for r in ours) == told
+    named = {c: [r["segment"] for r in got if r["conv_id"] == c] for c in want}
+    assert named == {None: [-1, 0, 1, 6], 1: [0, 1, 2], 2: [-1, 0]}
