@@ -9,9 +9,12 @@ from caseloom.llm import (
     language_id,
     licenses,
     line_rules,
+    merkle,
+    mixing,
     segment,
     simhash,
     warc,
+    whitening,
     wrapper,
 )
 
@@ -26,6 +29,9 @@ _MODULES = (
     decontaminate,
     simhash,
     chat,
+    merkle,
+    whitening,
+    mixing,
 )
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
