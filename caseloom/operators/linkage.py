@@ -6,10 +6,8 @@ winning a tie; an admission is used once. Keys do not influence each other.
 
 * Keys with few rows on either side - persons - are matched inside one shuffle
   by a higher-order expression over the key's rows.
-* A key that gathers many rows (blank names hash alike) is never collected. Its
-  notifications are folded in chunks of bounded size, every chunk seeing only
-  the next unused admissions it could possibly take; what has been used is
-  carried as a count per admission cell. The result is the same.
+* Keys beyond that (blank names hash alike) are matched in ``hot_linkage``, by their
+  numbers and times only; their rows are joined to the matches afterwards.
 """
 
 from __future__ import annotations
@@ -17,22 +15,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from caseloom.functions.dates import elapsed_days, micros_between
-from caseloom.operators.scaling import Staging, dense_index, join_checked
+from caseloom.operators.hot_linkage import DAY_US, HotSizes, match_hot
+from caseloom.operators.scaling import Staging, join_checked, running
 from caseloom.settings import HOSPITALISED, LINK_KEYS, LINK_WINDOW_DAYS
 
-DAY_US = 86_400_000_000
-
 
 @dataclass(frozen=True)
 class LinkOptions:
-    """What links, and from which size on a key is folded in chunks."""
+    """What links, and the sizes from which on a key is matched in another way."""
 
     keys: tuple[str, ...] = LINK_KEYS
     order: str = "row_order"
@@ -40,8 +34,7 @@ class LinkOptions:
     admitted: str = "fecha_ingreso_hospital"
     window_days: int = LINK_WINDOW_DAYS
     small_key_rows: int = 64
-    chunk_rows: int = 100_000
-    chunk_cells: int = 4_000_000
+    sizes: HotSizes = HotSizes()
 
 
 def _key(columns: Sequence[str]) -> Column:
@@ -55,51 +48,79 @@ def _micros(timestamp: Column) -> Column:
     return micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), timestamp)
 
 
-def _span(at: Column, window_days: int) -> Column:
-    """Number of the span of days a time lies in; spans are as long as the reach."""
-    return F.floor(at / F.lit((window_days + 1) * DAY_US)).cast("int")
-
-
-def _explode_spans(at: Column, window_days: int) -> Column:
-    """The spans, three at most, that hold every time within the window."""
-    back, ahead = window_days * DAY_US, (window_days + 1) * DAY_US
-    return F.explode(F.sequence(_span(at - back, window_days), _span(at + ahead, window_days)))
-
-
 # ---------------------------------------------------------------------------
 # Candidates: counts and nearest distance, without listing pairs
 # ---------------------------------------------------------------------------
 def link_candidates(
-    notifications: DataFrame, admissions: DataFrame, options: LinkOptions = LinkOptions()
+    notifications: DataFrame,
+    admissions: DataFrame,
+    options: LinkOptions = LinkOptions(),
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Per notification: admissions of its key within the window, and the least days.
 
-    Both sides are first reduced to distinct (key, time) cells, which meet on
-    (key, span of days); so many rows of one key and time cost one cell.
+    No pairs are made. Admissions of a key are counted in order of time: those up to the
+    end of a notification's window, less those before it, are its candidates, and the
+    last before it and the next after it are the nearest. Both sides are first reduced
+    to distinct (key, time), each notified time asks at three points, and a key of any
+    size is spread over ranges of time.
     """
+    staging = staging or Staging(notifications.sparkSession)
     keys, window = list(options.keys), options.window_days
-    times = notifications.groupBy(*keys, F.col(options.notified).alias("_start")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
+    key = F.struct(*[F.col(k) for k in keys]).alias("_key")
+    notified, admitted = _micros(F.col(options.notified)), _micros(F.col(options.admitted))
+    # a struct is never null, so rows without a key are told apart by the null inside
+    there = F.lit(True)
+    for k in keys:
+        there = there & F.col(k).isNotNull()
     cells = (
-        admissions.groupBy(*keys, F.col(options.admitted).alias("_end"))
-        .agg(F.count(F.lit(1)).alias("_admissions"))
-        .withColumn("_span", _span(_micros(F.col("_end")), window))
+        admissions.filter(there & F.col(options.admitted).isNotNull())
+        .groupBy(key, admitted.alias("at"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select("_key", "at", F.lit(3).alias("part"), F.lit(0).cast("bigint").alias("asked"), "rows")
     )
-    reached = times.withColumn("_span", _explode_spans(_micros(F.col("_start")), window))
-    distance = elapsed_days(F.col("_start"), F.col("_end"))
-    nearest = (
-        reached.join(cells, [*keys, "_span"])
-        .withColumn("_days", distance)
-        .filter(F.col("_days") <= window)
-        .groupBy(*keys, "_start")
+    times = notifications.filter(there & F.col(options.notified).isNotNull()).select(
+        key, notified.alias("asked")
+    )
+    day, none = F.lit(DAY_US), F.lit(0).cast("bigint")
+    points = F.array(
+        F.struct((F.col("asked") - window * day).alias("at"), F.lit(0).alias("part")),
+        F.struct(F.col("asked").alias("at"), F.lit(1).alias("part")),
+        F.struct((F.col("asked") + (window + 1) * day).alias("at"), F.lit(2).alias("part")),
+    )
+    probes = times.distinct().select("_key", "asked", F.inline(points)).select(
+        "_key", "at", "part", "asked", none.alias("rows")
+    )
+    here = F.when(F.col("part") == 3, F.col("at"))
+    swept = running(
+        cells.unionByName(probes),
+        ["_key"],
+        ["at", "part", "asked"],
+        staging,
+        {"before": ("sum", F.col("rows")), "last": ("max", here)},
+        {"next": ("min", here)},
+    )
+
+    def at_point(part: int, value: Column) -> Column:
+        return F.max(F.when(F.col("part") == part, value))
+
+    def days(admission: str) -> Column:
+        return F.abs(F.floor((F.col(admission) - F.col("asked")) / day)).cast("int")
+
+    nearest = F.least(days("last"), days("next"))
+    found = (
+        swept.filter("part < 3")
+        .groupBy("_key", "asked")
         .agg(
-            F.sum("_admissions").alias("n_candidates"),
-            F.min("_days").alias("nearest_days"),
+            (at_point(2, F.col("before")) - at_point(0, F.col("before"))).alias("n_candidates"),
+            at_point(1, nearest).alias("nearest_days"),
         )
-        .withColumnRenamed("_start", options.notified)
+        .withColumn("nearest_days", F.when(F.col("n_candidates") > 0, F.col("nearest_days")))
+    )
+    joined = notifications.withColumns({"_key": key, "asked": notified}).join(
+        found, ["_key", "asked"], "left"
     )
-    return notifications.join(nearest, [*keys, options.notified], "left").withColumn(
+    return joined.drop("_key", "asked").withColumn(
         "n_candidates", F.coalesce("n_candidates", F.lit(0))
     )
 
@@ -178,164 +199,17 @@ def _match_small(rows: DataFrame, payload: Sequence[str], options: LinkOptions)
 # ---------------------------------------------------------------------------
 # Hot keys
 # ---------------------------------------------------------------------------
-def _fold_chunk(window_days: int):
-    """Matches of one chunk of one key, as a function of two pandas frames."""
-
-    def fold(chunk: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(chunk) and len(heads):
-            heads = heads.sort_values(["cell", "idx"], kind="stable")
-            cells, first = np.unique(heads["cell"].to_numpy(), return_index=True)
-            queues = np.split(heads["h_seq"].to_numpy(), first[1:])
-            left = (heads["capacity"] - heads["consumed"]).to_numpy()[first].tolist()
-            taken = [0] * len(cells)
-            reach: dict[int, list[tuple[int, list[int]]]] = {}
-            ordered = chunk.sort_values("n_seq")
-            for seq, at in zip(ordered["n_seq"].tolist(), ordered["at"].tolist()):
-                if at not in reach:
-                    reach[at] = _by_distance(cells, at, window_days)
-                unused, pick, head, pick_days = 0, None, None, None
-                for days, members in reach[at]:
-                    for c in members:
-                        free = left[c] - taken[c]
-                        if free > 0:
-                            unused += free
-                            if pick_days is None or days == pick_days:
-                                candidate = queues[c][taken[c]]
-                                if head is None or candidate < head:
-                                    pick, head, pick_days = c, candidate, days
-                    if pick is not None and unused > 1:
-                        break
-                if pick is not None:
-                    taken[pick] += 1
-                    out.append((seq, head, cells[pick], pick_days, unused > 1))
-        frame = pd.DataFrame(out, columns=["n_seq", "h_seq", "cell", "days", "collided"])
-        frame.insert(0, "_key", chunk["_key"].iloc[0] if out else None)
-        return frame
-
-    return fold
-
-
-def _by_distance(cells: np.ndarray, at: int, window_days: int) -> list[tuple[int, list[int]]]:
-    """Positions of the cells within reach, grouped by distance in days."""
-    low = np.searchsorted(cells, at - window_days * DAY_US)
-    high = np.searchsorted(cells, at + (window_days + 1) * DAY_US)
-    groups: dict[int, list[int]] = {}
-    for position in range(low, high):
-        days = abs(int(cells[position] - at) // DAY_US)
-        if days <= window_days:
-            groups.setdefault(days, []).append(position)
-    return sorted(groups.items())
-
-
-_MATCH_SCHEMA = "_key string, n_seq bigint, h_seq bigint, cell bigint, days int, collided boolean"
-
-
-def _match_hot(
-    rows: DataFrame, stats: DataFrame, options: LinkOptions, staging: Staging
-) -> DataFrame | None:
-    """Matches of keys too large to gather: ``(_n_ord, _h_ord, days, collided)``."""
-    two_sided = stats.filter((F.col("n_rows") > 0) & (F.col("h_rows") > 0))
-    rows = join_checked(rows, two_sided.select("_key", "tod_min", "tod_max"), ["_key"])
-    day = F.lit(DAY_US)
-    notified = rows.filter("_is_notified").select(
-        "_key", F.col(options.order).alias("_n_ord"), _micros(F.col(options.notified)).alias("at")
-    )
-    admitted_us = _micros(F.col(options.admitted))
-    # If all notifications of a key share a time of day, admissions between two
-    # such instants look alike to all of them and form one cell.
-    cell = F.when(
-        F.col("tod_min") == F.col("tod_max"),
-        admitted_us - F.pmod(admitted_us - F.col("tod_min"), day),
-    ).otherwise(admitted_us)
-    admitted = rows.filter("_is_admitted").select(
-        "_key", F.col(options.order).alias("_h_ord"), cell.alias("cell")
-    )
-    admitted = dense_index(admitted, ["_key"], ["_h_ord"], "h_seq", staging)
-    admitted = dense_index(admitted, ["_key", "cell"], ["h_seq"], "idx", staging)
-    admitted = staging.table(admitted, "hot-admissions")
-    state = staging.table(
-        admitted.groupBy("_key", "cell")
-        .agg(F.count(F.lit(1)).alias("capacity"))
-        .withColumn("span", _span(F.col("cell"), options.window_days))
-        .withColumn("consumed", F.lit(0).cast("bigint")),
-        "hot-cells",
-    )
+def _events(rows: DataFrame, options: LinkOptions) -> DataFrame:
+    """``(_key, notified, ord, at)``: a row for each date of a row."""
+    order = F.col(options.order)
 
-    # A chunk shrinks where its notifications can see many cells, so that it
-    # never asks for more than ``chunk_cells`` admissions at once.
-    around = W.partitionBy("_key").orderBy("span").rangeBetween(-2, 0)
-    visible = (
-        state.groupBy("_key", "span")
-        .agg(F.count(F.lit(1)).alias("_cells"))
-        .withColumn("_cells", F.sum("_cells").over(around))
-        .groupBy("_key")
-        .agg(F.max("_cells").alias("_cells"))
-    )
-    size = F.greatest(
-        F.lit(1),
-        F.least(F.lit(options.chunk_rows), F.floor(F.lit(options.chunk_cells) / F.col("_cells"))),
-    )
-    numbered = join_checked(
-        dense_index(notified, ["_key"], ["_n_ord"], "n_seq", staging), visible, ["_key"]
-    ).withColumn("chunk", F.floor(F.col("n_seq") / size).cast("int"))
-    numbered = staging.table(
-        numbered.drop("_cells").repartition(F.col("chunk"), F.pmod(F.xxhash64("n_seq"), F.lit(16))),
-        "hot-notifications",
-        ["chunk"],
-    )
-    last = numbered.agg(F.max("chunk")).first()[0]
-    if last is None:
-        return None
-
-    fold = _fold_chunk(options.window_days)
-    found_path = staging.path("matches")
-    for number in range(last + 1):
-        chunk = numbered.filter(F.col("chunk") == number).select("_key", "n_seq", "at")
-        seekers = (
-            chunk.groupBy("_key", "at")
-            .agg(F.count(F.lit(1)).alias("_seekers"))
-            .withColumn("span", _explode_spans(F.col("at"), options.window_days))
-        )
-        # No more admissions of a cell can be asked for than there are seekers
-        demand = (
-            seekers.join(state, ["_key", "span"])
-            .groupBy("_key", "cell", "capacity", "consumed")
-            .agg(F.sum("_seekers").alias("_demand"))
-        )
-        heads = (
-            admitted.join(demand, ["_key", "cell"])
-            .filter(F.col("idx") >= F.col("consumed"))
-            .filter(F.col("idx") < F.col("consumed") + F.col("_demand"))
-            .select("_key", "cell", "idx", "h_seq", "capacity", "consumed")
-        )
-        found = chunk.groupBy("_key").cogroup(heads.groupBy("_key")).applyInPandas(
-            fold, _MATCH_SCHEMA
-        )
-        target = f"{found_path}/chunk={number}"
-        found.write.parquet(target)
-        used = (
-            rows.sparkSession.read.schema(_MATCH_SCHEMA)
-            .parquet(target)
-            .groupBy("_key", "cell")
-            .agg(F.count(F.lit(1)).alias("_used"))
-        )
-        state = staging.table(
-            state.join(used, ["_key", "cell"], "left").select(
-                "_key",
-                "cell",
-                "capacity",
-                "span",
-                (F.col("consumed") + F.coalesce("_used", F.lit(0))).alias("consumed"),
-            ),
-            f"consumed-{number}",
+    def side(flag: str, notified: bool, at: str) -> DataFrame:
+        return rows.filter(flag).select(
+            "_key", F.lit(notified).alias("notified"), order.alias("ord"), _micros(F.col(at)).alias("at")
         )
 
-    matches = rows.sparkSession.read.schema(_MATCH_SCHEMA).parquet(f"{found_path}/chunk=*")
-    return (
-        matches.join(numbered.select("_key", "n_seq", "_n_ord"), ["_key", "n_seq"])
-        .join(admitted.select("_key", "h_seq", "_h_ord"), ["_key", "h_seq"])
-        .select("_n_ord", "_h_ord", "days", "collided")
+    return side("_is_notified", True, options.notified).unionByName(
+        side("_is_admitted", False, options.admitted)
     )
 
 
@@ -351,16 +225,10 @@ def _output_hot(
     order = F.col(options.order)
     notified = rows.filter("_is_notified").select(order.alias("_n_ord"), record.alias("row"))
     admitted = rows.filter("_is_admitted").select(order.alias("_h_ord"), record.alias("row"))
-    matches = _match_hot(rows, stats, options, staging)
-    if matches is None:
-        matches = rows.limit(0).select(
-            order.alias("_n_ord"),
-            order.alias("_h_ord"),
-            F.lit(0).alias("days"),
-            F.lit(False).alias("collided"),
-        )
-    else:
-        matches = staging.table(matches, "hot-matches")
+    events = _events(rows, options)
+    matches = staging.table(
+        match_hot(events, stats, options.window_days, options.sizes, staging), "hot-matches"
+    )
     taken = matches.join(admitted.withColumnRenamed("row", "taken"), "_h_ord").drop("_h_ord")
     linked = notified.join(taken, "_n_ord", "left").select(
         "row", "taken", "days", F.coalesce("collided", F.lit(False)).alias("collided")
@@ -395,17 +263,12 @@ def link_rows(
         .filter("_is_notified OR _is_admitted")
         .withColumn("_key", _key(options.keys))
     )
-    time_of_day = F.when(
-        F.col("_is_notified"), F.pmod(_micros(F.col(options.notified)), F.lit(DAY_US))
-    )
     limit = options.small_key_rows
     hot = staging.table(
         dated.groupBy("_key")
         .agg(
             F.count_if("_is_notified").alias("n_rows"),
             F.count_if("_is_admitted").alias("h_rows"),
-            F.min(time_of_day).alias("tod_min"),
-            F.max(time_of_day).alias("tod_max"),
         )
         .filter((F.col("n_rows") > limit) | (F.col("h_rows") > limit)),
         "hot-keys",

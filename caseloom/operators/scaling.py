@@ -111,43 +111,80 @@ def catalog_join(
     )
 
 
-def prefix_sum(
+def running(
     df: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
-    weight: Column,
-    output: str,
     staging: Staging,
+    earlier: Mapping[str, tuple[str, Column]] = {},
+    onward: Mapping[str, tuple[str, Column]] = {},
 ) -> DataFrame:
-    """Sum of ``weight`` over the earlier rows of each group, for groups of any size.
+    """Sums and extremes over a row's neighbours, for groups of any size.
 
-    A plain window would sort a whole group in one task. Here rows are spread
-    by range of (group, order), summed inside their range, and shifted by what
-    the group holds in earlier ranges. ``order`` must be unique in a group.
+    ``earlier`` maps an output to ``(sum | max | min, value)`` over the rows of the group
+    before this one, ``onward`` over this one and those after it. A plain window would
+    sort a whole group in one task. Here rows are spread by range of (group, order),
+    taken together inside their range, and joined with what the group holds in earlier,
+    or later, ranges. ``order`` must be unique in a group, ``groups`` not null.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = [
+        (name, kind, value, ahead)
+        for ahead, outputs in ((False, earlier), (True, onward))
+        for name, (kind, value) in outputs.items()
+    ]
+    values = {f"_v{i}": value for i, (_, _, value, _) in enumerate(wanted)}
     spread = staging.table(
-        df.withColumn("_weight", weight.cast("bigint"))
+        df.withColumns(values)
         .repartitionByRange(ranges, *groups, *order)
         .withColumn("_range", F.spark_partition_id()),
         "ranges",
     )
     cell = ["_range", *groups]
-    ranges_before = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    rows_before = W.partitionBy(*cell).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    none = F.lit(0)
-    offsets = (
-        spread.groupBy(*cell)
-        .agg(F.sum("_weight").alias("_total"))
-        .select(*cell, F.coalesce(F.sum("_total").over(ranges_before), none).alias("_offset"))
+
+    def frame(by: Sequence[str], within: Sequence[str], ahead: bool, here: int) -> W:
+        ends = (here, W.unboundedFollowing) if ahead else (W.unboundedPreceding, -1)
+        return W.partitionBy(*by).orderBy(*within).rowsBetween(*ends)
+
+    totals = spread.groupBy(*cell).agg(
+        *[getattr(F, kind)(f"_v{i}").alias(f"_t{i}") for i, (_, kind, _, _) in enumerate(wanted)]
     )
-    return (
-        spread.withColumn("_within", F.coalesce(F.sum("_weight").over(rows_before), none))
-        .join(offsets, cell)
-        .withColumn(output, F.col("_within") + F.col("_offset"))
-        .drop("_range", "_weight", "_within", "_offset")
+    elsewhere = totals.select(
+        *cell,
+        *[
+            getattr(F, kind)(f"_t{i}").over(frame(groups, ["_range"], ahead, 1)).alias(f"_o{i}")
+            for i, (_, kind, _, ahead) in enumerate(wanted)
+        ],
+    )
+    inside = spread.withColumns(
+        {
+            f"_w{i}": getattr(F, kind)(f"_v{i}").over(frame(cell, order, ahead, 0))
+            for i, (_, kind, _, ahead) in enumerate(wanted)
+        }
     )
 
+    def both(i: int, kind: str) -> Column:
+        if kind == "sum":
+            none = F.lit(0)
+            return F.coalesce(f"_w{i}", none) + F.coalesce(f"_o{i}", none)
+        return (F.greatest if kind == "max" else F.least)(f"_w{i}", f"_o{i}")
+
+    made = {name: both(i, kind) for i, (name, kind, _, _) in enumerate(wanted)}
+    helpers = [f"_{letter}{i}" for i in range(len(wanted)) for letter in "vwo"]
+    return inside.join(elsewhere, cell).withColumns(made).drop("_range", *helpers)
+
+
+def prefix_sum(
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    weight: Column,
+    output: str,
+    staging: Staging,
+) -> DataFrame:
+    """Sum of ``weight`` over the earlier rows of each group, for groups of any size."""
+    return running(df, groups, order, staging, {output: ("sum", weight.cast("bigint"))})
+
 
 def dense_index(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], output: str, staging: Staging

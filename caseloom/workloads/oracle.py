@@ -384,8 +384,14 @@ ORACLE["link_candidates"] = candidates(7)
 ORACLE["link_candidates_90_days"] = candidates(90)
 
 
+def day_distance(start: str, end: str) -> str:
+    """Whole days apart, where a negative distance is floored first."""
+    return f"abs(floor((epoch_us({end}) - epoch_us({start})) / 86400000000.0))::BIGINT"
+
+
 def greedy(source: str, days: int) -> str:
     """CTEs ``enlace(id, h, dias, cand)`` over ``source(k, id, n, h)``: one step per rank."""
+    apart = day_distance("a.n", "x.d")
     return f"""
 filas AS ({source}),
 avisos AS (
@@ -409,8 +415,8 @@ paso(k, rn, usadas, id, mejor, cand) AS (
       SELECT p.k, a.rn, p.usadas, a.id,
              list_transform(
                list_filter(c.camas, lambda x: NOT list_contains(p.usadas, x.id)
-                           AND abs(date_diff('day', a.n, x.d)) <= {days}),
-               lambda x: {{'dias': abs(date_diff('day', a.n, x.d)), 'id': x.id}}) AS cerca
+                           AND {apart} <= {days}),
+               lambda x: {{'dias': {apart}, 'id': x.id}}) AS cerca
       FROM paso p JOIN avisos a ON a.k = p.k AND a.rn = p.rn + 1 JOIN camas c ON c.k = p.k
     )
   )
@@ -420,12 +426,19 @@ enlace AS (
 )"""
 
 
-def greedy_orders(key: str, days: int) -> str:
-    source = f"""SELECT {key} AS k, o_orderkey AS id,
-      CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END AS n,
+ORDER_DAYS = """SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END AS n,
       CASE WHEN o_orderkey % 2 = 1 THEN o_orderdate END AS h FROM orders"""
+MONTHLY = """SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN day + INTERVAL 1 MINUTE *
+        CASE WHEN o_orderkey % 1000 = 0 THEN 61 ELSE (o_orderkey % 3 + 3) * 240 END END AS n,
+      CASE WHEN o_orderkey % 2 = 1 THEN day + INTERVAL 1 MINUTE * (o_orderkey * 7919 % 1440) END AS h
+    FROM (SELECT *, o_orderdate + INTERVAL 1 DAY * ((year(o_orderdate) - 1995) * 12 + month(o_orderdate)) * 21 AS day
+          FROM orders)"""
+
+
+def greedy_orders(key: str, days: int, source: str = ORDER_DAYS) -> str:
+    rows = f"SELECT {key} AS k, o_orderkey AS id, n, h FROM ({source})"
     return f"""
-WITH RECURSIVE {greedy(source, days)}
+WITH RECURSIVE {greedy(rows, days)}
 SELECT f.id AS o_orderkey, e.h AS taken_orderkey, e.dias, coalesce(e.cand > 1, false) AS colision
 FROM filas f LEFT JOIN enlace e ON e.id = f.id
 WHERE f.id NOT IN (SELECT h FROM enlace)"""
@@ -434,6 +447,13 @@ WHERE f.id NOT IN (SELECT h FROM enlace)"""
 ORACLE["link_greedy"] = greedy_orders("o_custkey", 7)
 ORACLE["link_greedy_90_days"] = greedy_orders("o_custkey", 90)
 ORACLE["link_greedy_hot_keys"] = greedy_orders("o_orderpriority", 7)
+ORACLE["link_greedy_hot_many_chunks"] = ORACLE["link_greedy_hot_keys"]
+ORACLE["link_greedy_hot_clock"] = greedy_orders("o_orderpriority", 7, MONTHLY)
+ORACLE["link_candidates_one_key"] = f"""
+WITH r AS ({MONTHLY})
+SELECT a.o_orderkey, count(b.o_orderkey) AS n_candidates, min({day_distance("a.n", "b.h")})::INTEGER AS nearest_days
+FROM r a LEFT JOIN r b ON b.h IS NOT NULL AND {day_distance("a.n", "b.h")} <= 7
+WHERE a.n IS NOT NULL GROUP BY a.o_orderkey"""
 
 CLEAN = """
 limpios AS (

@@ -277,6 +277,25 @@ def both_registries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def monthly_registries(spark: SparkSession, sf: str) -> DataFrame:
+    """Both registries with three weeks between months, and times of day.
+
+    Notifications come at three times of the day, every thousandth order at one of its
+    own; admissions at any minute.
+    """
+    key = F.col("o_orderkey")
+    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    day = F.timestamp_add("DAY", (month - 1995 * 12) * 21, F.col("o_orderdate"))
+    minutes = F.when(key % 1000 == 0, 61).otherwise((key % 3 + 3) * 240)
+    even = key % 2 == 0
+    return table(spark, sf, "orders").select(
+        "o_orderpriority",
+        "o_orderkey",
+        F.when(even, F.timestamp_add("MINUTE", minutes.cast("int"), day)).alias("notified"),
+        F.when(~even, F.timestamp_add("MINUTE", (key * 7919 % 1440).cast("int"), day)).alias("admitted"),
+    )
+
+
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Raw registry rows of orders and their customers."""
     even = F.col("o_orderkey") % 2 == 0

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from caseloom import settings
 from caseloom.functions import dates, demography, identity, measures, text
 from caseloom.operators import cubes, kpi, profile, quality, scaling, series, views
+from caseloom.operators.hot_linkage import HotSizes
 from caseloom.operators.linkage import LinkOptions, link_candidates, link_rows
 from caseloom.plans.gold import build_gold
 from caseloom.plans.silver import clean_cases, unify_cases
@@ -364,17 +365,10 @@ _ORDER_LINK = LinkOptions(
 
 def _candidates(days: int) -> Query:
     def run(spark, sf):
-        options = LinkOptions(
-            keys=("o_custkey",),
-            order="o_orderkey",
-            notified="notified",
-            admitted="admitted",
-            window_days=days,
-        )
         found = link_candidates(
             proxy.notifications(spark, sf),
             proxy.admissions(spark, sf).drop("o_orderkey"),
-            options,
+            replace(_ORDER_LINK, window_days=days),
         )
         return found.select("o_orderkey", "n_candidates", "nearest_days")
 
@@ -385,22 +379,29 @@ QUERIES["link_candidates"] = _candidates(7)
 QUERIES["link_candidates_90_days"] = _candidates(90)
 
 
+@query
+def link_candidates_one_key(spark, sf):
+    """L1: candidates where all rows share one key and have a time of day."""
+    rows = proxy.monthly_registries(spark, sf).withColumn("todos", F.lit("x"))
+    notified = rows.filter("notified IS NOT NULL").drop("admitted")
+    admitted = rows.filter("admitted IS NOT NULL").select("todos", "admitted")
+    found = link_candidates(notified, admitted, replace(_ORDER_LINK, keys=("todos",)))
+    return found.select("o_orderkey", "n_candidates", "nearest_days")
+
+
+def _links(rows: DataFrame, options: LinkOptions) -> DataFrame:
+    return link_rows(rows, options).select(
+        F.col("row.o_orderkey").alias("o_orderkey"),
+        F.col("taken.o_orderkey").alias("taken_orderkey"),
+        F.col("days").alias("dias"),
+        F.col("collided").alias("colision"),
+    )
+
+
 def _greedy(key: str, days: int) -> Query:
     def run(spark, sf):
-        options = LinkOptions(
-            keys=(key,),
-            order="o_orderkey",
-            notified="notified",
-            admitted="admitted",
-            window_days=days,
-        )
-        outcome = link_rows(proxy.both_registries(spark, sf), options)
-        return outcome.select(
-            F.col("row.o_orderkey").alias("o_orderkey"),
-            F.col("taken.o_orderkey").alias("taken_orderkey"),
-            F.col("days").alias("dias"),
-            F.col("collided").alias("colision"),
-        )
+        options = replace(_ORDER_LINK, keys=(key,), window_days=days)
+        return _links(proxy.both_registries(spark, sf), options)
 
     return run
 
@@ -410,6 +411,23 @@ QUERIES["link_greedy_90_days"] = _greedy("o_custkey", 90)
 QUERIES["link_greedy_hot_keys"] = _greedy("o_orderpriority", 7)
 
 
+@query
+def link_greedy_hot_many_chunks(spark, sf):
+    """L2: five hot keys without gaps, folded in a dozen chunks each."""
+    rows = proxy.both_registries(spark, sf)
+    sizes = HotSizes(group_rows=1, chunk_rows=max(1, rows.count() // 120))
+    return _links(rows, replace(_ORDER_LINK, keys=("o_orderpriority",), sizes=sizes))
+
+
+@query
+def link_greedy_hot_clock(spark, sf):
+    """L2: hot keys that fall into months, with times of day on both sides."""
+    rows = proxy.monthly_registries(spark, sf)
+    small = max(1, rows.count() // 1000)
+    options = replace(_ORDER_LINK, keys=("o_orderpriority",), sizes=HotSizes(small, small))
+    return _links(rows, options)
+
+
 def _stored_cleaned(spark: SparkSession, sf: str) -> tuple[DataFrame, scaling.Staging]:
     staging = scaling.Staging(spark)
     cleaned = clean_cases(proxy.bronze(spark, sf), _REGISTRY_DATES)

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from caseloom.operators.hot_linkage import DAY_US, HotSizes, cut_at_gaps, with_cells
 from caseloom.operators.linkage import (
     LinkOptions,
     link_candidates,
@@ -73,10 +74,12 @@ def random_rows(seed, n, keys, days, clock):
     [
         ("dates", {}),
         ("both", {"small_key_rows": 1000}),
-        ("dates", {"small_key_rows": 0, "chunk_rows": 1000}),
-        ("admitted", {"small_key_rows": 20, "chunk_rows": 25}),
-        ("shifted", {"small_key_rows": 20, "chunk_rows": 25}),
-        ("both", {"small_key_rows": 0, "chunk_rows": 40, "chunk_cells": 600}),
+        ("dates", {"small_key_rows": 0, "sizes": HotSizes(1000)}),
+        ("admitted", {"small_key_rows": 20, "sizes": HotSizes(10, 25)}),
+        ("shifted", {"small_key_rows": 20, "sizes": HotSizes(10, 25)}),
+        ("both", {"small_key_rows": 0, "sizes": HotSizes(3, 40, 600)}),
+        ("shifted", {"small_key_rows": 0, "sizes": HotSizes(20)}),
+        ("both", {"small_key_rows": 5, "sizes": HotSizes(20)}),
     ],
 )
 def test_same_as_greedy_model(spark, clock, options):
@@ -93,6 +96,42 @@ def test_same_as_greedy_model(spark, clock, options):
     assert sorted(o for o, t, _, _ in got if t is None) == sorted(rest)
 
 
+def test_a_hot_key_falls_into_pieces(spark):
+    """Twenty clusters of some days, three weeks apart: each is matched on its own."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        cluster, day = i % 20, rng.randrange(3)
+        when = datetime(2021, 1, 1) + timedelta(days=24 * cluster + day, minutes=rng.randrange(1440))
+        rows.append(row(i, "hot", when if rng.random() < 0.5 else None, None))
+        if rows[-1][4] is None:
+            rows[-1] = row(i, "hot", None, when)
+    expected = model(rows)
+    got = outcome(spark, rows, small_key_rows=0, sizes=HotSizes(30, 10))
+    assert {o: (t, d, c) for o, t, d, c in got if t is not None} == expected
+    events = spark.createDataFrame(
+        [("hot", r[4] is not None, r[0], int((r[4] or r[5]).timestamp() * 1e6)) for r in rows],
+        "_key string, notified boolean, ord bigint, at bigint",
+    )
+    pieces = cut_at_gaps(events, 7, Staging(spark))
+    assert pieces.count() == 400 and pieces.select("_key").distinct().count() >= 20
+    # within reach of each other, nothing is cut
+    assert cut_at_gaps(events, 24, Staging(spark)).select("_key").distinct().count() == 1
+
+
+def test_a_stray_time_of_day_doubles_the_cells_at_most(spark):
+    events = [("k", True, i, i * DAY_US + 9 * 3_600_000_000) for i in range(20)]
+    events += [("k", False, i, i * 3_600_000_000 * 5) for i in range(96)]
+    schema = "_key string, notified boolean, ord bigint, at bigint"
+
+    def cells(rows):
+        found = with_cells(spark.createDataFrame(rows, schema), Staging(spark))
+        return found.select("cell").distinct().count()
+
+    plain = cells(events)
+    assert plain == 21 and cells([*events, ("k", True, 99, 3 * DAY_US + 5)]) <= 2 * plain
+
+
 def test_four_days_link_and_fourteen_do_not(spark):
     base = datetime(2020, 3, 18)
     rows = [
