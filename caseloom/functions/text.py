@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -15,39 +15,93 @@ TILDE = "\u0303"
 _WHITESPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
 
 
-@lru_cache(maxsize=None)
-def _folding(form: str, keep: str) -> tuple[str, str]:
-    """``translate`` arguments that strip marks from precomposed characters.
+_HANGUL = (0xAC00, 0xD7A3)
+# Leading consonants, vowels and trailing consonants of Hangul syllables, as the standard numbers them
+_LEADS, _VOWELS, _TAILS = (
+    "".join(map(chr, range(first, first + count)))
+    for first, count in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))
+)
 
-    The rule is applied to the whole basic plane: decompose, drop the combining
-    marks not in ``keep``, recompose; entries that do not end in one character
-    are left to the mark pattern.
-    """
-    source, target = [], []
-    for char in map(chr, range(0x80, 0x10000)):
-        if unicodedata.combining(char) or 0xD800 <= ord(char) <= 0xDFFF:
+
+def _bare(char: str, form: str, keep: str) -> str:
+    """A character decomposed, without the combining marks not in ``keep``."""
+    parts = unicodedata.normalize(form, char)
+    bare = "".join(p for p in parts if p in keep or not unicodedata.combining(p))
+    # with marks kept the text is composed again in the end
+    return unicodedata.normalize("NFC", bare) if keep else bare
+
+
+@lru_cache(maxsize=None)
+def _folding(form: str, keep: str) -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """``translate`` arguments for characters that fold to one, and pairs for those that
+    fold to several. Hangul syllables, which decompose by a rule, are in neither."""
+    source, target, several = [], [], []
+    for point in range(0x80, 0x110000):
+        if 0xD800 <= point <= 0xDFFF or _HANGUL[0] <= point <= _HANGUL[1]:
+            continue
+        char = chr(point)
+        folded = _bare(char, form, keep)
+        if folded == char or unicodedata.combining(char):
             continue
-        parts = unicodedata.normalize(form, char)
-        bare = "".join(p for p in parts if p in keep or not unicodedata.combining(p))
-        folded = unicodedata.normalize("NFC", bare)
-        if folded != char and len(folded) == 1:
+        if len(folded) == 1:
             source.append(char)
             target.append(folded)
-    return "".join(source), "".join(target)
+        elif folded:
+            several.append((char, folded))
+    return "".join(source), "".join(target), tuple(several)
 
 
-@lru_cache(maxsize=None)
-def _mark_pattern(keep: str) -> str:
-    """A character class of all combining marks but those in ``keep``."""
-    points = [
-        p for p in range(0x300, 0x20000) if unicodedata.combining(chr(p)) and chr(p) not in keep
-    ]
+def _ranges(points: Sequence[int]) -> str:
+    """Inside of a character class of sorted code points."""
     ranges, start = [], points[0]
     for point, following in zip(points, [*points[1:], None]):
         if following != point + 1:
             ranges.append(f"\\x{{{start:x}}}-\\x{{{point:x}}}")
             start = following
-    return f"[\\p{{M}}&&[{''.join(ranges)}]]"
+    return "".join(ranges)
+
+
+@lru_cache(maxsize=None)
+def _mark_pattern(keep: str) -> str:
+    """A character class of all combining marks but those in ``keep``, also of marks
+    the engine does not know yet."""
+    points = [
+        p for p in range(0x300, 0x20000) if chr(p) not in keep and not _bare(chr(p), "NFD", keep)
+    ]
+    return f"[[\\p{{M}}\\p{{Cn}}]&&[{_ranges(points)}]]"
+
+
+def _each_character(text: Column, change: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(F.split(text, ""), change), "")
+
+
+def _decompose_hangul(text: Column) -> Column:
+    """Syllables as their letters: their number is (lead * 21 + vowel) * 28 + tail."""
+
+    def letters(char: Column) -> Column:
+        number = F.ascii(char) - _HANGUL[0]
+
+        def pick(alphabet: str, place: Column) -> Column:
+            return F.substring(F.lit(alphabet), place.cast("int"), F.lit(1))
+
+        tail = number % 28
+        syllable = F.concat(
+            pick(_LEADS, F.floor(number / 588) + 1),
+            pick(_VOWELS, F.floor(number % 588 / 28) + 1),
+            F.when(tail > 0, pick(_TAILS, tail)).otherwise(""),
+        )
+        return F.when(number.between(0, _HANGUL[1] - _HANGUL[0]), syllable).otherwise(char)
+
+    has_any = text.rlike(f"[\\x{{{_HANGUL[0]:x}}}-\\x{{{_HANGUL[1]:x}}}]")
+    return F.when(has_any, _each_character(text, letters)).otherwise(text)
+
+
+def _replace_several(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Characters that fold to several; looked up where a text has one of them."""
+    entries = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    has_any = text.rlike(f"[{_ranges([ord(char) for char, _ in pairs])}]")
+    folded = _each_character(text, lambda c: F.coalesce(F.try_element_at(entries, c), c))
+    return F.when(has_any, folded).otherwise(text)
 
 
 @lru_cache(maxsize=None)
@@ -59,8 +113,13 @@ def _tilde_pairs() -> tuple[tuple[str, str], ...]:
 
 
 def _strip_marks(text: Column, form: str, keep: str) -> Column:
-    source, target = _folding(form, keep)
-    folded = F.regexp_replace(F.translate(text, source, target), _mark_pattern(keep), "")
+    source, target, several = _folding(form, keep)
+    folded = F.translate(text, source, target)
+    if not keep:
+        folded = _decompose_hangul(folded)
+    if several:
+        folded = _replace_several(folded, several)
+    folded = F.regexp_replace(folded, _mark_pattern(keep), "")
     is_ascii = F.octet_length(text) == F.length(text)
     return F.when(is_ascii, text).otherwise(folded)
 

@@ -45,6 +45,21 @@ def insurance(column: str = "derechohabiencia") -> Column:
     return insurance_group(F.col(column), INSURANCE_CATALOG, INSURANCE_NULL, INSURANCE_OTHER)
 
 
+# What the counts are made of
+BASE_COLUMNS = (
+    "edad",
+    "sexo",
+    "resultado_prueba",
+    "estatus_paciente",
+    "municipio_residencia",
+    "derechohabiencia",
+    "es_registro_unificado",
+    "dias_entre_notificacion_e_ingreso",
+    "fecha_toma_muestra",
+    "fecha_resultado",
+)
+
+
 def case_base(cases: DataFrame) -> DataFrame:
     """Counts per combination of everything the tables and KPIs look at.
 
@@ -252,3 +267,59 @@ def crosstab(
             for value in column_domain
         ]
     )
+
+
+def crosstabs(
+    df: DataFrame,
+    tables: Mapping[str, tuple[str, str]],
+    domains: Mapping[str, Sequence[str]],
+    other: str | None = None,
+) -> DataFrame:
+    """``(tabla, fila, columna, n)``: several crosstabs of one table from one scan of it.
+
+    ``tables`` names the row and the column of each, ``domains`` the values every column
+    may have; pairs nobody has are there with 0. Counts come from grouping sets: each row
+    is expanded to one per table ahead of the partial counts, which closed domains keep
+    small. With ``other`` a value of that name holds all outside the domains, nulls too;
+    else rows with such values are in the tables of other columns only.
+    """
+    used = list(dict.fromkeys(c for pair in tables.values() for c in pair))
+
+    def closed(column: str) -> Column:
+        value = F.col(column)
+        inside = value.isin(*domains[column])
+        return F.when(inside, value).otherwise(F.lit(other)).alias(column)
+
+    narrow = df.select(*[closed(c) for c in used])
+    sets = [[F.col(r), F.col(c)] for r, c in tables.values()]
+    counted = narrow.groupingSets(sets, *used).agg(
+        F.grouping_id().alias("which"), F.count(F.lit(1)).alias("n")
+    )
+
+    def number(pair: tuple[str, str]) -> int:
+        """The grouping id: a bit for each column left out, the first one highest."""
+        return sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in pair)
+
+    def both(name: str) -> tuple[list[str], list[str]]:
+        more = [] if other is None else [other]
+        return tuple([*domains[c], *more] for c in tables[name])
+
+    cells = F.array(
+        *[
+            F.struct(F.lit(name).alias("tabla"), F.lit(number(pair)).alias("which"), F.col(pair[0]).alias("fila"), F.col(pair[1]).alias("columna"))
+            for name, pair in tables.items()
+        ]
+    )
+    found = (
+        counted.select("n", "which", F.explode(F.filter(cells, lambda c: c["which"] == F.col("which"))).alias("c"))
+        .select("c.tabla", "c.fila", "c.columna", "n")
+        .filter("fila IS NOT NULL AND columna IS NOT NULL")
+    )
+    pairs = [
+        F.struct(F.lit(name).alias("tabla"), F.lit(r).alias("fila"), F.lit(c).alias("columna"), F.lit(0).cast("bigint").alias("n"))
+        for name in tables
+        for r in both(name)[0]
+        for c in both(name)[1]
+    ]
+    zeros = df.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    return found.unionByName(zeros).groupBy("tabla", "fila", "columna").agg(F.sum("n").alias("n"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.errors import IntegrityError
@@ -115,6 +115,25 @@ def series_contract() -> dict[str, Column]:
     return {"fecha": F.col("fecha").isNotNull(), **{c: at_least_zero(c) for c in counts}}
 
 
+def kpi_contract() -> dict[str, Column]:
+    counts = (
+        "total_pacientes_atendidos",
+        "total_positivos",
+        "total_negativos",
+        "total_pendientes",
+        "total_no_concluyentes",
+        "total_hospitalizados",
+        "total_defunciones",
+        "registros_unificados_cruce",
+        "casos_fechas_invertidas",
+    )
+    rates = ("positividad", "letalidad", "hospitalizacion")
+    return {
+        **{c: at_least_zero(c) for c in counts},
+        **{f"tasa_global_{r}": is_share(f"tasa_global_{r}") for r in rates},
+    }
+
+
 def check_contract(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """One row: rows seen, and rows breaking each rule. A rule that is null is broken."""
     return df.agg(
@@ -136,112 +155,154 @@ def assert_contract(df: DataFrame, rules: Mapping[str, Column], what: str) -> No
 # ---------------------------------------------------------------------------
 # Reconciliation
 # ---------------------------------------------------------------------------
-def reconcile(
-    cases: DataFrame,
-    demographic: DataFrame,
-    series: DataFrame,
-    municipal: DataFrame,
-    insurance: DataFrame,
-    kpis: DataFrame,
-    first_day: date = DEFAULT_DATES.first_day,
-    last_day: date = DEFAULT_DATES.last_day,
-) -> DataFrame:
-    """``(control, valor, esperado, coincide)``: every table's totals against the cases.
+def case_totals(
+    first_day: date = DEFAULT_DATES.first_day, last_day: date = DEFAULT_DATES.last_day
+) -> dict[str, Column]:
+    """What derived tables are held against, as aggregates over the cases.
 
-    Rows and positives of each table must equal those of the cases. The series
-    only knows positives whose result date lies in the window. Both age
-    binnings must agree on who has no age.
+    The series only knows positives whose result date lies in the window.
     """
     positive = F.col("resultado_prueba") == POSITIVE
     dated = F.to_date("fecha_resultado").between(F.lit(first_day), F.lit(last_day))
-    expected = _as_rows(
-        cases.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(positive).alias("positives"),
-            F.count_if(positive & dated).alias("dated_positives"),
-        ),
-        "esperado",
-    )
+    return {
+        "rows": F.count(F.lit(1)),
+        "positives": F.count_if(positive),
+        "dated_positives": F.count_if(positive & dated),
+    }
+
+
+def table_totals() -> dict[str, dict[str, Column]]:
+    """The same totals as aggregates over each derived table."""
+    positive = F.col("resultado_prueba") == POSITIVE
 
     def total(condition: Column | None = None, count: str = "total_casos") -> Column:
         counted = F.col(count) if condition is None else F.when(condition, F.col(count))
         return F.coalesce(F.sum(counted), F.lit(0))
 
-    def measured(table: DataFrame, name: str, **checks: Column) -> DataFrame:
-        one_row = table.agg(*[c.alias(against) for against, c in checks.items()])
-        return _as_rows(one_row, "valor").select(
-            F.concat(F.lit(f"{name}."), F.col("against")).alias("control"), "against", "valor"
-        )
-
-    tables = [
-        measured(demographic, "demografia", rows=total(), positives=total(positive)),
-        measured(municipal, "geografia", rows=total(), positives=total(count="total_positivos")),
-        measured(insurance, "derechohabiencia", rows=total(), positives=total(positive)),
-        measured(
-            kpis,
-            "kpis",
-            rows=F.max("total_pacientes_atendidos"),
-            positives=F.max("total_positivos"),
-        ),
-        measured(series, "series", dated_positives=total(count="resultados_positivos")),
-    ]
-    values = reduce(DataFrame.unionByName, tables)
-    # three rows: a bounded side
-    against_cases = values.join(F.broadcast(expected), "against")
-    unknown = demographic.agg(
-        total(F.col("grupo_edad") == NO_DATA).alias("valor"),
-        total(F.col("grupo_edad_ui") == NO_DATA).alias("esperado"),
-    ).withColumn("control", F.lit("demografia.sin_dato"))
-    columns = ["control", "valor", "esperado"]
-    return (
-        against_cases.select(*columns)
-        .unionByName(unknown.select(*columns))
-        .withColumn("coincide", F.col("valor") == F.col("esperado"))
+    return {
+        "demografia": {
+            "rows": total(),
+            "positives": total(positive),
+            "sin_dato": total(F.col("grupo_edad") == NO_DATA),
+            "sin_dato_ui": total(F.col("grupo_edad_ui") == NO_DATA),
+        },
+        "geografia": {"rows": total(), "positives": total(count="total_positivos")},
+        "derechohabiencia": {"rows": total(), "positives": total(positive)},
+        "kpis": {
+            "rows": F.max("total_pacientes_atendidos"),
+            "positives": F.max("total_positivos"),
+        },
+        "series": {"dated_positives": total(count="resultados_positivos")},
+    }
+
+
+def controls(
+    expected: Mapping[str, int], measured: Mapping[str, Mapping[str, int]]
+) -> list[tuple[str, int, int]]:
+    """``(control, measured, expected)`` of every table; both age binnings must agree
+    on who has no age."""
+    out = []
+    for table, totals in measured.items():
+        out += [(f"{table}.{k}", v, expected[k]) for k, v in totals.items() if k in expected]
+        if "sin_dato" in totals:
+            out.append((f"{table}.sin_dato", totals["sin_dato"], totals["sin_dato_ui"]))
+    return out
+
+
+def reconcile(
+    expected: Mapping[str, int],
+    demographic: DataFrame,
+    series: DataFrame,
+    municipal: DataFrame,
+    insurance: DataFrame,
+    kpis: DataFrame,
+) -> DataFrame:
+    """``(control, valor, esperado, coincide)``: every table's totals against the cases'.
+
+    ``expected`` are the :func:`case_totals`, observed when the cases were first scanned;
+    the tables, bounded by their domains, are one union of one-row aggregates.
+    """
+    tables = {
+        "demografia": demographic,
+        "geografia": municipal,
+        "derechohabiencia": insurance,
+        "kpis": kpis,
+        "series": series,
+    }
+    rows = []
+    for name, totals in table_totals().items():
+        pairs = [
+            F.struct(
+                F.lit(f"{name}.{k}").alias("control"),
+                F.col(k).cast("bigint").alias("valor"),
+                F.lit(expected[k]).cast("bigint").alias("esperado"),
+            )
+            for k in totals
+            if k in expected
+        ]
+        if "sin_dato" in totals:
+            pairs.append(
+                F.struct(
+                    F.lit(f"{name}.sin_dato").alias("control"),
+                    F.col("sin_dato").cast("bigint").alias("valor"),
+                    F.col("sin_dato_ui").cast("bigint").alias("esperado"),
+                )
+            )
+        one_row = tables[name].agg(*[c.alias(k) for k, c in totals.items()])
+        rows.append(one_row.select(F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, rows).withColumn(
+        "coincide", F.col("valor") == F.col("esperado")
     )
 
 
-def _as_rows(one_row: DataFrame, output: str) -> DataFrame:
-    return one_row.unpivot([], one_row.columns, "against", output)
+def wrong_controls(found: Iterable[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    return [c for c in found if c[1] != c[2]]
 
 
-def assert_reconciled(controls: DataFrame) -> None:
-    wrong = [r for r in controls.collect() if not r["coincide"]]
+def assert_reconciled(found: Iterable[tuple[str, int, int]]) -> None:
+    wrong = wrong_controls(found)
     if wrong:
-        listed = ", ".join(f"{r['control']}={r['valor']} (expected {r['esperado']})" for r in wrong)
+        listed = ", ".join(f"{name}={value} (expected {right})" for name, value, right in wrong)
         raise IntegrityError(f"tables do not add up to the cases: {listed}")
 
 
 # ---------------------------------------------------------------------------
 # Quality summary
 # ---------------------------------------------------------------------------
-def quality_summary(
-    rows_outpatient: int,
-    rows_inpatient: int,
-    cleaned: DataFrame,
-    unified: DataFrame,
-) -> DataFrame:
-    """One row of run telemetry.
+def cleaning_facts() -> dict[str, Column]:
+    """What a run reports of its cleaned rows, as aggregates."""
+    return {
+        "registros_hasheados": F.count(F.lit(1)),
+        "correcciones_columnas_intercambiadas": F.count_if("columnas_intercambiadas"),
+        "fechas_anomalas_fuera_ventana": F.coalesce(F.sum("fechas_anomalas"), F.lit(0)),
+    }
 
-    ``cleaned`` has one row per landed case with ``columnas_intercambiadas`` and
-    ``fechas_anomalas``; ``unified`` is the linked table with ``link_collided``.
-    """
-    before = cleaned.agg(
-        F.count(F.lit(1)).alias("registros_hasheados"),
-        F.count_if("columnas_intercambiadas").alias("correcciones_columnas_intercambiadas"),
-        F.coalesce(F.sum("fechas_anomalas"), F.lit(0)).alias("fechas_anomalas_fuera_ventana"),
-    )
+
+def linking_facts() -> dict[str, Column]:
+    """What a run reports of its unified cases, as aggregates."""
     linked = F.col("es_registro_unificado")
-    after = unified.agg(
-        F.count_if(linked).alias("cruces_exitosos"),
-        F.count_if(~linked).alias("registros_huerfanos"),
-        F.count_if("link_collided").alias("colisiones_llave_sintetica"),
+    return {
+        "cruces_exitosos": F.count_if(linked),
+        "registros_huerfanos": F.count_if(~linked),
+        "colisiones_llave_sintetica": F.count_if("link_collided"),
+    }
+
+
+def quality_summary(
+    spark: SparkSession, rows_outpatient: int, rows_inpatient: int, facts: Mapping[str, int]
+) -> DataFrame:
+    """One row of run telemetry from what its writes observed."""
+    read = {
+        "filas_leidas_bronze_seguimiento": rows_outpatient,
+        "filas_leidas_bronze_nominal": rows_inpatient,
+    }
+    names = (*read, *cleaning_facts(), *linking_facts())
+    one = spark.range(1).select(
+        *[F.lit({**read, **facts}[n]).cast("bigint").alias(n) for n in names]
     )
     matched, orphans = F.col("cruces_exitosos"), F.col("registros_huerfanos")
-    # two one-row tables side by side
-    both = before.withColumn("_one", F.lit(1)).join(after.withColumn("_one", F.lit(1)), "_one")
-    return both.select(
-        F.lit(rows_outpatient).cast("bigint").alias("filas_leidas_bronze_seguimiento"),
-        F.lit(rows_inpatient).cast("bigint").alias("filas_leidas_bronze_nominal"),
+    return one.select(
+        *read,
         "registros_hasheados",
         "cruces_exitosos",
         "registros_huerfanos",

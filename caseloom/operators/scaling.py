@@ -111,6 +111,41 @@ def catalog_join(
     )
 
 
+def by_dictionary(
+    df: DataFrame,
+    column: str,
+    change: Callable[[DataFrame], DataFrame],
+    staging: Staging,
+    max_share: float = 0.1,
+) -> DataFrame:
+    """``change`` of one text column, worked out once for every different value.
+
+    ``change`` maps a table with ``column`` to one with it changed, row by row, and looks
+    at no other column. One narrow scan estimates how many values there are; where they
+    repeat - typed categories do - it is applied to the distinct ones, and rows look
+    theirs up. Where values are mostly different, or too many to send to every task
+    (counted), rows are changed as they stand. Either way the rows are the same.
+    """
+    guess = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(column).alias("values")
+    ).first()
+    if guess["values"] > max_share * guess["rows"] or guess["values"] > BROADCAST_ROWS:
+        return change(df)
+    key = f"_{column}_before"
+    values = df.select(column).distinct()
+    # names are the caller's: the changed column stands beside a copy of the old one
+    known = staging.table(
+        change(values.withColumn(key, F.col(column))).select(key, F.col(column).alias("_after")),
+        "dictionary",
+    )
+    if not holds_at_most(known, BROADCAST_ROWS):
+        return change(df)
+    joined = df.join(F.broadcast(known), F.col(column).eqNullSafe(F.col(key)), "left")
+    return joined.select(
+        *[F.col("_after").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
+    )
+
+
 def running(
     df: DataFrame,
     groups: Sequence[str],

@@ -13,8 +13,8 @@ from caseloom import settings
 from caseloom.functions.dates import lacks_capitals, swap_if
 from caseloom.functions.demography import bin_column
 from caseloom.functions.text import fill_null, keep_only, regex_cascade
-from caseloom.operators.cubes import crosstab
-from caseloom.operators.scaling import Staging
+from caseloom.operators.cubes import crosstabs
+from caseloom.operators.scaling import Staging, by_dictionary
 
 COLUMNS = (
     "sexo",
@@ -52,9 +52,19 @@ def _swap(df: DataFrame, left: str, right: str, kind: str) -> DataFrame:
     return df.withColumns({left: first, right: second})
 
 
-def clean_older(registry: DataFrame) -> DataFrame:
+def _cascade(df: DataFrame, column: str, calls, staging: Staging | None) -> DataFrame:
+    """Rules by row or, with a staging, once for every different value."""
+    if staging is None:
+        return regex_cascade(df, column, calls)
+    return by_dictionary(df, column, lambda d: regex_cascade(d, column, calls), staging)
+
+
+def clean_older(registry: DataFrame, staging: Staging | None = None) -> DataFrame:
     """Text columns of :data:`COLUMNS`, cleaned by the older rules.
 
+    With ``staging`` the first rules, which see cells as typed, are worked out once for
+    every different value; pass a stored table then.
+
     ``resultado_kind`` and ``sexo_kind``, if present, tell cells that are no
     text; without them a cell without capitals counts as such.
     """
@@ -70,12 +80,12 @@ def clean_older(registry: DataFrame) -> DataFrame:
     }
     df = fill_null(registry, BLANKS)
     for column, calls in cascades.items():
-        df = regex_cascade(df, column, calls)
+        df = _cascade(df, column, calls, staging)
     df = _swap(df, "resultado", "fecha_resultado", "resultado_kind")
     df = _swap(df, "sexo", "edad", "sexo_kind")
-    df = regex_cascade(df, "fecha_resultado", settings.RESULT_DATE_SECOND_CASCADE)
-    df = regex_cascade(df, "sexo", settings.SEX_SECOND_CASCADE)
-    df = regex_cascade(df, "edad", settings.AGE_SECOND_CASCADE)
+    df = _cascade(df, "fecha_resultado", settings.RESULT_DATE_SECOND_CASCADE, None)
+    df = _cascade(df, "sexo", settings.SEX_SECOND_CASCADE, None)
+    df = _cascade(df, "edad", settings.AGE_SECOND_CASCADE, None)
     age = F.when(~F.col("edad").isin(*_NO_AGE), F.col("edad").try_cast("double"))
     return df.withColumns(
         {
@@ -92,32 +102,58 @@ def _label(column: str, labels: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.when(text.contains(label), F.lit(label)) for label in labels], text)
 
 
-def older_crosstabs(
+TABLES = {
+    "resultado_sexo": ("resultado", "sexo"),
+    "estatus_resultado": ("estatus", "resultado"),
+    "estatus_sexo": ("estatus", "sexo"),
+    "edad_resultado": ("rango", "resultado"),
+    "edad_estatus": ("rango", "estatus"),
+}
+DOMAINS = {
+    "resultado": settings.LEGACY_RESULTS,
+    "sexo": settings.LEGACY_SEXES,
+    "estatus": STATES,
+    "rango": (*settings.LEGACY_AGE_BINS.labels, settings.LEGACY_AGE_BINS.missing),
+}
+
+
+def older_cells(
     cleaned: DataFrame, staging: Staging | None = None, other: str | None = None
-) -> dict[str, DataFrame]:
-    """The five zero-filled crosstabs of the report.
+) -> DataFrame:
+    """``(tabla, fila, columna, n)``: all cells of the report's five crosstabs, zeros included.
 
     A status counts as what it contains, as ``PACIENTE AMBULATORIO`` does; one that
     contains several labels counts as the first of them. Other statuses are left out,
     or counted as ``other`` if given.
 
-    The cleaned table is stored first: it is read five times, and a filter pushed
-    down through the many steps of the rules would repeat them without end.
+    The cleaned table is stored first, in the columns that are counted, and scanned
+    once for all tables: conditions pushed down through the many steps of the rules
+    would repeat them without end.
     """
     staging = staging or Staging(cleaned.sparkSession)
-    ranges = (*settings.LEGACY_AGE_BINS.labels, settings.LEGACY_AGE_BINS.missing)
-    stored = staging.table(cleaned, "older-cleaned")
+    stored = staging.table(cleaned.select("edad", "estatus", "resultado", "sexo"), "older-cleaned")
     df = stored.withColumns(
         {
             "rango": bin_column(F.col("edad"), settings.LEGACY_AGE_BINS),
             "estatus": _label("estatus", STATES),
         }
     )
-    results, sexes = settings.LEGACY_RESULTS, settings.LEGACY_SEXES
-    return {
-        "resultado_sexo": crosstab(df, "resultado", "sexo", results, sexes, other=other),
-        "estatus_resultado": crosstab(df, "estatus", "resultado", STATES, results, other=other),
-        "estatus_sexo": crosstab(df, "estatus", "sexo", STATES, sexes, other=other),
-        "edad_resultado": crosstab(df, "rango", "resultado", ranges, results, other=other),
-        "edad_estatus": crosstab(df, "rango", "estatus", ranges, STATES, other=other),
-    }
+    return crosstabs(df, TABLES, DOMAINS, other)
+
+
+def older_crosstabs(
+    cleaned: DataFrame, staging: Staging | None = None, other: str | None = None
+) -> dict[str, DataFrame]:
+    """The five crosstabs of :func:`older_cells`, each with a column per value."""
+    staging = staging or Staging(cleaned.sparkSession)
+    cells = staging.table(older_cells(cleaned, staging, other), "older-cells")
+    more = () if other is None else (other,)
+
+    def wide(name: str, row: str, column: str) -> DataFrame:
+        values = [
+            F.sum(F.when(F.col("columna") == v, F.col("n")).otherwise(0)).alias(v)
+            for v in (*DOMAINS[column], *more)
+        ]
+        return cells.filter(F.col("tabla") == name).groupBy(F.col("fila").alias(row)).agg(*values)
+
+    return {name: wide(name, *pair) for name, pair in TABLES.items()}

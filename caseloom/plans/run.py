@@ -8,11 +8,17 @@ from typing import Literal
 
 from pyspark.sql import SparkSession
 
-from caseloom.errors import IntegrityError, SchemaMismatch
+from caseloom.errors import HeaderNotFound, IntegrityError, SchemaMismatch
 from caseloom.operators.linkage import LinkOptions
-from caseloom.operators.quality import assert_contract, one_date_contract, quality_summary
+from caseloom.operators.quality import (
+    case_contract,
+    cleaning_facts,
+    linking_facts,
+    one_date_contract,
+    quality_summary,
+)
 from caseloom.operators.scaling import Staging
-from caseloom.plans.gold import SILVER_FILE, utc_now, load_silver, run_gold
+from caseloom.plans.gold import SILVER_FILE, load_silver, release_gold, utc_now
 from caseloom.plans.silver import (
     SILVER_COLUMNS,
     Registries,
@@ -22,7 +28,9 @@ from caseloom.plans.silver import (
 )
 from caseloom.session import tune
 from caseloom.settings import DEFAULT_DATES, DatePolicy
-from caseloom.sources.tables import write_summary, write_table
+from caseloom.sources.landing import CELL_COLUMNS
+from caseloom.sources.release import Release, published, write_checked
+from caseloom.sources.tables import read_table
 
 QUALITY_FILE = "data_quality_summary.json"
 OK, UNREADABLE, INCONSISTENT = 0, 1, 2
@@ -39,35 +47,62 @@ class RunConfig:
     staging_folder: str | None = None
 
 
-def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"] = "silver") -> None:
-    """Landed cells to unified cases, and with ``layer="gold"`` on to the tables.
+def run(spark: SparkSession, config: RunConfig, layer: Literal["silver", "gold"] = "silver") -> int:
+    """Landed cells to unified cases, and with ``layer="gold"`` on to the tables; an exit code.
 
-    Each layer is read back from what was written, so that later steps prune
+    Tables are written to a release and published together, when the last of them is
+    written and all add up; :func:`published_tables` finds them. ``UNREADABLE`` tells that
+    the cells are missing or a sheet is not laid out as described, ``INCONSISTENT`` that
+    rows broke a contract or tables did not add up; what was published before is then
+    still there. Each layer is read back from what was written, so that later steps prune
     columns and a lost executor costs no more than its own tasks.
     """
     staging = Staging(tune(spark), config.staging_folder)
+    release = Release(spark, config.silver_folder)
+    code = OK
     try:
-        _run(spark, config, layer, staging)
+        _run(spark, config, layer, staging, release)
+        release.publish()
+    except (FileNotFoundError, HeaderNotFound, SchemaMismatch) as error:
+        print(f"landed cells cannot be read: {error}", file=sys.stderr)
+        code = UNREADABLE
+    except IntegrityError as error:
+        print(f"nothing was published: {error}", file=sys.stderr)
+        code = INCONSISTENT
     finally:
+        if code != OK:
+            release.discard()
         staging.clear()
+    return code
 
 
-def _run(spark: SparkSession, config: RunConfig, layer: str, staging: Staging) -> None:
-    bronze, counts = ingest_registries(
-        spark.read.parquet(config.cells_path), config.registries, staging
+def _run(
+    spark: SparkSession, config: RunConfig, layer: str, staging: Staging, release: Release
+) -> None:
+    cells = read_table(spark, config.cells_path, CELL_COLUMNS)
+    bronze, counts = ingest_registries(cells, config.registries, staging)
+    path = staging.path("cleaned")
+    facts = write_checked(
+        clean_cases(bronze, config.dates), path, one_date_contract(), cleaning_facts()
+    )
+    unified = unify_cases(spark.read.parquet(path), config.link, staging)
+    facts |= release.write(
+        unified, SILVER_FILE, case_contract(), linking_facts(), columns=SILVER_COLUMNS
     )
-    cleaned = staging.table(clean_cases(bronze, config.dates), "cleaned")
-    assert_contract(cleaned, one_date_contract(), "cleaned cases")
-    unified = staging.table(unify_cases(cleaned, config.link, staging), "unified")
-    silver = f"{config.silver_folder}/{SILVER_FILE}"
-    write_table(unified.select(*SILVER_COLUMNS), silver)
     if layer == "gold":
         folder = config.gold_folder or f"{config.silver_folder}/gold"
-        run_gold(load_silver(spark, silver), folder, config.dates, staging)
-    summary = quality_summary(
-        counts["seguimiento"], counts["nominal"], cleaned, unified
-    ).withColumn("timestamp_ejecucion", utc_now())
-    write_summary(summary, f"{config.silver_folder}/{QUALITY_FILE}")
+        cases = load_silver(spark, release.tables[SILVER_FILE])
+        release_gold(cases, release, folder, config.dates, staging)
+    summary = quality_summary(spark, counts["seguimiento"], counts["nominal"], facts)
+    release.write_summary(summary.withColumn("timestamp_ejecucion", utc_now()), QUALITY_FILE)
+
+
+def published_tables(spark: SparkSession, silver_folder: str) -> dict[str, str]:
+    """Paths by file name of what the last complete run published."""
+    found = published(spark, silver_folder)
+    if found is None:
+        raise FileNotFoundError(f"nothing was published from {silver_folder}")
+    return found
 
 
 def run_stored_silver(spark: SparkSession, silver_path: str, folder: str) -> int:
@@ -78,13 +113,16 @@ def run_stored_silver(spark: SparkSession, silver_path: str, folder: str) -> int
     except (FileNotFoundError, SchemaMismatch) as error:
         print(f"stored cases cannot be read: {error}", file=sys.stderr)
         return UNREADABLE
+    release = Release(spark, folder)
+    code = OK
     try:
-        run_gold(cases, folder, staging=staging)
+        release_gold(cases, release, folder, staging=staging)
+        release.publish()
     except IntegrityError as error:
         print(f"tables were not written: {error}", file=sys.stderr)
-        return INCONSISTENT
+        code = INCONSISTENT
     finally:
+        if code != OK:
+            release.discard()
         staging.clear()
-    return OK
-
-
+    return code

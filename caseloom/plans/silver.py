@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from caseloom.settings import (
     SheetSpec,
     synonym_catalog,
 )
-from caseloom.sources.landing import SHEET_KEY, cell, read_sheet
+from caseloom.sources.landing import cell, read_sheets
 
 _TEXTS = ("sexo", "edad", "municipio", "derechohabiencia", "resultado", "estatus", "hospital")
 _DATES = ("fecha_notificacion", "fecha_toma_muestra", "fecha_resultado", "fecha_ingreso")
@@ -105,21 +106,23 @@ def ingest_registries(
     file, sheet row), which linking goes by.
     """
     staging = staging or Staging(cells.sparkSession)
-    outpatient = read_sheet(cells, registries.outpatient, staging=staging)
-    inpatient = read_sheet(cells, registries.inpatient, staging=staging)
+    specs = [registries.outpatient, registries.inpatient, registries.daily]
+    sheets = read_sheets(cells, specs, staging=staging)
     bronze = staging.table(
-        _to_bronze(
-            outpatient, "seguimiento", 0, registries.outpatient, registries.salt
-        ).unionByName(_to_bronze(inpatient, "nominal", 1, registries.inpatient, registries.salt)),
+        reduce(
+            DataFrame.unionByName,
+            [
+                _to_bronze(sheets[spec.sheet], source, rank, spec, registries.salt)
+                for rank, (source, spec) in enumerate(zip(("seguimiento", "nominal"), specs))
+            ],
+        ),
         "bronze",
     )
-    counts = {r["fuente"]: r["n"] for r in bronze.groupBy("fuente").agg(F.count("*").alias("n")).collect()}
-    daily = read_sheet(cells, registries.daily, staging=staging).select(*SHEET_KEY, "r").count()
-    return bronze, {
-        "seguimiento": counts.get("seguimiento", 0),
-        "nominal": counts.get("nominal", 0),
-        "red_negativa": daily,
-    }
+    per_sheet = bronze.groupBy("fuente").agg(F.count("*").alias("n")).unionByName(
+        sheets[registries.daily.sheet].agg(F.lit("red_negativa").alias("fuente"), F.count("*").alias("n"))
+    )
+    counts = {r["fuente"]: r["n"] for r in per_sheet.collect()}
+    return bronze, {name: counts.get(name, 0) for name in ("seguimiento", "nominal", "red_negativa")}
 
 
 def clean_cases(bronze: DataFrame, policy: DatePolicy = DEFAULT_DATES) -> DataFrame:

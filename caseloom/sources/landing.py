@@ -9,6 +9,7 @@ rows that hold a header's key; data rows are never gathered by sheet.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from caseloom.operators.scaling import Staging, join_checked
 from caseloom.settings import SheetSpec
 
 CELL_SCHEMA = "file string, sheet string, r int, c int, v string, kind string"
+CELL_COLUMNS = ("file", "sheet", "r", "c", "v", "kind")
 SHEET_KEY = ["file", "sheet"]
 LEVEL_SEPARATOR = " | "
 
@@ -162,10 +164,18 @@ def bound_rows(
         )
         .filter(F.col("r") >= start)
     )
-    carried = [*SHEET_KEY, "header_row", "c", "width"]
+    runs = _runs(filled, [*SHEET_KEY, "header_row", "c", "width"])
+    near = F.lit(True) if blank_rows is None else F.col("first_row") <= start + blank_rows
+    return runs.filter(near & F.col("first_row").isNotNull()).select(
+        *SHEET_KEY, "first_row", "stop_row", F.col("c").alias("key_c"), "width"
+    )
+
+
+def _runs(filled: DataFrame, sheet: Sequence[str]) -> DataFrame:
+    """``first_row`` with a key and the first row after it without, from rows with a key."""
     edges = (
         filled.select(
-            *carried,
+            *sheet,
             F.explode(
                 F.array(
                     F.struct(F.col("r"), F.lit(True).alias("here")),
@@ -173,17 +183,13 @@ def bound_rows(
                 )
             ).alias("e"),
         )
-        .groupBy(*carried, F.col("e.r").alias("r"))
+        .groupBy(*sheet, F.col("e.r").alias("r"))
         .agg(F.bool_or("e.here").alias("here"))
     )
-    runs = edges.groupBy(*carried).agg(
+    return edges.groupBy(*sheet).agg(
         F.min(F.when(F.col("here"), F.col("r"))).alias("first_row"),
         F.min(F.when(~F.col("here"), F.col("r"))).alias("stop_row"),
     )
-    near = F.lit(True) if blank_rows is None else F.col("first_row") <= start + blank_rows
-    return runs.filter(near & F.col("first_row").isNotNull()).select(
-        *SHEET_KEY, "first_row", "stop_row", F.col("c").alias("key_c"), "width"
-    )
 
 
 def resolve_columns(names: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -279,38 +285,168 @@ def sheet_rejects(cells: DataFrame, spec: SheetSpec, staging: Staging | None = N
     )
 
 
-def read_sheet(
-    cells: DataFrame, spec: SheetSpec, strict: bool = True, staging: Staging | None = None
-) -> DataFrame:
-    """One row per data row: ``(file, sheet, r, cells)``.
+def _find_all_headers(cells: DataFrame, specs: Sequence[SheetSpec], staging: Staging) -> DataFrame:
+    """``(file, sheet, header_row)`` of all described sheets, from one scan of the cells.
+
+    Rows that hold a key, few in a sheet, are stored with what they hold; a sheet
+    without any is there as one row without a number.
+    """
+    sheet, value = F.col("sheet"), F.col("v")
+    most = max(len(s.keys) for s in specs)
+    holds = []
+    for i in range(most):
+        flag = F.lit(None).cast("boolean")
+        for spec in specs:
+            if i < len(spec.keys):
+                inside = _within("r", spec.search_rows) & _within("c", spec.search_columns)
+                here = inside & starts_with_word(value, spec.keys[i])
+                flag = F.when(sheet == spec.sheet, here).otherwise(flag)
+        holds.append(F.coalesce(flag, F.lit(False)).alias(f"_k{i}"))
+    flagged = cells.select(*SHEET_KEY, "r", *holds)
+    any_key = F.greatest(*[F.col(f"_k{i}") for i in range(most)]) if most > 1 else F.col("_k0")
+    rows = staging.table(
+        flagged.withColumn("r", F.when(any_key, F.col("r")))
+        .groupBy(*SHEET_KEY, "r")
+        .agg(*[F.bool_or(f"_k{i}").alias(f"_k{i}") for i in range(most)]),
+        "key-rows",
+    )
+    found = []
+    for spec in specs:
+        block = W.partitionBy(*SHEET_KEY).orderBy("r").rangeBetween(0, spec.header_rows - 1)
+        complete = F.col("_k0") & F.col("r").isNotNull()
+        if spec.search_rows is not None:
+            complete = complete & (F.col("r") + spec.header_rows - 1 <= spec.search_rows)
+        in_block = rows.filter(sheet == spec.sheet).withColumns(
+            {f"_b{i}": F.bool_or(f"_k{i}").over(block) for i in range(len(spec.keys))}
+        )
+        for i in range(len(spec.keys)):
+            complete = complete & F.col(f"_b{i}")
+        found.append(
+            in_block.groupBy(*SHEET_KEY).agg(
+                F.min(F.when(complete, F.col("r"))).alias("header_row"),
+                F.lit(spec.header_rows).alias("header_rows"),
+            )
+        )
+    return staging.table(reduce(DataFrame.unionByName, found), "headers")
+
+
+def _sheet_rows(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """``(file, sheet, header_row, header_rows, r, cells)``: sheets by row, from the header on.
+
+    ``cells`` holds a row's cells by column; one landed twice counts by its smallest value.
+    """
+    placed = headers.filter("header_row IS NOT NULL")
+    return (
+        join_checked(cells, placed, SHEET_KEY)
+        .filter(F.col("r") >= F.col("header_row"))
+        .groupBy(*SHEET_KEY, "header_row", "header_rows", "r")
+        .agg(F.array_sort(F.collect_set(F.struct("c", "v", "kind"))).alias("cells"))
+    )
+
+
+def _all_layouts(rows: DataFrame, specs: Sequence[SheetSpec], staging: Staging) -> DataFrame:
+    """One row per sheet: ``(file, sheet, first, key_c, width, columns)``.
+
+    ``columns`` maps the logical names to columns; ``first`` is the first row below the header.
+    """
+    block = staging.table(
+        rows.filter(F.col("r") < F.col("header_row") + F.col("header_rows")).select(
+            *SHEET_KEY, "header_row", "header_rows", "r", F.inline("cells")
+        ),
+        "header-cells",
+    )
+    layouts = []
+    for spec in specs:
+        own = block.filter(F.col("sheet") == spec.sheet)
+        headers = own.select(*SHEET_KEY, "header_row").distinct()
+        names = flatten_headers(
+            own.select(*SHEET_KEY, "r", "c", "v"), headers, spec.header_rows, spec.search_columns
+        )
+        layout = key_columns(names, spec.keys[0]).withColumn(
+            "first", F.col("header_row") + spec.header_rows
+        )
+        no_columns = F.array().cast("array<struct<logical:string,c:int>>")
+        if spec.columns:
+            pair = F.struct("logical", "c")
+            mapped = (
+                resolve_columns(names, spec.columns)
+                .groupBy(*SHEET_KEY)
+                .agg(F.sort_array(F.collect_list(pair)).alias("columns"))
+            )
+            layout = layout.join(mapped, SHEET_KEY, "left").withColumn(
+                "columns", F.coalesce("columns", no_columns)
+            )
+        else:
+            layout = layout.withColumn("columns", no_columns)
+        layouts.append(layout.select(*SHEET_KEY, "first", "key_c", "width", "columns"))
+    return staging.table(reduce(DataFrame.unionByName, layouts), "layouts")
 
-    ``cells`` maps each resolved logical name to ``struct(v, kind)``. Names and
-    bounds, a few rows per sheet, are stored once; the cells are scanned for the
-    header block, for the key column, and for the data. What is left out is counted by
-    :func:`sheet_rejects`. A column landed twice for a row counts once, by its smallest
-    value.
+
+def read_sheets(
+    cells: DataFrame,
+    specs: Sequence[SheetSpec],
+    strict: bool = True,
+    staging: Staging | None = None,
+) -> dict[str, DataFrame]:
+    """The data rows of several sheets of all workbooks, by sheet: ``(file, sheet, r, cells)``.
+
+    ``cells`` maps each resolved logical name to ``struct(v, kind)``. The landed cells are
+    scanned twice whatever the number of sheets: once for the rows that hold keys, once
+    to put rows together from the header on. A landing partitioned by ``sheet`` is read in
+    those parts only. Names, columns and bounds are found from the stored rows. What is
+    left out is counted by :func:`sheet_rejects`.
     """
     staging = staging or Staging(cells.sparkSession)
-    sheet, headers, names, bounds = _layout(cells, spec, staging)
-    if strict:
-        assert_headers(headers, f"{list(spec.keys)} in {spec.header_rows} row(s)")
-    block = read_rows(sheet, bounds)
-    # The key cell stands for its row even where no logical name reads it
-    entries = block.filter(F.col("c") == F.col("key_c")).withColumn("logical", F.lit("_row"))
-    if spec.columns:
-        mapped = staging.table(resolve_columns(names, spec.columns), "columns")
-        entries = join_checked(block, mapped, [*SHEET_KEY, "c"]).unionByName(entries)
-    # one aggregate per logical column: a row is built from a bounded number of values
-    names_read = ["_row", *(name for name, _ in spec.columns)]
-    held = F.struct("v", "kind")
-    rows = entries.groupBy(*SHEET_KEY, "r").agg(
-        *[F.min(F.when(F.col("logical") == n, held)).alias(f"_{i}") for i, n in enumerate(names_read)]
+    described = cells.filter(
+        F.col("sheet").isin(*[s.sheet for s in specs]) & F.col("v").isNotNull()
     )
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("logical"), F.col(f"_{i}").alias("cell")) for i, n in enumerate(names_read)]
+    headers = _find_all_headers(described, specs, staging)
+    if strict:
+        for spec in specs:
+            own = headers.filter(F.col("sheet") == spec.sheet)
+            assert_headers(own, f"{list(spec.keys)} in {spec.header_rows} row(s)")
+    rows = staging.table(_sheet_rows(described, headers), "sheet-rows", ["sheet"])
+    rows = rows.select(*SHEET_KEY, *[c for c in rows.columns if c not in SHEET_KEY])
+    layouts = _all_layouts(rows, specs, staging)
+
+    def at(c: Column) -> Column:
+        """The smallest cell of a column; cells are sorted."""
+        found = F.get(F.filter("cells", lambda x: x["c"] == c), F.lit(0))
+        return F.when(found.isNotNull(), F.struct(found["v"].alias("v"), found["kind"].alias("kind")))
+
+    data = join_checked(rows, layouts, SHEET_KEY).filter(F.col("r") >= F.col("first"))
+    data = data.withColumn("_row", at(F.col("key_c"))).filter("_row IS NOT NULL")
+    runs = staging.table(
+        _runs(data.select(*SHEET_KEY, "r", "first"), SHEET_KEY).join(
+            layouts.select(*SHEET_KEY, "first"), SHEET_KEY
+        ),
+        "runs",
     )
-    there = F.filter(pairs, lambda p: p["cell"].isNotNull())
-    return rows.select(*SHEET_KEY, "r", F.map_from_entries(there).alias("cells"))
+    read = {}
+    for spec in specs:
+        near = F.lit(True)
+        if spec.blank_rows is not None:
+            near = F.col("first_row") <= F.col("first") + spec.blank_rows
+        bounds = runs.filter(near & (F.col("sheet") == spec.sheet)).drop("first")
+        own = join_checked(data.filter(F.col("sheet") == spec.sheet), bounds, SHEET_KEY).filter(
+            (F.col("r") >= F.col("first_row")) & (F.col("r") < F.col("stop_row"))
+        )
+        entries = F.transform(
+            "columns", lambda m: F.struct(m["logical"].alias("key"), at(m["c"]).alias("value"))
+        )
+        there = F.filter(entries, lambda e: e["value"].isNotNull())
+        first = F.array(F.struct(F.lit("_row").alias("key"), F.col("_row").alias("value")))
+        read[spec.sheet] = own.select(
+            *SHEET_KEY, "r", F.map_from_entries(F.concat(first, there)).alias("cells")
+        )
+    return read
+
+
+def read_sheet(
+    cells: DataFrame, spec: SheetSpec, strict: bool = True, staging: Staging | None = None
+) -> DataFrame:
+    """As :func:`read_sheets` for one sheet: a row per data row."""
+    return read_sheets(cells, [spec], strict, staging)[spec.sheet]
 
 
 def cell(logical: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from caseloom import settings
+from caseloom.workloads.proxy import TYPED_CELLS
 from caseloom.workloads.queries import PLACES
 
 ORACLE: dict[str, str] = {}
@@ -455,62 +456,132 @@ SELECT a.o_orderkey, count(b.o_orderkey) AS n_candidates, min({day_distance("a.n
 FROM r a LEFT JOIN r b ON b.h IS NOT NULL AND {day_distance("a.n", "b.h")} <= 7
 WHERE a.n IS NOT NULL GROUP BY a.o_orderkey"""
 
+SERIAL = "date_diff('day', DATE '1899-12-30', o_orderdate::DATE)::VARCHAR"
+PLAIN = "strftime(o_orderdate, '%d/%m/%Y')"
+# Registries of orders: even keys notify, odd ones admit. ``r`` is the result's day, which
+# stands in the result's cell in every eleventh order and is put back where it is plausible.
 CLEAN = """
+pedidos AS (
+  SELECT *, o_orderkey % 2 = 0 AS par, o_orderkey // 2 % 6 AS modo, o_orderkey % 11 = 3 AS cruzado,
+         o_orderdate + INTERVAL 1 DAY * (o_orderkey % 3) AS m,
+         o_orderdate + INTERVAL 1 DAY * (o_orderkey % 5) AS r,
+         CASE o_orderstatus WHEN 'O' THEN 'POSITIVO' WHEN 'F' THEN 'NEGATIVO' ELSE 'PENDIENTE' END AS palabra
+  FROM orders JOIN customer ON o_custkey = c_custkey
+),
+fechas AS (
+  SELECT *, CASE WHEN par THEN CASE WHEN modo = 4 THEN o_orderdate + INTERVAL 20 YEAR ELSE o_orderdate END END AS aviso,
+         CASE WHEN NOT par THEN o_orderdate END AS ingreso, CASE WHEN par THEN m END AS muestra,
+         CASE WHEN cruzado AND r < TIMESTAMP '1995-06-01' THEN NULL ELSE r END AS lectura,
+         cruzado AND r >= TIMESTAMP '1995-06-01' AND r < TIMESTAMP '2002-01-01' AS intercambiado
+  FROM pedidos
+),
 limpios AS (
-  SELECT o_orderkey AS row_order, sha256(c_name) AS paciente_id,
+  SELECT o_orderkey AS row_order, sha256(upper(c_name) || c_custkey || 'salt') AS paciente_id,
          (c_custkey % 90)::DOUBLE AS edad,
          CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS sexo,
-         CASE WHEN o_orderkey % 2 = 1 THEN 'OTROS' WHEN c_nationkey % 3 = 0 THEN 'NEZAHUALCOYOTL'
+         CASE WHEN NOT par THEN 'OTROS' WHEN c_nationkey % 3 = 0 THEN 'NEZAHUALCOYOTL'
               WHEN c_nationkey % 3 = 1 THEN 'ECATEPEC' ELSE 'OTROS' END AS municipio_residencia,
-         'NINGUNO' AS derechohabiencia,
-         CASE WHEN o_orderkey % 2 = 0 AND o_orderdate >= TIMESTAMP '1995-06-01'
-              THEN o_orderdate END AS n,
-         CASE WHEN o_orderkey % 2 = 1 AND o_orderdate >= TIMESTAMP '1995-06-01'
-              THEN o_orderdate END AS h,
-         CASE o_orderstatus WHEN 'O' THEN 'POSITIVO' WHEN 'F' THEN 'NEGATIVO'
-              ELSE 'PENDIENTE' END AS resultado_prueba,
-         CASE WHEN o_orderkey % 2 = 1 THEN 'NO_ESPECIFICADO' WHEN o_orderkey % 6 = 0
+         CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE 'NINGUNO' END AS derechohabiencia,
+         CASE WHEN aviso BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '2001-12-31' THEN aviso END AS n,
+         CASE WHEN ingreso BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '2001-12-31' THEN ingreso END AS h,
+         CASE WHEN muestra BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '2001-12-31' THEN muestra END AS fecha_toma_muestra,
+         CASE WHEN lectura BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '2001-12-31' THEN lectura END AS fecha_resultado,
+         CASE WHEN cruzado AND NOT intercambiado THEN 'NO_ESPECIFICADO' ELSE palabra END AS resultado_prueba,
+         CASE WHEN NOT par THEN 'NO_ESPECIFICADO' WHEN o_orderkey % 6 = 0
               THEN 'AMBULATORIO' WHEN o_orderkey % 6 = 2 THEN 'DEFUNCION'
               ELSE 'HOSPITALIZADO' END AS estatus_paciente,
-         CASE WHEN o_orderkey % 2 = 1 THEN 'H' || (o_orderkey % 7) END AS hospital,
-         (o_orderdate < TIMESTAMP '1995-06-01')::INTEGER AS fechas_anomalas
-  FROM orders JOIN customer ON o_custkey = c_custkey
+         CASE WHEN NOT par THEN 'H' || (o_orderkey % 7) END AS hospital,
+         intercambiado AS columnas_intercambiadas,
+         len(list_filter([aviso, ingreso, muestra, lectura], lambda d: NOT d BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '2001-12-31'))::INTEGER
+           AS fechas_anomalas
+  FROM fechas
 )"""
+RAW_RESULT = """CASE o_orderstatus WHEN 'O' THEN 'Detectado' WHEN 'F' THEN 'NO  DETECTADO' ELSE 'Trámite' END"""
+ORACLE["ingest_registries"] = f"""
+WITH {CLEAN}, c AS (SELECT *, {RAW_RESULT} AS dicho, strftime(r, '%d/%m/%Y') AS dia FROM pedidos)
+SELECT sha256(upper(c_name) || c_custkey || 'salt') AS paciente_id, CASE WHEN par THEN 'seguimiento' ELSE 'nominal' END AS fuente,
+  c_custkey::VARCHAR AS folio_origen, (c_custkey % 90)::VARCHAR AS edad_raw,
+  CASE WHEN c_nationkey % 2 = 0 THEN CASE WHEN par THEN 'f' ELSE 'F' END ELSE 'M' END AS sexo_raw,
+  CASE WHEN par THEN CASE c_nationkey % 3 WHEN 0 THEN 'Nezahualcóyotl' WHEN 1 THEN ' ecatepec  de Morelos' ELSE 'x' END END AS municipio_raw,
+  CASE WHEN par AND o_orderkey % 4 = 0 THEN o_orderpriority END AS derechohabiencia_raw,
+  CASE WHEN cruzado THEN dia ELSE dicho END AS resultado_raw,
+  CASE WHEN par THEN CASE o_orderkey % 6 WHEN 0 THEN 'casa' WHEN 2 THEN 'Óbito' ELSE 'HOSPITAL' END END AS estatus_raw,
+  CASE WHEN NOT par THEN 'H' || (o_orderkey % 7) END AS hospital_raw,
+  CASE WHEN par THEN CASE modo WHEN 0 THEN {SERIAL} WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+    WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN replace({PLAIN}, '1999', '9199')
+    WHEN 4 THEN strftime(o_orderdate + INTERVAL 20 YEAR, '%d/%m/%Y') ELSE {PLAIN} END END AS fecha_notificacion,
+  CASE WHEN cruzado THEN dicho ELSE dia END AS fecha_resultado,
+  CASE WHEN NOT par THEN CASE o_orderkey // 2 % 3 WHEN 0 THEN {SERIAL} WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE {PLAIN} END END AS fecha_ingreso,
+  CASE WHEN par THEN CASE modo WHEN 0 THEN 'number' WHEN 1 THEN 'datetime' ELSE 'text' END END AS tipo_notificacion,
+  (SELECT count(*) FROM nation) AS filas_red_negativa
+FROM c"""
 ORACLE["clean_cases"] = f"""
 WITH {CLEAN}
 SELECT row_order, edad, sexo, municipio_residencia, derechohabiencia,
-       n::DATE AS fecha_notificacion, h::DATE AS fecha_ingreso_hospital, resultado_prueba,
-       estatus_paciente, hospital, false AS columnas_intercambiadas, fechas_anomalas
+       n::DATE AS fecha_notificacion, h::DATE AS fecha_ingreso_hospital, fecha_toma_muestra::DATE AS fecha_toma_muestra,
+       fecha_resultado::DATE AS fecha_resultado, resultado_prueba,
+       estatus_paciente, hospital, columnas_intercambiadas, fechas_anomalas
 FROM limpios"""
-LINKED = greedy("SELECT paciente_id AS k, row_order AS id, n, h FROM limpios", 30)
-ORACLE["unified_cases"] = f"""
-WITH RECURSIVE {CLEAN}, {LINKED}
-SELECT l.paciente_id, l.edad, l.sexo, l.municipio_residencia, l.derechohabiencia,
-       l.n::DATE AS fecha_notificacion, NULL::DATE AS fecha_toma_muestra,
-       NULL::DATE AS fecha_resultado, l.resultado_prueba,
+
+
+def linked(days: int) -> str:
+    """The unified cases as a CTE ``unidos``, of admissions ``days`` away at most."""
+    source = "SELECT paciente_id AS k, row_order AS id, n, h FROM limpios"
+    return f"""{greedy(source, days)},
+unidos AS (
+  SELECT l.paciente_id, l.edad, l.sexo, l.municipio_residencia, l.derechohabiencia,
+       l.n AS fecha_notificacion, l.fecha_toma_muestra, l.fecha_resultado, l.resultado_prueba,
        CASE WHEN e.id IS NULL THEN l.estatus_paciente ELSE 'HOSPITALIZADO' END
          AS estatus_paciente,
        coalesce(t.hospital, l.hospital) AS hospital,
-       coalesce(t.h, l.h)::DATE AS fecha_ingreso_hospital,
+       coalesce(t.h, l.h) AS fecha_ingreso_hospital,
        e.id IS NOT NULL AS es_registro_unificado, e.dias AS dias_entre_notificacion_e_ingreso,
        coalesce(e.cand > 1, false) AS link_collided
-FROM limpios l LEFT JOIN enlace e ON e.id = l.row_order LEFT JOIN limpios t ON t.row_order = e.h
-WHERE l.row_order NOT IN (SELECT h FROM enlace)"""
-ORACLE["quality_summary"] = f"""
-WITH RECURSIVE {CLEAN}, {LINKED},
-uno AS (SELECT count(*) AS cruces, count(*) FILTER (WHERE cand > 1) AS choques FROM enlace),
-dos AS (
-  SELECT count(*) FILTER (WHERE row_order % 2 = 0) AS a,
+  FROM limpios l LEFT JOIN enlace e ON e.id = l.row_order LEFT JOIN limpios t ON t.row_order = e.h
+  WHERE l.row_order NOT IN (SELECT h FROM enlace)
+)"""
+
+
+ORACLE["unified_cases"] = f"""
+WITH RECURSIVE {CLEAN}, {linked(30)}
+SELECT * REPLACE (fecha_notificacion::DATE AS fecha_notificacion, fecha_toma_muestra::DATE AS fecha_toma_muestra,
+  fecha_resultado::DATE AS fecha_resultado, fecha_ingreso_hospital::DATE AS fecha_ingreso_hospital) FROM unidos"""
+QUALITY = """
+SELECT a AS filas_leidas_bronze_seguimiento, b AS filas_leidas_bronze_nominal,
+       a + b AS registros_hasheados, cruces AS cruces_exitosos, sueltos AS registros_huerfanos,
+       sueltos::DOUBLE / (sueltos + cruces) AS porcentaje_huerfanos,
+       c AS correcciones_columnas_intercambiadas,
+       choques AS colisiones_llave_sintetica, f AS fechas_anomalas_fuera_ventana
+FROM (
+  SELECT count(*) FILTER (es_registro_unificado) AS cruces, count(*) FILTER (NOT es_registro_unificado) AS sueltos,
+         count(*) FILTER (link_collided) AS choques FROM unidos
+), (
+  SELECT count(*) FILTER (WHERE row_order % 2 = 0) AS a, count(*) FILTER (columnas_intercambiadas) AS c,
          count(*) FILTER (WHERE row_order % 2 = 1) AS b, sum(fechas_anomalas)::BIGINT AS f
   FROM limpios
+)"""
+ORACLE["full_run"] = f"""
+WITH RECURSIVE {CLEAN}, {linked(30)}, figuras AS (
+  SELECT count(*) AS total_pacientes_atendidos, {count("resultado_prueba = 'POSITIVO'")} AS total_positivos,
+    {count("resultado_prueba = 'NEGATIVO'")} AS total_negativos, {count("resultado_prueba = 'PENDIENTE'")} AS total_pendientes,
+    {count("resultado_prueba = 'NO_CONCLUYENTE'")} AS total_no_concluyentes,
+    {count("estatus_paciente = 'HOSPITALIZADO'")} AS total_hospitalizados, {count("estatus_paciente = 'DEFUNCION'")} AS total_defunciones,
+    {count("es_registro_unificado")} AS registros_unificados_cruce,
+    median(dias_entre_notificacion_e_ingreso) FILTER (es_registro_unificado) AS mediana_dias_notificacion_ingreso,
+    {count("fecha_resultado < fecha_toma_muestra")} AS casos_fechas_invertidas,
+    {count("resultado_prueba = 'POSITIVO' AND estatus_paciente = 'DEFUNCION'")} AS letales,
+    {count("resultado_prueba = 'POSITIVO' AND estatus_paciente = 'HOSPITALIZADO'")} AS graves
+  FROM unidos
 )
-SELECT a AS filas_leidas_bronze_seguimiento, b AS filas_leidas_bronze_nominal,
-       a + b AS registros_hasheados, cruces AS cruces_exitosos,
-       a + b - 2 * cruces AS registros_huerfanos,
-       (a + b - 2 * cruces)::DOUBLE / (a + b - cruces) AS porcentaje_huerfanos,
-       0::BIGINT AS correcciones_columnas_intercambiadas,
-       choques AS colisiones_llave_sintetica, f AS fechas_anomalas_fuera_ventana
-FROM uno, dos"""
+SELECT * EXCLUDE (letales, graves), {rate("total_positivos", "total_positivos + total_negativos")} AS tasa_global_positividad,
+  {rate("letales", "total_positivos")} AS tasa_global_letalidad, {rate("graves", "total_positivos")} AS tasa_global_hospitalizacion,
+  1 AS codigo_sin_celdas, 0 AS codigo, 8::BIGINT AS publicados
+FROM figuras"""
+ORACLE["contract_enforced"] = """
+SELECT count(*) AS filas, regla, regla <> '' AS rechazada
+FROM lineitem, (SELECT unnest(['', 'paciente_id', 'edad', 'sexo', 'municipio_residencia', 'derechohabiencia',
+  'resultado_prueba', 'estatus_paciente', 'es_registro_unificado']) AS regla) GROUP BY regla"""
+ORACLE["quality_summary"] = f"WITH RECURSIVE {CLEAN}, {linked(30)} {QUALITY}"
 
 # ---------------------------------------------------------------------------
 # Text and identity
@@ -524,6 +595,11 @@ def spaced(value: str) -> str:
 
 ORACLE["normalize_text"] = f"""
 SELECT doc_id, {spaced(f"strip_accents({_UPPER})")} AS texto FROM documents"""
+# a syllable's number is (lead * 21 + vowel) * 28 + tail
+ORACLE["normalize_hangul"] = """
+WITH n AS (SELECT c_custkey, c_name, c_nationkey * 449 % 11172 AS n FROM customer)
+SELECT c_custkey, chr((4352 + n // 588)::INTEGER) || chr((4449 + n % 588 // 28)::INTEGER)
+  || CASE WHEN n % 28 > 0 THEN chr((4519 + n % 28)::INTEGER) ELSE '' END || 'E ' || upper(c_name) AS texto FROM n"""
 _TILDES = f"replace(replace(replace({_UPPER}, 'Ñ', '\x01'), 'Ã', '\x02'), 'Õ', '\x03')"
 _NAME = f"""replace(replace(replace(strip_accents({_TILDES}),
   '\x01', 'Ñ'), '\x02', 'Ã'), '\x03', 'Õ')"""
@@ -579,14 +655,142 @@ SELECT o_orderkey, CASE o_orderkey % 7 WHEN 1 THEN 'AMBULATORIO' WHEN 2 THEN 'AM
   WHEN 3 THEN 'DEFUNCION' WHEN 4 THEN 'HOSPITALIZADO' WHEN 5 THEN 'HOSPITALIZADO'
   WHEN 6 THEN 'OTRO' ELSE 'AMBULATORIO' END AS estatus FROM orders"""
 _PLACE = " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(PLACES))
+# The same rules, written out apart from the code under test
+RESIDENCE_RULES = (
+    (
+        (
+            "^NIC.*",
+            "^CHIA.*",
+            "(^.*JA.*$)",
+            "(^.*VER.*$)",
+            "^HID.*",
+            "^DA.*",
+            "(^.*EEUU.*$)",
+            "^MOR.*",
+            "^PUEB.*",
+            "^SONO.*",
+            "(^.*JUAR.*$)",
+        ),
+        "FORANEO",
+    ),
+    (("(^.*GUSTAVO.*$)", "(^.*GAM.*$)"), "GUSTAVO A. MADERO"),
+    (("(^.*IZTAP.*$)", "(^.*APA.*$)"), "IZTAPALAPA"),
+    (("(^.*IZTAC.*$)", "(^.*LCO.*$)", "(^.*AGRICOLA.*$)", "(^.*ORIENTAL.*$)"), "IZTACALCO"),
+    (("(^.*CHIMA.*$)", "(^.*HUACAN.*$)"), "CHIMALHUACAN"),
+    (("(^.*NEZA.*$)", "(^.*AV..*$)", "(^.*CORO.*$)"), "NEZAHUALCOYOTL"),
+    (("(^.*BENI.*$)",), "BENITO JUAREZ"),
+    (("(^.*CUAU.*$)", "(^.*CUAH.*$)"), "CUAUHTEMOC"),
+    (("(^.*COYO.*$)",), "COYOACAN"),
+    (("(^.*CUAJ.*$)",), "CUAJIMALPA"),
+    (("(^.*ECAT.*$)",), "ECATEPEC"),
+    (("(^.*XOCH.*$)",), "XOCHIMILCO"),
+    (("(^.*ALVARO.*$)",), "ALVARO OBREGON"),
+    (("(^.*AMECA.*$)", "(^.*CAMINO.*$)"), "AMECAMECA"),
+    (("(^.*JUCHITE.*$)",), "JUCHITEPEC"),
+    (("(^.*TLA.*$)",), "TLALPAN"),
+    (("(^.*AZCAP.*$)",), "AZCAPOTZALCO"),
+    (("(^.*IXTA.*$)", "(^.*LA MAG.*$)"), "IXTAPALUCA"),
+    (("(^.*MIGUE.*$)",), "MIGUEL HIDALGO"),
+    (("(^.*VENU.*$)",), "VENUSTIANO CARRANZA"),
+    (("(^.*PAZ.*$)", "(^.*REYES.*$)"), "LOS REYES - LA PAZ"),
+    (("(^.*TECA.*$)", "(^.*AMAC.*$)"), "TECAMAC"),
+    (("(^.*TEX.*$)", "(^.*COCO.*$)"), "TEXCOCO"),
+    (("(^.*CHIN.*$)", "(^.*CONCUAC.*$)"), "CHINCONCUAC"),
+    (("(^.*TULTE.*$)", "(^.*SAN PABLO.*$)"), "TULTEPEC"),
+    (("(^.*NAUC.*$)",), "NAUCALPAN"),
+    (("(^.*ATEN.*$)",), "ATENCO"),
+    (("(^.*HUIX.*$)",), "HUIXQUILUCAN"),
+    (("(^.*ACOL.*$)",), "ACOLMAN"),
+    (("(^.*TOL.*$)",), "TOLUCA"),
+    (("(^.*LER.*$)",), "LERMA"),
+    (("(^.*TEPET.*$)", "(^.*LIXPA.*$)"), "TEPETLIXPA"),
+    (("(^.*TEOL.*$)",), "TEOLOYUCAN"),
+    (("(^.*CHICO.*$)",), "CHICOLOAPAN"),
+    (("(^.*NICOL.*$)",), "NICOLAS ROMERO"),
+    (("(^.*TENAN.*$)",), "TENANGO DEL VALLE"),
+)
 ORACLE["residence_cascade"] = cascade(
     f"(SELECT c_custkey, CASE c_custkey % {len(PLACES) + 1} {_PLACE} ELSE 'FORANEO' END"
     " AS residencia FROM customer)",
     "c_custkey",
     "residencia",
-    settings.RESIDENCE_CASCADE,
+    RESIDENCE_RULES,
     whole_cell=True,
 )
+# The rules of the older report, written out apart from the code under test
+RULES = {
+    "country": ((("^MEX.*", "^MÉX.*"), "MÉXICO"),),
+    "sample": (
+        (("(^.*PENS.*$)", "(^.*PEND.*$)", "(^.*NEG.*$)", "(^.*POS.*$)"), "PENDIENTE"),
+        (("(^.*NO.*$)",), "NO SE TOMÓ"),
+    ),
+    "result": (
+        (("^POS.*", "^´POS.*"), "POSITIVO"),
+        (("^NEG.*", "^ NEG.*"), "NEGATIVO"),
+        (("^IN.*", "^´NO.*", "M.*", "NO.*", "PEN.*", "REC.*", "SIN.*"), "SOSPECHOSO"),
+    ),
+    "result_date": (
+        (("(^.*PENS.*$)", "(^.*PEND.*$)"), "PENDIENTE"),
+        (("(^.*NO.*$)", "(^.*ERR.*$)", "(^.*DEF.*$)", "(^.*SIN.*$)"), "NO SE TOMÓ"),
+        (("(^.*NEG.*$)",), "NEGATIVO"),
+        (("(^.*PO.*$)",), "POSITIVO"),
+    ),
+    "result_date_second": ((("(^.*P.*$)", "(^.*NE.*$)"), "PENDIENTE"),),
+    "age": ((("(^.*RN.*$)", "(^.*D.*$)", "(^.*ME.*$)", "(^.*d.*$)", "(^.*m.*$)"), "0"),),
+    "age_second": ((("(^.*M.*$)", "(^.*H.*$)", "(^.*N.*$)", "(^.*,M.*$)"), "M"),),
+    "sex": (
+        (("(^.*F.*$)",), "F"),
+        (("(^.*M.*$)", "(^.*H.*$)", "(^.*N.*$)"), "M"),
+        (("(^.*RN.*$)", "(^.*D.*$)"), "0"),
+        (("(^.*AÑ.*$)",), ""),
+    ),
+    "sex_second": (
+        (("(^.*F.*$)",), "F"),
+        (("(^.*M.*$)", "(^.*H.*$)", "(^.*N.*$)", "(^.*,M.*$)"), "M"),
+        (("(^.*G.*$)", "(^.*SN.*$)", "(^.*X.*$)", "(^.*R.*$)"), "OTRO"),
+    ),
+}
+for _rule, _calls in RULES.items():
+    _cells = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(TYPED_CELLS[_rule]))
+    ORACLE[f"{_rule}_cascade"] = cascade(
+        f"(SELECT o_orderkey, CASE o_orderkey % {len(TYPED_CELLS[_rule]) + 1} {_cells} END AS celda FROM orders)",
+        "o_orderkey",
+        "celda",
+        _calls,
+        whole_cell=False,
+    )
+_PICKED = "CASE o_orderkey % 5 WHEN 0 THEN 'POSITIVO' WHEN 1 THEN 'NEGATIVO' ELSE 'SOSPECHOSO' END"
+_OLDER_AGES = [(0, 1, "0-1"), (2, 11, "2-11"), (12, 17, "12-17"), (18, 29, "18-29"), (30, 39, "30-39"), (40, 49, "40-49"),
+               (50, 59, "50-59"), (60, 69, "60-69"), (70, 200, "70+")]
+_BANDS = " ".join(f"WHEN edad BETWEEN {a} AND {b} THEN '{name}'" for a, b, name in _OLDER_AGES)
+_DOMAINS = {
+    "resultado": ["POSITIVO", "NEGATIVO", "SOSPECHOSO", "RESTO"],
+    "sexo": ["M", "F", "OTRO", "RESTO"],
+    "estatus": ["AMBULATORIO", "HOSPITALIZADO", "DEFUNCION", "RESTO"],
+    "rango": [*(name for _, _, name in _OLDER_AGES), "SIN DATO", "RESTO"],
+}
+# FEMENINO in the age's cell is read as an age in months before cells are exchanged
+ORACLE["older_crosstabs"] = f"""
+WITH t AS (
+  SELECT {_PICKED} AS resultado, CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 11 = 5 THEN 'OTRO'
+      WHEN o_orderkey % 4 IN (0, 3) THEN 'F' ELSE 'M' END AS sexo,
+    CASE o_orderkey % 8 WHEN 0 THEN 'AMBULATORIO' WHEN 1 THEN 'AMBULATORIO' WHEN 2 THEN 'DEFUNCION'
+      WHEN 4 THEN 'HOSPITALIZADO' WHEN 5 THEN 'HOSPITALIZADO' ELSE 'RESTO' END AS estatus,
+    CASE WHEN o_orderkey % 11 <> 5 AND o_orderkey % 13 < 2 THEN 0 ELSE o_custkey % 97 END AS edad
+  FROM orders
+), e AS (SELECT *, CASE {_BANDS} ELSE 'SIN DATO' END AS rango FROM t)
+""" + " UNION ALL ".join(
+    f"""SELECT '{name}' AS tabla, fila, columna, count(e.{row}) AS n
+FROM (SELECT unnest({_DOMAINS[row]}) AS fila) CROSS JOIN (SELECT unnest({_DOMAINS[column]}) AS columna)
+LEFT JOIN e ON e.{row} = fila AND e.{column} = columna GROUP BY fila, columna"""
+    for name, (row, column) in {
+        "resultado_sexo": ("resultado", "sexo"),
+        "estatus_resultado": ("estatus", "resultado"),
+        "estatus_sexo": ("estatus", "sexo"),
+        "edad_resultado": ("rango", "resultado"),
+        "edad_estatus": ("rango", "estatus"),
+    }.items()
+)
 ORACLE["whitelist"] = """
 SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_mktsegment
   ELSE 'SOSPECHOSO' END AS resultado FROM customer"""
@@ -609,6 +813,11 @@ ORACLE["parse_date_shapes"] = """
 WITH d AS (SELECT o_orderkey, o_orderkey % 20 AS w, (o_orderdate + INTERVAL 10 YEAR)::DATE AS f FROM orders)
 SELECT o_orderkey, w > 16 AS ilegible,
        CASE WHEN w = 16 THEN date_trunc('month', f)::DATE WHEN w < 16 THEN f END AS fecha FROM d"""
+ORACLE["parse_date_clocks"] = """
+SELECT o_orderkey, ilegible, strftime(t, '%Y-%m-%d %H:%M:%S') AS leida FROM (WITH d AS (SELECT o_orderkey, o_orderkey % 9 AS w, o_orderdate + INTERVAL 1 SECOND * (o_orderkey * 7919 % 86400) AS f FROM orders)
+SELECT o_orderkey, w > 6 AS ilegible, CASE w WHEN 0 THEN date_trunc('minute', f) WHEN 1 THEN date_trunc('second', f)
+  WHEN 2 THEN date_trunc('minute', f) WHEN 3 THEN date_trunc('day', f)::TIMESTAMP WHEN 4 THEN date_trunc('minute', f)
+  WHEN 5 THEN date_trunc('minute', f) WHEN 6 THEN date_trunc('hour', f) END AS t FROM d)"""
 RESULT_CELLS = """
 c AS (
   SELECT o_orderkey, o_orderkey % 4 AS w, strftime(o_orderdate, '%d/%m/%Y') AS dia, o_orderdate,

@@ -6,14 +6,26 @@ Every expression is deterministic, so the same data can be written down in SQL
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from caseloom.functions.dates import elapsed_days
-from caseloom.settings import EARLIER_LIMITS, DatePolicy, SheetSpec
+from caseloom.functions.identity import pseudonymize
+from caseloom.settings import (
+    DAILY_SHEET,
+    EARLIER_LIMITS,
+    INPATIENT_SHEET,
+    OUTPATIENT_SHEET,
+    DatePolicy,
+    SheetSpec,
+)
+
+SALT = "salt"
 
 # The days the tables cover
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
@@ -213,6 +225,36 @@ def shaped_dates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Whole texts with a time of day or a weekday, the last two of them no dates
+CLOCK_SHAPES = (
+    "d MMM yyyy HH:mm",
+    "dd.MM.yyyy HH:mm:ss",
+    "EEEE, MMMM d, yyyy 'at' h:mm a",
+    "EEE dd-MM-yyyy",
+    "h:mm a dd.MM.yyyy",
+    "yyyyMMdd HH:mm",
+    "yyyy.MM.dd H 'hrs'",
+    "dd.MM.yyyy '25':mm",
+    "d MMM yyyy 'turno' HH:mm",
+)
+
+
+def clocked_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates with a time of day, in all :data:`CLOCK_SHAPES`."""
+    key = F.col("o_orderkey")
+    at = F.timestamp_add("SECOND", (key * 7919 % 86400).cast("int"), F.col("o_orderdate"))
+    typed = F.array(*[F.date_format(at, shape) for shape in CLOCK_SHAPES])
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.element_at(typed, (key % len(CLOCK_SHAPES) + 1).cast("int")).alias("v"),
+        F.lit("text").alias("kind"),
+    )
+
+
+# Every 449th Hangul syllable, a spread over leads, vowels and tails
+SYLLABLES = tuple(chr(0xAC00 + n * 449 % 11172) for n in range(25))
+
+
 def dirty_results(spark: SparkSession, sf: str) -> DataFrame:
     """Result and result date, in exchanged cells for every fourth order."""
     key = F.col("o_orderkey")
@@ -296,49 +338,191 @@ def monthly_registries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# How the registries of orders are read: one year is mistyped, days before June 1995 are not covered
+REGISTRY_DATES = DatePolicy(
+    first_day=date(1995, 6, 1),
+    last_day=LAST_DAY,
+    year_typos=(("9199", "1999"),),
+    shifted_year=None,
+)
+
+
+def _day(day: Column, shape: str) -> Column:
+    return F.date_format(day, shape)
+
+
+def _serial(day: Column) -> Column:
+    return F.datediff(F.to_date(day), F.lit("1899-12-30").cast("date")).cast("string")
+
+
+def _typed(day: Column, way: Column) -> tuple[Column, Column]:
+    """A day typed six ways, by ``way``: the cell's text and kind.
+
+    A number, a date cell, year first, with a mistyped year, twenty years late, or plain.
+    """
+    text = (
+        F.when(way == 0, _serial(day))
+        .when(way == 1, _day(day, "yyyy-MM-dd HH:mm:ss"))
+        .when(way == 2, _day(day, "yyyy-MM-dd"))
+        .when(way == 3, F.replace(_day(day, "dd/MM/yyyy"), F.lit("1999"), F.lit("9199")))
+        .when(way == 4, _day(day + F.expr("INTERVAL 20 YEARS"), "dd/MM/yyyy"))
+        .otherwise(_day(day, "dd/MM/yyyy"))
+    )
+    kind = F.when(way == 0, F.lit("number")).when(way == 1, F.lit("datetime")).otherwise(F.lit("text"))
+    return text, kind
+
+
+def _registry_values() -> dict[str, tuple[Column, Column]]:
+    """Logical columns of both registries, each a cell's text and kind.
+
+    Even orders notify, odd ones admit. Result and result date stand in each other's
+    cell in every eleventh order.
+    """
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    even, half = key % 2 == 0, F.floor(key / 2)
+    text = F.lit("text")
+    age = (F.col("c_custkey") % 90).cast("string")
+    woman = F.col("c_nationkey") % 2 == 0
+    word = _choose(F.col("o_orderstatus"), {"O": "Detectado", "F": "NO  DETECTADO", "P": "Trámite"})
+    read = _day(F.timestamp_add("DAY", (key % 5).cast("int"), day), "dd/MM/yyyy")
+    swapped = key % 11 == 3
+    notified, notified_kind = _typed(day, half % 6)
+    admitted, admitted_kind = _typed(day, F.when(half % 3 < 2, half % 3).otherwise(5))
+    sampled = _day(F.timestamp_add("DAY", (key % 3).cast("int"), day), "dd.MM.yyyy")
+    return {
+        "folio": (F.col("c_custkey").cast("string"), F.lit("number")),
+        "nombre": (F.col("c_name"), text),
+        "sexo": (F.when(woman, F.lit("f")).otherwise(F.lit("M")), text),
+        "edad": (age, F.lit("number")),
+        "edad_f": (F.when(woman, age), F.lit("number")),
+        "edad_m": (F.when(~woman, age), F.lit("number")),
+        "municipio": (
+            _choose(F.col("c_nationkey") % 3, {0: "Nezahualcóyotl", 1: " ecatepec  de Morelos"}, "x"),
+            text,
+        ),
+        "derechohabiencia": (F.when(key % 4 == 0, F.col("o_orderpriority")), text),
+        "resultado": (F.when(swapped, read).otherwise(word), text),
+        "fecha_resultado": (F.when(swapped, word).otherwise(read), text),
+        "estatus": (_choose(key % 6, {0: "casa", 2: "Óbito"}, "HOSPITAL"), text),
+        "hospital": (F.concat(F.lit("H"), (key % 7).cast("string")), text),
+        "fecha_notificacion": (notified, notified_kind),
+        "fecha_toma_muestra": (sampled, text),
+        "fecha_ingreso": (admitted, admitted_kind),
+    }
+
+
+def _registry_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").join(
+        table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+
+
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Raw registry rows of orders and their customers."""
     even = F.col("o_orderkey") % 2 == 0
-    absent = F.lit(None).cast("string")
+    values = _registry_values()
+    outpatient = {name for name, _ in OUTPATIENT_SHEET.columns}
+    inpatient = {name for name, _ in INPATIENT_SHEET.columns}
+
+    def raw(name: str, cell: bool = False) -> Column:
+        text, kind = values[name]
+        here = F.lit(False)
+        if name in outpatient:
+            here = here | even
+        if name in inpatient or (name in ("edad", "sexo")):
+            here = here | ~even
+        if not cell:
+            return F.when(here, text).alias(f"{name}_raw")
+        there = here & text.isNotNull()
+        return F.struct(F.when(there, text).alias("v"), F.when(there, kind).alias("kind")).alias(f"{name}_raw")
+
+    # an inpatient's sex is told by the column that holds the age
+    sex = F.when(even, values["sexo"][0]).otherwise(F.upper(values["sexo"][0])).alias("sexo_raw")
+    dates = ("fecha_notificacion", "fecha_toma_muestra", "fecha_resultado", "fecha_ingreso")
+    texts = ("municipio", "derechohabiencia", "resultado", "estatus", "hospital")
+    return _registry_orders(spark, sf).select(
+        F.col("o_orderkey").alias("row_order"),
+        pseudonymize(values["nombre"][0], values["folio"][0], SALT).alias("paciente_id"),
+        F.when(even, F.lit("seguimiento")).otherwise(F.lit("nominal")).alias("fuente"),
+        values["folio"][0].alias("folio_origen"),
+        sex,
+        raw("edad"),
+        *[raw(name) for name in texts],
+        *[raw(name, cell=True) for name in dates],
+    )
 
-    def dated(condition: Column) -> Column:
-        return F.struct(
-            F.when(condition, F.date_format("o_orderdate", "dd/MM/yyyy")).alias("v"),
-            F.when(condition, F.lit("text")).alias("kind"),
-        )
 
-    return (
-        table(spark, sf, "orders")
-        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").alias("row_order"),
-            F.sha2("c_name", 256).alias("paciente_id"),
-            F.when(even, F.lit("seguimiento")).otherwise(F.lit("nominal")).alias("fuente"),
-            absent.alias("folio_origen"),
-            F.when(F.col("c_nationkey") % 2 == 0, F.lit("f")).otherwise(F.lit("M")).alias("sexo_raw"),
-            (F.col("c_custkey") % 90).cast("string").alias("edad_raw"),
-            F.when(
-                even,
-                _choose(
-                    F.col("c_nationkey") % 3, {0: "Nezahualcóyotl", 1: " ecatepec  de Morelos"}, "x"
-                ),
-            ).alias("municipio_raw"),
-            F.when(even, F.lit("")).alias("derechohabiencia_raw"),
-            _choose(
-                F.col("o_orderstatus"), {"O": "Detectado", "F": "NO  DETECTADO", "P": "Trámite"}
-            ).alias("resultado_raw"),
-            F.when(
-                even, _choose(F.col("o_orderkey") % 6, {0: "casa", 2: "Óbito"}, "HOSPITAL")
-            ).alias("estatus_raw"),
-            F.when(~even, F.concat(F.lit("H"), (F.col("o_orderkey") % 7).cast("string"))).alias(
-                "hospital_raw"
-            ),
-            dated(even).alias("fecha_notificacion_raw"),
-            dated(F.lit(False)).alias("fecha_toma_muestra_raw"),
-            dated(F.lit(False)).alias("fecha_resultado_raw"),
-            dated(~even).alias("fecha_ingreso_raw"),
-        )
+ORDERS_PER_BOOK = 400
+
+
+def _lay(df: DataFrame, sheet: str, first_row: Column, header: list[tuple[int, int, str]], places: Mapping[str, int]) -> DataFrame:
+    """A registry as cells: rows from ``first_row`` on, the header above the first one.
+
+    ``header`` holds (rows above the data, column, text).
+    """
+    values = _registry_values()
+
+    def entry(r: Column, c: int, v: Column, kind: Column) -> Column:
+        return F.struct(r.cast("int").alias("r"), F.lit(c).alias("c"), v.alias("v"), kind.alias("kind"))
+
+    row = first_row + F.col("at")
+    data = F.array(*[entry(row, c, *values[name]) for name, c in places.items()])
+    top = F.array(*[entry(first_row - up, c, F.lit(text), F.lit("text")) for up, c, text in header])
+    cells = F.when(F.col("at") == 0, F.concat(top, data)).otherwise(data)
+    named = F.concat(F.lit("libro_"), F.lpad(F.col("book").cast("string"), 9, "0")).alias("file")
+    return df.select(named, F.lit(sheet).alias("sheet"), F.inline(cells)).filter(F.col("v").isNotNull())
+
+
+def registry_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Workbooks of both registries, and of a daily sheet that is counted only.
+
+    What :func:`bronze` has as rows: a book holds the notifications and admissions of 400
+    orders. Headers wander, the admissions' spans three rows; the daily sheet lists nations.
+    """
+    book = F.floor(F.col("o_orderkey") / ORDERS_PER_BOOK)
+    in_book = W.partitionBy("book", F.col("o_orderkey") % 2).orderBy("o_orderkey")
+    orders = (
+        _registry_orders(spark, sf)
+        .withColumn("book", book)
+        .withColumn("at", F.row_number().over(in_book) - 1)
+    )
+    even = F.col("o_orderkey") % 2 == 0
+    titles = [(OUTPATIENT_SHEET.keys[0], "folio"), ("CASO (nombre)", "nombre")]
+    titles += [(f"{prefix} del caso", name) for name, prefix in OUTPATIENT_SHEET.columns[2:]]
+    out_places = {name: c for c, (_, name) in enumerate(titles, 2)}
+    out_header = [(1, out_places[name], title) for title, name in titles]
+    in_places = dict(zip(("folio", "nombre", "edad_f", "edad_m", "fecha_ingreso", "resultado", "fecha_resultado", "hospital"), (1, 2, 3, 4, 5, 7, 8, 9)))
+    in_header = [
+        (3, 1, "NO."),
+        (3, 2, "NOMBRE DEL PACIENTE"),
+        (3, 3, "EDAD"),
+        (2, 3, "F"),
+        (2, 4, "M"),
+        (3, 5, "FECHA DE INGRESO"),
+        (3, 7, "PRUEBA"),
+        (1, 7, "RESULTADO"),
+        (1, 8, "FECHA DE RESULTADO"),
+        (3, 9, "HOSPITAL"),
+    ]
+    outpatients = _lay(
+        orders.filter(even), OUTPATIENT_SHEET.sheet, F.col("book") % 5 + 4, out_header, out_places
+    )
+    inpatients = _lay(
+        orders.filter(~even), INPATIENT_SHEET.sheet, F.col("book") % 3 + 6, in_header, in_places
+    )
+    nation = table(spark, sf, "nation")
+    first = F.col("n_nationkey") == 0
+    daily = nation.select(
+        F.lit("libro_000000000").alias("file"),
+        F.lit(DAILY_SHEET.sheet).alias("sheet"),
+        F.inline(
+            F.concat(
+                F.when(first, F.array(F.struct(F.lit(1).alias("r"), F.lit(1).alias("c"), F.lit(DAILY_SHEET.keys[0]).alias("v"), F.lit("text").alias("kind")))).otherwise(F.array()),
+                F.array(F.struct((F.col("n_nationkey") + 2).cast("int").alias("r"), F.lit(1).alias("c"), F.col("n_name").alias("v"), F.lit("text").alias("kind"))),
+            )
+        ),
     )
+    return outpatients.unionByName(inpatients).unionByName(daily)
 
 
 # ---------------------------------------------------------------------------
@@ -393,3 +577,51 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(SHEET.sheet).alias("sheet"),
         F.inline(all_cells),
     ).filter(F.col("v").isNotNull())
+
+
+# ---------------------------------------------------------------------------
+# Cells of the older one-table report
+# ---------------------------------------------------------------------------
+# As typed, by the rules that read them
+TYPED_CELLS = {
+    "country": ("MEXICO", "MÉXICO DF", "MEX", "CUBA", "EN MEXICO"),
+    "sample": ("PENSIENTE", "PENDIENTE DE TOMA", "NEGATIVO", "POS", "NO", "NO SE TOMO", "SI", "NINGUNO POSIBLE"),
+    "result": (
+        "POSITIVO A SARS", "POS", "´POSITIVO", "NEG.", " NEGATIVO", "NEGATIVO", "INDETERMINADO", "´NO", "MUESTRA MALA",
+        "NO ADECUADA", "EN PENDIENTE", "RECHAZADA", "SIN RESULTADO", "DUDOSO", "A POS",
+    ),
+    "result_date": ("PENSIENTE", "PENDIENTE", "NO HAY", "ERROR", "DEFUNCION", "SIN FECHA", "NEGATIVO", "POSITIVO", "01/05/2020", "NEGADO"),
+    "result_date_second": ("PENDIENTE", "NEGATIVO", "POSITIVO", "NO SE TOMÓ", "01/05/2020"),
+    "age": ("RN", "3D", "5 MESES", "2 d", "8 m", "34", "45 AÑOS", "3MESES"),
+    "age_second": ("M", "HOMBRE", "NIÑO", "34", "5,M", "f"),
+    "sex": ("F", "FEMENINO", "MASC", "HOMBRE", "NIÑA", "RN", "D", "40 AÑ", "X", "DOS AÑ"),
+    "sex_second": ("F", "M", "H", "NO", "GAY", "SN", "X", "TRAVESTI R", "45", "OTRO"),
+}
+
+
+def older_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as raw rows of the older report: result and its date, and sex and age, may be exchanged."""
+    key = F.col("o_orderkey")
+
+    def pick(values: tuple, by: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), by.cast("int"))
+
+    result = pick(("POSITIVO", "NEG.", "RECHAZADA", "SIN MUESTRA", None), key % 5)
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    sex = pick(("FEMENINO", "MASC", "HOMBRE", "F"), key % 4)
+    age = pick(("RN", "5 MESES"), key % 13)
+    years = F.coalesce(age, (F.col("o_custkey") % 97).cast("string"))
+    swapped, turned = key % 7 == 3, key % 11 == 5
+    null = F.lit(None).cast("string")
+    return table(spark, sf, "orders").select(
+        F.when(turned, (F.col("o_custkey") % 97).cast("string")).otherwise(sex).alias("sexo"),
+        F.when(turned, sex).otherwise(years).alias("edad"),
+        F.when(key % 3 > 0, pick(("GAM NORTE", "COL. NEZA"), key % 2)).alias("residencia"),
+        F.when(key % 6 > 0, F.col("o_orderpriority")).alias("derechohabiencia"),
+        day.alias("fecha_notificacion"),
+        null.alias("toma_muestra"),
+        F.when(swapped, day).otherwise(result).alias("resultado"),
+        F.when(swapped, F.coalesce(result, F.lit("NADA"))).otherwise(day).alias("fecha_resultado"),
+        pick(("AMB", "PACIENTE AMBULATORIO", "DEFUNCIÓN", "UCI", "HOSPITALIZADO", "ALTA"), key % 8).alias("estatus"),
+        F.lit("MEXICO").alias("pais"),
+    )

@@ -10,19 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom import settings
+from caseloom.errors import IntegrityError
 from caseloom.functions import dates, demography, identity, measures, text
 from caseloom.operators import cubes, kpi, profile, quality, scaling, series, views
 from caseloom.operators.hot_linkage import HotSizes
 from caseloom.operators.linkage import LinkOptions, link_candidates, link_rows
-from caseloom.plans.gold import build_gold
+from caseloom.plans.gold import TABLE_FILES, build_gold
+from caseloom.plans import older_report, run, silver
 from caseloom.plans.silver import clean_cases, unify_cases
 from caseloom.session import tune
-from caseloom.sources import landing, tables
+from caseloom.sources import landing, release, tables
 from caseloom.workloads import proxy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SALT = "salt"
+SALT = proxy.SALT
 
 
 def query(function: Query) -> Query:
@@ -430,15 +432,10 @@ def link_greedy_hot_clock(spark, sf):
 
 def _stored_cleaned(spark: SparkSession, sf: str) -> tuple[DataFrame, scaling.Staging]:
     staging = scaling.Staging(spark)
-    cleaned = clean_cases(proxy.bronze(spark, sf), _REGISTRY_DATES)
+    cleaned = clean_cases(proxy.bronze(spark, sf), proxy.REGISTRY_DATES)
     return staging.table(cleaned, "cleaned"), staging
 
 
-_REGISTRY_DATES = settings.DatePolicy(
-    first_day=date(1995, 6, 1), last_day=proxy.LAST_DAY, year_typos=(), shifted_year=None
-)
-
-
 @query
 def unified_cases(spark, sf):
     """Registries cleaned and linked to unified cases."""
@@ -453,27 +450,110 @@ def unified_cases(spark, sf):
 @query
 def quality_summary(spark, sf):
     """The telemetry of that run."""
-    cleaned, staging = _stored_cleaned(spark, sf)
-    unified = staging.table(unify_cases(cleaned, LinkOptions(window_days=30), staging), "unified")
-    per_source = proxy.bronze(spark, sf).groupBy("fuente").agg(F.count(F.lit(1)).alias("n"))
-    rows = {r["fuente"]: r["n"] for r in per_source.collect()}
-    return quality.quality_summary(
-        rows.get("seguimiento", 0), rows.get("nominal", 0), cleaned, unified
+    staging = scaling.Staging(spark)
+    path, bronze = staging.path("cleaned"), proxy.bronze(spark, sf)
+    cleaned = clean_cases(bronze, proxy.REGISTRY_DATES)
+    rules, facts = quality.one_date_contract(), quality.cleaning_facts()
+    sides = {
+        side: F.count_if(F.col("row_order") % 2 == k) for k, side in enumerate(("out", "into"))
+    }
+    found = release.write_checked(cleaned, path, rules, facts | sides)
+    unified = unify_cases(spark.read.parquet(path), LinkOptions(window_days=30), staging)
+    found |= release.write_checked(
+        unified, staging.path("unified"), quality.case_contract(), quality.linking_facts()
     )
+    return quality.quality_summary(spark, found["out"], found["into"], found)
+
+
+@query
+def full_run(spark, sf):
+    """Workbooks to published tables in one run, and the key figures found there.
+
+    A run before it, which finds no cells, ends with another code and publishes nothing.
+    """
+    staging = scaling.Staging(spark)
+    cells, folder = staging.path("cells"), staging.path("silver")
+    config = run.RunConfig(
+        cells, folder, silver.Registries(SALT), dates=proxy.REGISTRY_DATES, link=LinkOptions(window_days=30)
+    )
+    absent = run.run(spark, config)
+    proxy.registry_cells(spark, sf).write.partitionBy("sheet").parquet(cells)
+    done = run.run(spark, config, "gold")
+    tables_before = run.published_tables(spark, folder)
+    figures = spark.read.parquet(tables_before[TABLE_FILES["kpis"]]).drop("timestamp_generacion")
+    return figures.select(
+        "*",
+        F.lit(absent).alias("codigo_sin_celdas"),
+        F.lit(done).alias("codigo"),
+        F.lit(len(tables_before)).cast("bigint").alias("publicados"),
+    )
+
+
+@query
+def contract_enforced(spark, sf):
+    """Q1: cases with one broken row per rule, each refused by the write that counts it."""
+    staging = scaling.Staging(spark)
+    whole = staging.table(
+        proxy.cases(spark, sf, *_CONTRACT_FIELDS)
+        .fillna("NINGUNO", ["derechohabiencia"])
+        .withColumn("n", F.monotonically_increasing_id()),
+        "cases",
+    )
+    first = F.col("n") == 0
+    broken = {
+        "paciente_id": F.lit("x"),
+        "edad": F.lit(-2.0),
+        "sexo": F.lit("m"),
+        "municipio_residencia": F.lit(None),
+        "derechohabiencia": F.lit(None),
+        "resultado_prueba": F.lit("DUDOSO"),
+        "estatus_paciente": F.lit(None),
+        "es_registro_unificado": F.lit(None),
+    }
+
+    def refused(rule: str | None) -> bool:
+        df = whole
+        if rule is not None:
+            wrong = F.when(first, broken[rule]).otherwise(F.col(rule))
+            df = df.withColumn(rule, wrong.cast(df.schema[rule].dataType))
+        try:
+            release.write_checked(df, staging.path("checked"), quality.case_contract())
+        except IntegrityError:
+            return True
+        return False
+
+    names = ["", *broken]
+    outcome = scaling.together({n: lambda n=n: refused(n or None) for n in names})
+    rows = whole.agg(F.count(F.lit(1)).alias("filas"))
+    each = F.array(
+        *[F.struct(F.lit(n).alias("regla"), F.lit(outcome[n]).alias("rechazada")) for n in names]
+    )
+    return rows.select("filas", F.inline(each))
+
+
+_CONTRACT_FIELDS = (
+    "paciente_id",
+    "edad",
+    "sexo",
+    "municipio_residencia",
+    "derechohabiencia",
+    "resultado_prueba",
+    "estatus_paciente",
+    "es_registro_unificado",
+)
 
 
 @query
 def clean_cases_query(spark, sf):
     """Registry rows cleaned, before linking."""
-    cleaned = clean_cases(proxy.bronze(spark, sf), _REGISTRY_DATES)
+    cleaned = clean_cases(proxy.bronze(spark, sf), proxy.REGISTRY_DATES)
     return cleaned.select(
         "row_order",
         "edad",
         "sexo",
         "municipio_residencia",
         "derechohabiencia",
-        F.to_date("fecha_notificacion").alias("fecha_notificacion"),
-        F.to_date("fecha_ingreso_hospital").alias("fecha_ingreso_hospital"),
+        *[F.to_date(c).alias(c) for c in settings.DATE_COLUMNS],
         "resultado_prueba",
         "estatus_paciente",
         "hospital",
@@ -496,6 +576,15 @@ def normalize_text(spark, sf):
     )
 
 
+@query
+def normalize_hangul(spark, sf):
+    """Syllables told by number fall into their letters."""
+    syllable = F.get(F.array(*[F.lit(s) for s in proxy.SYLLABLES]), F.col("c_nationkey"))
+    return proxy.table(spark, sf, "customer").select(
+        "c_custkey", text.normalize_text(F.concat(syllable, F.lit("é "), F.col("c_name"))).alias("texto")
+    )
+
+
 @query
 def pseudonymize(spark, sf):
     """Salted hashes of names, keeping tildes; every fifth has no folio."""
@@ -595,11 +684,18 @@ def regex_cascade(spark, sf):
     return text.regex_cascade(df, "tipo", calls)
 
 
+def _by_dictionary(df: DataFrame, column: str, calls) -> DataFrame:
+    def change(values: DataFrame) -> DataFrame:
+        return text.regex_cascade(values, column, calls)
+
+    return scaling.by_dictionary(df, column, change, scaling.Staging(df.sparkSession))
+
+
 @query
 def status_cascade(spark, sf):
     """The status rules."""
     df = proxy.table(spark, sf, "orders").select("o_orderkey", _raw_status().alias("estatus"))
-    return text.regex_cascade(df, "estatus", settings.STATUS_CASCADE)
+    return _by_dictionary(df, "estatus", settings.STATUS_CASCADE)
 
 
 PLACES = (
@@ -617,7 +713,42 @@ def residence_cascade(spark, sf):
     )
     df = proxy.table(spark, sf, "customer").select("c_custkey", raw.alias("residencia"))
     filled = text.fill_null(df, {"residencia": "FORANEO"})
-    return text.regex_cascade(filled, "residencia", settings.RESIDENCE_CASCADE)
+    return _by_dictionary(filled, "residencia", settings.RESIDENCE_CASCADE)
+
+
+def _typed_cascade(name: str, calls) -> Query:
+    def run(spark, sf):
+        typed = proxy.TYPED_CELLS[name]
+        way = (F.col("o_orderkey") % (len(typed) + 1)).cast("int")
+        cell = F.get(F.array(*[F.lit(t) for t in typed]), way)
+        df = proxy.table(spark, sf, "orders").select("o_orderkey", cell.alias("celda"))
+        return _by_dictionary(df, "celda", calls)
+
+    run.__doc__ = f"T11: the {name} rules, on cells as typed and null ones."
+    return run
+
+
+for _name, _calls in {
+    "country": settings.COUNTRY_CASCADE,
+    "sample": settings.SAMPLE_CASCADE,
+    "result": settings.RESULT_CASCADE,
+    "result_date": settings.RESULT_DATE_CASCADE,
+    "result_date_second": settings.RESULT_DATE_SECOND_CASCADE,
+    "age": settings.AGE_CASCADE,
+    "age_second": settings.AGE_SECOND_CASCADE,
+    "sex": settings.SEX_CASCADE,
+    "sex_second": settings.SEX_SECOND_CASCADE,
+}.items():
+    QUERIES[f"{_name}_cascade"] = _typed_cascade(_name, _calls)
+
+
+@query
+def older_crosstabs(spark, sf):
+    """The older report from raw cells to all cells of its five crosstabs."""
+    staging = scaling.Staging(spark)
+    registry = staging.table(proxy.older_registry(spark, sf), "registry")
+    cleaned = older_report.clean_older(registry, staging)
+    return older_report.older_cells(cleaned, staging, other="RESTO")
 
 
 @query
@@ -667,6 +798,18 @@ def parse_date_shapes(spark, sf):
     )
 
 
+@query
+def parse_date_clocks(spark, sf):
+    """Whole texts with a time of day or a weekday, two of nine being no dates."""
+    cell = F.struct("v", "kind")
+    policy = replace(proxy.DATES, year_typos=(), shifted_year=None)
+    return dates.parse_dates(proxy.clocked_dates(spark, sf), {"d": cell}, policy).select(
+        "o_orderkey",
+        F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("leida"),
+        dates.is_unreadable(cell, F.col("d")).alias("ilegible"),
+    )
+
+
 @query
 def swap_repair(spark, sf):
     """Results and dates put back into their columns."""
@@ -821,6 +964,30 @@ def read_sheet_unlimited(spark, sf):
     return _people(landing.read_sheet(proxy.cells(spark, sf), proxy.UNLIMITED_SHEET))
 
 
+@query
+def ingest_registries(spark, sf):
+    """Both registries and the daily sheet from their workbooks, as raw rows."""
+    bronze, counts = silver.ingest_registries(
+        proxy.registry_cells(spark, sf), silver.Registries(SALT), scaling.Staging(spark)
+    )
+    cells = {name: F.col(f"{name}_raw") for name in ("fecha_notificacion", "fecha_resultado", "fecha_ingreso")}
+    return bronze.select(
+        "paciente_id",
+        "fuente",
+        "folio_origen",
+        "edad_raw",
+        "sexo_raw",
+        "municipio_raw",
+        "derechohabiencia_raw",
+        "resultado_raw",
+        "estatus_raw",
+        "hospital_raw",
+        *[c["v"].alias(name) for name, c in cells.items()],
+        F.col("fecha_notificacion_raw.kind").alias("tipo_notificacion"),
+        F.lit(counts["red_negativa"]).cast("bigint").alias("filas_red_negativa"),
+    )
+
+
 @query
 def landing_rejects(spark, sf):
     """Cells by what became of them; kept and rejected add up to what was landed."""
@@ -838,14 +1005,7 @@ def _reconciled(spark: SparkSession, sf: str, lost: str | None = None) -> DataFr
     gold = build_gold(cases, policy, staging)
     insurance = gold.insurance if lost is None else gold.insurance.filter(F.col("derechohabiencia") != lost)
     return quality.reconcile(
-        cases,
-        gold.demographic,
-        gold.series,
-        gold.municipal,
-        insurance,
-        gold.kpis,
-        policy.first_day,
-        policy.last_day,
+        gold.totals, gold.demographic, gold.series, gold.municipal, insurance, gold.kpis
     )
 
 

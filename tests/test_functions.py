@@ -44,6 +44,21 @@ def test_normalize_text_equals_the_definition(spark):
     assert column(spark, cases, text.normalize_text) == [python_normalize(c) for c in cases]
 
 
+def test_every_code_point_is_normalised_as_the_standard_decomposes_it(spark):
+    points = [p for p in range(0x20, 0x110000) if unicodedata.category(chr(p)) not in ("Cn", "Cs", "Co")]
+    # a letter on both sides, so that marks stand on something and nothing is trimmed
+    df = spark.createDataFrame([(p, f"a{chr(p)}b") for p in points], "p int, v string")
+    got = df.select("p", F.upper("v").alias("u"), text.normalize_text(F.col("v")).alias("n")).collect()
+
+    def decomposed(u):
+        bare = unicodedata.normalize("NFD", u)
+        return " ".join("".join(c for c in bare if not unicodedata.combining(c)).split())
+
+    # the engine's capitals are taken as they are: its tables are of another year
+    wrong = [hex(r.p) for r in got if r.n != decomposed(r.u)]
+    assert wrong == []
+
+
 def test_normalize_person_name_keeps_tildes(spark):
     cases = texts()
     expected = [python_normalize(c, "̃") for c in cases]
@@ -176,6 +191,36 @@ def test_whole_texts_are_read_as_dates(spark):
     assert {r.v: r.d and (r.d.year, r.d.month, r.d.day) for r in got} == WHOLE_TEXTS
 
 
+CLOCK_TEXTS = {
+    "18 Mar 2020 10:30": (2020, 3, 18, 10, 30, 0),
+    "18.03.2020 10:30:15": (2020, 3, 18, 10, 30, 15),
+    "Wednesday, March 18, 2020 at 9:05 PM": (2020, 3, 18, 21, 5, 0),
+    "miércoles 18 de marzo de 2020 a las 7 p. m.": (2020, 3, 18, 19, 0, 0),
+    "Wed 18 Mar 2020": (2020, 3, 18, 0, 0, 0),
+    "sábado, 21-03-2020": (2020, 3, 21, 0, 0, 0),
+    "12:00 a.m. 18.03.2020": (2020, 3, 18, 0, 0, 0),
+    "18-03-2020 12:15 pm": (2020, 3, 18, 12, 15, 0),
+    "20200318 08:00": (2020, 3, 18, 8, 0, 0),
+    "March 18th, 2020 23:59:59.5": (2020, 3, 18, 23, 59, 59),
+    "the 18th of March 2020": (2020, 3, 18, 0, 0, 0),
+    "18 marzo 2020 14:30 hrs": (2020, 3, 18, 14, 30, 0),
+    "2020.03.18 14 h": (2020, 3, 18, 14, 0, 0),
+    "18 Mar 2020 25:00": None,
+    "18 Mar 2020 13:00 pm": None,
+    "18 Mar 2020 10:75": None,
+    "18 Mar 2020 turno B": None,
+    "10:30": None,
+    "Wednesday": None,
+}
+
+
+def test_clocks_and_weekdays_of_whole_texts(spark):
+    df = spark.createDataFrame([(t, "text") for t in CLOCK_TEXTS], "v string, kind string")
+    got = dates.parse_dates(df, {"d": F.struct("v", "kind")}).collect()
+    read = {r.v: r.d and (r.d.year, r.d.month, r.d.day, r.d.hour, r.d.minute, r.d.second) for r in got}
+    assert read == CLOCK_TEXTS
+
+
 DATE_VECTORS = [
     ("43914", "number", datetime(2020, 3, 24), False),
     ("43914.5", "number", datetime(2020, 3, 24, 12), False),

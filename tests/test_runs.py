@@ -14,7 +14,7 @@ from caseloom.operators import quality
 from caseloom.operators.scaling import Staging
 from caseloom.plans import gold, run, silver
 from caseloom.settings import PII_COLUMNS
-from caseloom.sources import tables
+from caseloom.sources import release, tables
 
 
 def outpatient(folio, nombre, edad="34", fecha_notificacion="18/03/2020", resultado="POSITIVO", sexo="F", **more):
@@ -46,18 +46,23 @@ def finished(spark, tmp_path_factory):
     config = run.RunConfig(
         f"{folder}/cells", f"{folder}/silver", silver.Registries(salt="s"), f"{folder}/gold"
     )
-    run.run(spark, config, "gold")
+    assert run.run(spark, config, "gold") == run.OK
     return folder
 
 
+@pytest.fixture(scope="module")
+def published(spark, finished):
+    return run.published_tables(spark, f"{finished}/silver")
+
+
 def read_json(folder):
     (part,) = glob.glob(f"{folder}/part-*.json")
     with open(part, encoding="utf-8") as f:
         return json.load(f)
 
 
-def test_cases_are_unified(spark, finished):
-    cases = gold.load_silver(spark, f"{finished}/silver/{gold.SILVER_FILE}")
+def test_cases_are_unified(spark, published):
+    cases = gold.load_silver(spark, published[gold.SILVER_FILE])
     assert cases.columns == list(silver.SILVER_COLUMNS)
     assert not {c.upper() for c in cases.columns} & {p.upper() for p in PII_COLUMNS}
     rows = cases.collect()
@@ -76,8 +81,8 @@ def test_cases_are_unified(spark, finished):
     assert all(len(r.paciente_id) == 64 for r in rows)
 
 
-def test_quality_summary_is_written(finished):
-    summary = read_json(f"{finished}/silver/{run.QUALITY_FILE}")
+def test_quality_summary_is_written(published):
+    summary = read_json(published[run.QUALITY_FILE])
     stamp = summary.pop("timestamp_ejecucion")
     assert stamp.endswith("+00:00")
     assert summary == {
@@ -93,10 +98,9 @@ def test_quality_summary_is_written(finished):
     }
 
 
-def test_tables_and_summary_are_written(spark, finished):
-    stored = gold.load_gold(spark, f"{finished}/gold")
-    assert all(df is not None for df in stored.values())
-    summary = read_json(f"{finished}/gold/{gold.SUMMARY_FILE}")
+def test_tables_and_summary_are_written(spark, finished, published):
+    stored = {name: spark.read.parquet(published[file]) for name, file in gold.TABLE_FILES.items()}
+    summary = read_json(published[gold.SUMMARY_FILE])
     assert summary["total_pacientes_atendidos"] == 5
     assert summary["mediana_dias_notificacion_ingreso"] == 4.0
     assert stored["demographic"].agg(F.sum("total_casos")).first()[0] == 5
@@ -104,21 +108,107 @@ def test_tables_and_summary_are_written(spark, finished):
     quality.assert_contract(stored["insurance"], quality.insurance_contract(), "i")
     quality.assert_contract(stored["municipal"], quality.municipal_contract(), "m")
     quality.assert_contract(stored["series"], quality.series_contract(), "s")
+    quality.assert_contract(stored["kpis"], quality.kpi_contract(), "k")
 
 
-def test_exit_codes(spark, finished, tmp_path, monkeypatch):
-    path = f"{finished}/silver/{gold.SILVER_FILE}"
-    assert run.run_stored_silver(spark, path, str(tmp_path / "ok")) == 0
+def test_exit_codes(spark, finished, published, tmp_path, monkeypatch):
+    path = published[gold.SILVER_FILE]
+    ok = str(tmp_path / "ok")
+    assert run.run_stored_silver(spark, path, ok) == 0
+    assert all(df is not None for df in gold.load_gold(spark, ok).values())
     assert run.run_stored_silver(spark, f"{finished}/nowhere", str(tmp_path / "x")) == 1
     spark.range(1).write.parquet(str(tmp_path / "thin"))
     assert run.run_stored_silver(spark, str(tmp_path / "thin"), str(tmp_path / "x")) == 1
 
-    def fail(controls):
+    def fail(found):
         raise IntegrityError("totals differ")
 
-    monkeypatch.setattr(gold, "assert_reconciled", fail)
+    monkeypatch.setattr(quality, "assert_reconciled", fail)
     assert run.run_stored_silver(spark, path, str(tmp_path / "x")) == 2
-    assert not os.path.exists(tmp_path / "x")
+    assert not list((tmp_path / "x").glob("*"))
+    # what was there before a failed run stays readable
+    before = gold.load_gold(spark, ok)["kpis"].collect()
+    assert run.run_stored_silver(spark, path, ok) == 2
+    assert gold.load_gold(spark, ok)["kpis"].collect() == before
+
+
+def config_of(finished, target):
+    return run.RunConfig(f"{finished}/cells", f"{target}/silver", silver.Registries(salt="s"))
+
+
+def test_a_run_refuses_rows_that_break_a_rule(spark, finished, tmp_path, monkeypatch):
+    config = config_of(finished, tmp_path)
+    assert run.run(spark, config, "gold") == run.OK
+    before = run.published_tables(spark, config.silver_folder)
+    rules = {**quality.case_contract(), "edad": F.col("edad") < 60}
+    monkeypatch.setattr(run, "case_contract", lambda: rules)
+    assert run.run(spark, config) == run.INCONSISTENT
+    assert run.published_tables(spark, config.silver_folder) == before
+    assert spark.read.parquet(before[gold.SILVER_FILE]).count() == 5
+    folders = [p for p in os.listdir(config.silver_folder) if p.startswith("release-")]
+    assert len(folders) == 1
+
+
+def test_a_run_without_cells_or_headers_is_unreadable(spark, tmp_path):
+    config = config_of(tmp_path, tmp_path)
+    assert run.run(spark, config) == run.UNREADABLE
+    fx.cell_table(spark, [("x", fx.OUT, 1, 1, "nothing", "text")]).write.parquet(f"{tmp_path}/cells")
+    assert run.run(spark, config) == run.UNREADABLE
+    with pytest.raises(FileNotFoundError):
+        run.published_tables(spark, config.silver_folder)
+
+
+def test_a_killed_run_leaves_the_earlier_set(spark, finished, tmp_path, monkeypatch):
+    config = config_of(finished, tmp_path)
+    assert run.run(spark, config) == run.OK
+    before = run.published_tables(spark, config.silver_folder)
+
+    def killed(self):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(release.Release, "publish", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run.run(spark, config, "gold")
+    assert run.published_tables(spark, config.silver_folder) == before
+    assert spark.read.parquet(before[gold.SILVER_FILE]).count() == 5
+
+
+def test_two_runs_cannot_publish_the_same_number(spark, tmp_path, monkeypatch):
+    one, two = (release.Release(spark, str(tmp_path)) for _ in range(2))
+    for r in (one, two):
+        r.write(spark.range(3).toDF("n"), "t")
+    assert one.publish() == 1
+    monkeypatch.setattr(release, "_numbers", lambda *a: [])
+    with pytest.raises(IntegrityError):
+        two.publish()
+    monkeypatch.undo()
+    assert release.published(spark, str(tmp_path)) == one.tables
+    assert two.publish() == 2 and release.published(spark, str(tmp_path)) == two.tables
+
+
+@pytest.mark.parametrize(
+    ("contract", "table"),
+    [
+        (quality.demographic_contract, "demographic"),
+        (quality.insurance_contract, "insurance"),
+        (quality.municipal_contract, "municipal"),
+        (quality.series_contract, "series"),
+        (quality.kpi_contract, "kpis"),
+    ],
+)
+def test_every_rule_of_a_table_is_enforced(spark, published, tmp_path, contract, table):
+    """A row with a null, or a share above one, in each column in turn."""
+    good = spark.read.parquet(published[gold.TABLE_FILES[table]])
+    assert release.write_checked(good, str(tmp_path / "good"), contract())["filas"] == good.count()
+    bad = good.limit(1)
+    counted = quality.check_contract(
+        bad.unionByName(bad.select(*[F.lit(None).cast(t).alias(c) for c, t in bad.dtypes])), contract()
+    ).first()
+    assert counted["filas"] == 2
+    assert all(counted[f"viola_{rule}"] == 1 for rule in contract())
+    with pytest.raises(IntegrityError, match="viola_"):
+        nulls = bad.select(*[F.lit(None).cast(t).alias(c) for c, t in bad.dtypes])
+        release.write_checked(bad.unionByName(nulls), str(tmp_path / "bad"), contract())
 
 
 def test_reads(spark, finished, tmp_path):
