@@ -24,7 +24,8 @@ from caseloom.llm.arrow import pieces
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
-_PIECE_CHARS = 3_000_000
+# Few enough that the arrays of a piece, some hundred bytes a character, stay in the cache
+_PIECE_CHARS = 250_000
 # Noise from 53-bit uniform numbers lies in (-3.7, 37.5): a region whose log-mass is
 # further below another's than both together cannot come before it.
 _REACH = 41.2
@@ -35,14 +36,16 @@ _REACH = 41.2
 # ---------------------------------------------------------------------------
 @dataclass
 class Vocabulary:
-    """Pieces with log-probabilities as a trie of sorted transitions, and their decoding."""
+    """Pieces with log-probabilities as a trie of hashed transitions, and their decoding."""
 
     pieces: list[str]
-    raw: list[bytes]
+    raw: np.ndarray
+    raw_first: np.ndarray
+    raw_size: np.ndarray
     byte_ids: np.ndarray
     byte_log: float
     chars: np.ndarray
-    keys: np.ndarray
+    slots: np.ndarray
     targets: np.ndarray
     piece_at: np.ndarray
     log_at: np.ndarray
@@ -88,19 +91,22 @@ class Vocabulary:
                     log_at.append(0.0)
                 node = step[key]
             piece_at[node], log_at[node] = i, score
-        keys = np.array(sorted(step), np.int64)
+        slots, targets = _hashed(step)
         raw = [t.encode() for t in texts]
         for value, i in enumerate(byte_ids.tolist()):
             if i >= 0:
                 raw[i] = bytes([value])
+        size = np.fromiter(map(len, raw), np.int64, n)
         return cls(
             texts,
-            raw,
+            np.frombuffer(b"".join(raw), np.uint8),
+            np.cumsum(size) - size,
+            size,
             byte_ids,
             float(scores.min()) - 1.0,
             chars,
-            keys,
-            np.array([step[k] for k in keys.tolist()], np.int32),
+            slots,
+            targets,
             np.array(piece_at, np.int32),
             np.array(log_at),
         )
@@ -110,13 +116,45 @@ class Vocabulary:
         """Letters of the trie, and one number for all others."""
         return int(self.chars.max()) + 2
 
+    def steps(self, key: np.ndarray) -> np.ndarray:
+        """The nodes that transitions lead to, -1 where there is none."""
+        at = _slot(key, len(self.slots))
+        found = self.slots[at]
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+            found[open_] = self.slots[at[open_]]
+            open_ = open_[(found[open_] != key[open_]) & (found[open_] >= 0)]
+        return np.where(found == key, self.targets[at], -1)
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of a segmentation: what was encoded, with U+2581 read as a space."""
-        raw = b"".join(map(self.raw.__getitem__, np.asarray(ids).tolist()))
-        text = raw.decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        size = self.raw_size[ids]
+        ends = np.cumsum(size)
+        # every byte's place: its piece's first byte, and how far it is from there
+        place = np.repeat(self.raw_first[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        text = self.raw[place].tobytes().decode("utf-8", "replace")
         return text.replace(_MARK, " ")[1:]
 
 
+def _slot(key: np.ndarray, slots: int) -> np.ndarray:
+    mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+
+
+def _hashed(step: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions as an open hash table, an eighth full: keys, -1 where free, and targets."""
+    size = 1 << (8 * len(step) + 1).bit_length()
+    slots, targets = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+    keys = np.fromiter(step, np.int64, len(step))
+    for key, at, target in zip(keys.tolist(), _slot(keys, size).tolist(), step.values(), strict=True):
+        while slots[at] >= 0:
+            at = (at + 1) & (size - 1)
+        slots[at], targets[at] = key, target
+    return slots, targets
+
+
 # ---------------------------------------------------------------------------
 # Random numbers that depend on the row only
 # ---------------------------------------------------------------------------
@@ -154,19 +192,17 @@ class Lattice:
         end_of = np.repeat(ends, lengths + 1)
         # 32-bit numbers do for the places of a piece of text and the keys of the trie
         wide = np.int32 if max(64 * n, (len(v.piece_at) + 1) * v.width) < 2**31 else np.int64
-        keys = v.keys.astype(wide)
         char = v.chars[points].astype(wide)
         char[self.final | (char < 0)] = v.width - 1
         active = np.flatnonzero(char < v.width - 1).astype(wide)
         node = np.zeros(len(active), wide)
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        key_of_root = np.minimum(np.searchsorted(keys, np.arange(v.width, dtype=wide)), len(keys) - 1)
+        of_root = v.steps(np.arange(v.width))
         while len(active):
             c = char[active + wide(len(found))]
-            key = node * wide(v.width) + c
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1) if found else key_of_root[c]
-            hit = keys[at] == key
-            active, node = active[hit], v.targets[at[hit]].astype(wide)
+            node = v.steps(node * np.int64(v.width) + c) if found else of_root[c]
+            hit = node >= 0
+            active, node = active[hit], node[hit]
             whole = v.piece_at[node] >= 0
             found.append((active[whole], node[whole]))
         single = np.zeros(n, bool)
@@ -174,13 +210,13 @@ class Lattice:
             single[found[0][0]] = True
         bare = np.flatnonzero(~single & ~self.final)
         # edges by their start, longer pieces, the likelier ones, first
-        self.count = np.bincount(bare, minlength=n)
+        self.count = np.bincount(bare, minlength=n).astype(wide)
         for begin, _ in found:
             self.count[begin] += 1
-        self.first = np.cumsum(self.count) - self.count
+        self.first = np.cumsum(self.count, dtype=wide) - self.count
         total_edges = int(self.count.sum())
-        begin = np.repeat(np.arange(n), self.count)
-        self.stop, self.id = np.empty(total_edges, np.int64), np.empty(total_edges, np.int64)
+        begin = np.repeat(np.arange(n, dtype=wide), self.count)
+        self.stop, self.id = np.empty(total_edges, wide), np.empty(total_edges, wide)
         weight = np.empty(total_edges)
         fill = self.first.copy()
         for depth in range(len(found), 0, -1):
@@ -243,6 +279,56 @@ class Lattice:
         return counts, out
 
 
+class Store(Lattice):
+    """Lattices of all units asked for so far, one after the other.
+
+    A unit is worked out once, until there are some ``limit`` nodes; then all are
+    forgotten, so memory is bounded however many units there are.
+    """
+
+    _NODES, _EDGES = ("final", "first", "count"), ("stop", "id", "log", "run")
+
+    def __init__(self, vocabulary: Vocabulary, limit: int = 1_000_000) -> None:
+        self.vocabulary, self.limit = vocabulary, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.held: dict[str, np.ndarray] = {}
+        self.sizes = [0, 0]
+
+    def _append(self, part: Lattice) -> None:
+        for which, names in enumerate((self._NODES, self._EDGES)):
+            size = self.sizes[which]
+            more = len(getattr(part, names[0]))
+            for name in names:
+                new = getattr(part, name)
+                held = self.held.get(name)
+                if held is None or len(held) < size + more:
+                    grown = np.empty(max(size + more, 2 * size), new.dtype if held is None else held.dtype)
+                    if held is not None:
+                        grown[:size] = held[:size]
+                    held = self.held[name] = grown
+                # nodes name edges by number, edges nodes
+                shift = {"first": self.sizes[1], "stop": self.sizes[0]}.get(name)
+                held[size : size + more] = new if shift is None else new + shift
+                setattr(self, name, held[: size + more])
+        self.sizes = [len(self.final), len(self.stop)]
+
+    def nodes(self, units: list[str]) -> np.ndarray:
+        """The node where each unit begins."""
+        distinct = dict.fromkeys(units)
+        new = [u for u in distinct if u not in self.place]
+        if new and self.sizes[0] and self.sizes[0] + 2 * len(new) + sum(map(len, new)) > self.limit:
+            self._clear()
+            new = list(distinct)
+        if new:
+            part = Lattice(self.vocabulary, [_MARK + u for u in new])
+            self.place.update(zip(new, (part.starts + self.sizes[0]).tolist(), strict=True))
+            self._append(part)
+        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+
+
 def units_of(text: str) -> list[str]:
     """A text with a space put before it, cut before each run of spaces.
 
@@ -331,13 +417,16 @@ def _start(lattice: Lattice, row: _Row, number: int, step: int) -> int:
     return int(row.nodes[unit]) if step == begun else int(lattice.stop[path[step - 1]])
 
 
-def sample(vocabulary: Vocabulary, texts: list[str | None], seeds: np.ndarray, k: int) -> list[list[tuple]]:
+def sample(
+    vocabulary: Vocabulary, texts: list[str | None], seeds: np.ndarray, k: int, store: Store | None = None
+) -> list[list[tuple]]:
     """Per text up to ``k`` distinct ``(ids, log_p, value, log_inclusion)``, largest value first.
 
     ``value`` is the log-probability with its Gumbel noise, ``log_inclusion`` the log
     of the probability to exceed the next value not returned. A text with fewer
     segmentations returns all, each included for certain. Null and empty texts have
-    none. Results depend on the text, its seed and ``k``, not on other texts.
+    none. Results depend on the text, its seed and ``k``, not on other texts; ``store``
+    keeps lattices from one call to the next.
     """
     if k < 1:
         raise ValueError("at least one segmentation has to be asked for")
@@ -350,10 +439,8 @@ def sample(vocabulary: Vocabulary, texts: list[str | None], seeds: np.ndarray, k
             every += units
     if not every:
         return [[] for _ in texts]
-    distinct = dict.fromkeys(every)
-    place = dict(zip(distinct, range(len(distinct)), strict=True))
-    lattice = Lattice(vocabulary, [_MARK + u for u in distinct])
-    nodes = lattice.starts[np.fromiter(map(place.__getitem__, every), np.int64, len(every))]
+    lattice = store or Store(vocabulary)
+    nodes = lattice.nodes(every)
     offset = np.cumsum(counts) - counts
     row_of = np.repeat(np.arange(len(texts)), counts)
     seeds = _mix(np.asarray(seeds, np.uint64))
@@ -480,11 +567,12 @@ def segmentations(
     )
 
     def run(batches):
+        store = Store(vocabulary)
         for batch in batches:
             for piece in pieces(batch, "_text", _PIECE_CHARS):
                 texts = piece.column("_text").to_pylist()
                 seeds = piece.column("_seed").to_numpy(zero_copy_only=False).view(np.uint64)
-                found = sample(vocabulary, texts, seeds, k)
+                found = sample(vocabulary, texts, seeds, k, store)
                 good = [
                     all(vocabulary.decode(ids) == t for ids, *_ in rows)
                     for t, rows in zip(texts, found, strict=True)
