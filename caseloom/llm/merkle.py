@@ -279,10 +279,9 @@ def manifest(
 
     # '' stands for a null source and every name has a sign before it: the order asked for
     named = sweeps[-1].select(F.lit("").alias("g"), F.col("g").alias("src"), "digest")
-    # one row
-    number = named.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    number = F.lit(sweeps[-1].count()).cast("bigint").alias("n")
     sources = staging.table(
-        dense_index(named, ["g"], ["src"], "pos", staging).join(F.broadcast(number), "g"), "sources"
+        dense_index(named, ["g"], ["src"], "pos", staging).select("*", number), "sources"
     )
     above = _sweeps_up(sources.select("g", "pos", "n", "digest"), staging)
     top = above[-1].select(
