@@ -156,7 +156,7 @@ def running(
 ) -> DataFrame:
     """Sums and extremes over a row's neighbours, for groups of any size.
 
-    ``earlier`` maps an output to ``(sum | max | min, value)`` over the rows of the group
+    ``earlier`` maps an output to ``(sum | max | min | bit_xor, value)`` over the rows of the group
     before this one, ``onward`` over this one and those after it. A plain window would
     sort a whole group in one task. Here rows are spread by range of (group, order),
     taken together inside their range, and joined with what the group holds in earlier,
@@ -202,6 +202,9 @@ def running(
         if kind == "sum":
             none = F.lit(0)
             return F.coalesce(f"_w{i}", none) + F.coalesce(f"_o{i}", none)
+        if kind == "bit_xor":
+            none = F.lit(0).cast("bigint")
+            return F.coalesce(f"_w{i}", none).bitwiseXOR(F.coalesce(f"_o{i}", none))
         return (F.greatest if kind == "max" else F.least)(f"_w{i}", f"_o{i}")
 
     made = {name: both(i, kind) for i, (name, kind, _, _) in enumerate(wanted)}

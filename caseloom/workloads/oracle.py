@@ -349,9 +349,16 @@ SELECT sum(pruebas_tomadas)::BIGINT AS total_pruebas,
          AS tasa_global_positividad,
        {rate("sum(ingresos_hospitalarios)", "sum(resultados_positivos)")} AS tasa_hospitalizacion
 FROM serie WHERE fecha BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'"""
-ORACLE["kpi_view_missing_cube"] = """
-SELECT 0::BIGINT AS total_pruebas, 0::BIGINT AS casos_positivos_confirmados,
-       0.0::DOUBLE AS tasa_global_positividad, 0.0::DOUBLE AS tasa_hospitalizacion"""
+ORACLE["kpi_view_missing_cube"] = f"""
+WITH {CASES}, c AS (
+  SELECT s.sexo, count(edad) AS total_pruebas, {count(POS)} AS casos_positivos_confirmados,
+    {count(NEG)} AS negativos, {count(f"{POS} AND {HOSP}")} AS graves
+  FROM (SELECT unnest(['F', 'OTRO']) AS sexo) s LEFT JOIN casos ON casos.sexo = s.sexo AND s.sexo <> 'OTRO' AND edad >= 0
+  GROUP BY s.sexo
+)
+SELECT sexo, total_pruebas, casos_positivos_confirmados,
+  {rate("casos_positivos_confirmados", "casos_positivos_confirmados + negativos")} AS tasa_global_positividad,
+  {rate("graves", "casos_positivos_confirmados")} AS tasa_hospitalizacion FROM c"""
 ORACLE["kpi_view_empty_kpis"] = ORACLE["kpi_view_days"].split(" FROM serie WHERE")[0].split("\nFROM serie WHERE")[0] + " FROM serie"
 ORACLE["crosstab_other"] = """
 WITH t AS (

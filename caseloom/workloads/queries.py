@@ -331,10 +331,15 @@ def kpi_view_days(spark, sf):
 
 @query
 def kpi_view_missing_cube(spark, sf):
-    """A sex selected and no demographic cube: zeros, not the unfiltered series."""
-    chosen = kpi.ViewFilter(sexes=("F",))
-    kpis = kpi.kpi_row(proxy.cases(spark, sf, *_KPI_FIELDS))
-    return kpi.kpi_view(chosen, kpis, _case_series(spark, sf), None, _insurance(spark, sf))
+    """A sex selected that only cases without an age have, out of a cube of those with
+    one: what is left of the cube answers, and not the unfiltered series."""
+    cube = _demographic(spark, sf)
+    known = cube.filter((F.col("grupo_edad") != settings.NO_DATA) & (F.col("sexo") != "OTRO"))
+    figures = [
+        kpi.kpi_view(kpi.ViewFilter(sexes=(sex,)), None, None, known, None).withColumn("sexo", F.lit(sex))
+        for sex in ("F", "OTRO")
+    ]
+    return figures[0].unionByName(figures[1])
 
 
 @query
@@ -629,9 +634,10 @@ def catalog_lookup(spark, sf):
 @query
 def catalog_table_lookup(spark, sf):
     """Free text to a catalog held as a table."""
-    nation = proxy.table(spark, sf, "nation").filter(F.col("n_nationkey") % 5 > 0)
-    catalog = nation.select(
-        F.initcap("n_name").alias("synonym"),
+    # every fifth nation is spelt in a way that nobody types
+    spelt = F.when(F.col("n_nationkey") % 5 > 0, F.initcap("n_name")).otherwise(F.reverse("n_name"))
+    catalog = proxy.table(spark, sf, "nation").select(
+        spelt.alias("synonym"),
         F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("canonical"),
     )
     typed = proxy.table(spark, sf, "customer").select(
