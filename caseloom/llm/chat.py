@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from caseloom.operators.scaling import Staging, dense_index, prefix_sum
+from caseloom.operators.scaling import Staging, dense_index, running
 
 BLOCK_TURNS = 1024
 """So many turns at most are hashed, or rendered into one segment, as one group."""
@@ -32,18 +32,17 @@ def _turns(df: DataFrame) -> DataFrame:
 
 
 def numbered(turns: DataFrame, staging: Staging) -> DataFrame:
-    """``(conv, block, cell, turn, a, b, n)`` for every different turn, ``n`` from 1.
+    """``(conv, block, turn, a, b, n)`` for every different turn, ``n`` from 1.
 
     Turns are counted by range of (conversation, number, role, hashes), so one
-    conversation may hold any share of them under any numbers. ``block`` goes by place
-    and has ``BLOCK_TURNS`` turns at most, ``cell`` by turn number.
+    conversation may hold any share of them under any numbers. A ``block`` is
+    ``BLOCK_TURNS`` places, so it has no more turns than that.
     """
     apart = turns.select("conv", "turn", "role", "a", "b").distinct()
     return staging.table(
         dense_index(apart, ["conv"], ["turn", "role", "a", "b"], "r", staging).select(
             "conv",
             F.floor(F.col("r") / BLOCK_TURNS).alias("block"),
-            F.floor(F.col("turn") / BLOCK_TURNS).alias("cell"),
             "turn",
             "a",
             "b",
@@ -53,29 +52,28 @@ def numbered(turns: DataFrame, staging: Staging) -> DataFrame:
     )
 
 
-def prefixes(turns: DataFrame) -> DataFrame:
+def prefixes(turns: DataFrame, staging: Staging) -> DataFrame:
     """``(conv, n, h1, h2, last)`` for every numbered turn: hashes of the first ``n`` turns.
 
     A hash is the exclusive-or of its turns' hashes, each taken with its place, so
     blocks of a long conversation are hashed side by side: rolling hashes come from
-    those of the blocks before. No task sorts more than blocks, or a conversation's
-    list of blocks.
+    those of the blocks before, which are taken together by range. No task sorts more
+    than a block.
     """
     placed = turns.select(
         "conv", "block", "n", F.xxhash64("a", "n").alias("a"), F.xxhash64("b", "n").alias("b")
     )
-    earlier = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    rolled = (
-        placed.groupBy("conv", "block")
-        .agg(F.bit_xor("a").alias("a0"), F.bit_xor("b").alias("b0"), F.max("n").alias("end"))
-        .select(
-            "conv",
-            "block",
-            F.coalesce(F.bit_xor("a0").over(earlier), F.lit(0)).alias("a0"),
-            F.coalesce(F.bit_xor("b0").over(earlier), F.lit(0)).alias("b0"),
-            F.max("end").over(W.partitionBy("conv")).alias("total"),
-        )
+    blocks = placed.groupBy("conv", "block").agg(
+        F.bit_xor("a").alias("a_own"), F.bit_xor("b").alias("b_own"), F.max("n").alias("end")
     )
+    rolled = running(
+        blocks,
+        ["conv"],
+        ["block"],
+        staging,
+        {"a0": ("bit_xor", F.col("a_own")), "b0": ("bit_xor", F.col("b_own"))},
+        {"total": ("max", F.col("end"))},
+    ).select("conv", "block", "a0", "b0", "total")
     so_far = W.partitionBy("conv", "block").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
     inside = placed.select(
         "conv",
@@ -100,7 +98,7 @@ def maximal(turns: DataFrame, staging: Staging) -> DataFrame:
     the smallest id stays. Prefixes are distinct before they are compared, so an
     opening that thousands of conversations share is one row.
     """
-    known = staging.table(prefixes(turns), "prefixes")
+    known = staging.table(prefixes(turns, staging), "prefixes")
     key = ["n", "h1", "h2"]
     ends = (
         known.filter("last")
@@ -115,29 +113,6 @@ def maximal(turns: DataFrame, staging: Staging) -> DataFrame:
     return ends.join(inner, key, "left_anti").select("conv", F.col("n").alias("n_turns"), "n_copies")
 
 
-def segments(turns: DataFrame, kept: DataFrame, staging: Staging) -> DataFrame:
-    """Numbered turns of the conversations ``kept`` with its columns and their ``segment``.
-
-    A cell of more than ``BLOCK_TURNS`` turns is cut, and the segments after it move up.
-    What is joined to turns is found from counts per cell and block, which are few
-    also where a cell holds many turns.
-    """
-    parts = staging.table(
-        turns.groupBy("conv", "cell", "block")
-        .agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("rows"))
-        .join(kept, "conv"),
-        "parts",
-    )
-    cells = parts.groupBy("conv", "cell").agg(F.min("first").alias("first"), F.sum("rows").alias("rows"))
-    more = F.floor((F.col("rows") - 1) / BLOCK_TURNS)
-    starts = prefix_sum(cells, ["conv"], ["cell"], more, "moved", staging).drop("rows")
-    facts = parts.drop("first", "rows").join(starts, ["conv", "cell"])
-    piece = F.floor((F.col("n") - F.col("first")) / BLOCK_TURNS)
-    return turns.join(facts, ["conv", "cell", "block"]).withColumn(
-        "segment", F.col("cell") + F.col("moved") + piece
-    )
-
-
 def rendered(turn: Column) -> Column:
     return F.concat(
         F.lit(TURN_OPEN), turn["role"], F.lit("\n"), turn["text"], F.lit(TURN_CLOSE + "\n")
@@ -151,16 +126,17 @@ def format_chats(df: DataFrame, staging: Staging) -> DataFrame:
     out. Turns go by number, then role, then a hash of role and text, so ties have an
     order; a null number comes first, null role and text count as empty. A row repeated
     as it stands is one turn. Rows without ``conv_id`` are one conversation. A
-    conversation is a segment for each ``BLOCK_TURNS`` turn numbers that it has, to be
-    joined in order; hardly any has more than one. Where more turns than that have such
-    numbers (null or repeated ones), they are several segments and later ones move up.
-    An empty table gives an empty one.
+    conversation is a segment for each ``BLOCK_TURNS`` turns, counted by place, to be
+    joined in order; hardly any has more than one. Texts may have any length. An empty
+    table gives an empty one.
     """
     turns = _turns(df)
     places = numbered(turns, staging)
     kept = staging.table(maximal(places, staging), "maximal")
     key = ["conv", "turn", "a", "b"]
-    where = segments(places, kept, staging).select(*key, "n", "n_turns", "n_copies", "segment")
+    where = places.join(kept, "conv").select(
+        *key, "n", "n_turns", "n_copies", F.col("block").alias("segment")
+    )
     # repeated rows are folded before the shuffle of texts, which the join then shares
     once = turns.groupBy(*key).agg(F.first(F.struct("role", "text")).alias("said"))
     return (
@@ -195,9 +171,9 @@ m AS (
   SELECT * FROM u a WHERE NOT EXISTS (
     SELECT 1 FROM u b WHERE b.n_turns > a.n_turns AND starts_with(b.path, a.path))
 )
-SELECT t.conv_id, n_turns, n_copies, floor(turn / {BLOCK_TURNS})::BIGINT AS segment,
-  string_agg('{TURN_OPEN}' || role || chr(10) || text || '{TURN_CLOSE}' || chr(10), '' ORDER BY turn, role, text) AS text
-FROM t JOIN m ON t.conv_id IS NOT DISTINCT FROM m.conv_id
+SELECT t.conv_id, n_turns, n_copies, place // {BLOCK_TURNS} AS segment,
+  string_agg('{TURN_OPEN}' || role || chr(10) || text || '{TURN_CLOSE}' || chr(10), '' ORDER BY place) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place FROM t) t JOIN m ON t.conv_id IS NOT DISTINCT FROM m.conv_id
 GROUP BY t.conv_id, n_turns, n_copies, segment
 """
 }

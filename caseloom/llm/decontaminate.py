@@ -38,15 +38,18 @@ _NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*(?:st|nd|rd|th)?")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NAME, _NUM, _UNIT = 1, 2, 3
 _MARKS = {_NAME: "<name>", _NUM: "<number>", _UNIT: "<unit>"}
+# How a window is read: its placeholders as they are, its first capital as a plain word or as
+# a name, or all of it as it stands
+_AS_MARKED, _FIRST_WORD, _FIRST_NAME, _LITERAL = range(4)
 _FILTER_BITS = 23
 
 
 @dataclass(frozen=True)
 class Windows:
-    """``size`` tokens a window, of which at least ``literals`` are plain words.
+    """``size`` tokens a window. One with fewer than ``literals`` plain words says little as
+    a template and is sought as it stands.
 
-    An item with fewer tokens is one window of its own length, under the same need
-    of plain words.
+    An item with fewer tokens is one window of its own length, at least ``literals``.
     """
 
     size: int = 8
@@ -111,27 +114,63 @@ class Tokens:
         kind[number] = _NUM
         return row[any_], place[any_], kind[any_]
 
-    def windows(self, row: np.ndarray, place: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(start, hash)`` of all windows that stay in a row."""
+    def windows(
+        self, row: np.ndarray, place: np.ndarray, kind: np.ndarray, size: int, literals: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(start, reading, hash)`` of all windows that stay in a row.
+
+        A window with few plain words is read as it stands. The first capital of another
+        may begin a sentence or a name - a heading or a colon before it tells nothing -
+        so it is read both ways.
+        """
         n = len(place) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        token = np.where(kind > 0, kind.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), self.hash[place])
-        mixed = np.full(n, size, np.uint64)
-        for j in range(size):
-            mixed *= np.uint64(0xD6E8FEB86659FD93)
-            mixed += token[j : j + n]
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
+            return np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        factor, salt = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
+        plain = np.r_[0, np.cumsum(kind == 0)]
+        few = plain[size:] - plain[:n] < literals
+        word = self.hash[place]
+        mark = np.where(kind > 0, kind.astype(np.uint64) * salt, word)
+        capital = self.flags[place, 1] & (kind != _NUM) & (kind != _UNIT)
         start = np.flatnonzero(row[:n] == row[size - 1 :])
-        return start, mixed[start]
 
-    def shown(self, place: np.ndarray, kind: np.ndarray) -> tuple[str, list[str]]:
+        def mixed(token: np.ndarray, first: np.ndarray, begin: int) -> np.ndarray:
+            out = np.full(n, begin, np.uint64)
+            for j in range(size):
+                out *= factor
+                out += first[:n] if j == 0 else token[j : j + n]
+            out ^= out >> np.uint64(32)
+            return out * factor
+
+        name = np.full(len(place), np.uint64(_NAME) * salt)
+        readings = (
+            (_LITERAL, few, lambda: mixed(word, word, size + 1000)),
+            (_FIRST_WORD, ~few & capital[:n], lambda: mixed(mark, word, size)),
+            (_FIRST_NAME, ~few & capital[:n], lambda: mixed(mark, name, size)),
+            (_AS_MARKED, ~few & ~capital[:n], lambda: mixed(mark, mark, size)),
+        )
+        starts, kinds, hashes = [], [], []
+        for reading, which, work in readings:
+            at = start[which[start]]
+            if len(at):
+                starts.append(at)
+                kinds.append(np.full(len(at), reading, np.int8))
+                hashes.append(work()[at])
+        if not starts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        return np.concatenate(starts), np.concatenate(kinds), np.concatenate(hashes)
+
+    def shown(self, place: np.ndarray, kind: np.ndarray, reading: int) -> tuple[str, list[str]]:
         """A window's template, and the values in its slots."""
         words = [self.literal[p] for p in place]
+        if reading == _LITERAL:
+            return "=" + " ".join(words), []
+        kinds = kind.tolist()
+        if reading != _AS_MARKED:
+            kinds[0] = _NAME if reading == _FIRST_NAME else 0
         return (
-            " ".join(_MARKS.get(k, w) for w, k in zip(words, kind.tolist(), strict=True)),
-            [w for w, k in zip(words, kind.tolist(), strict=True) if k],
+            " ".join(_MARKS.get(k, w) for w, k in zip(words, kinds, strict=True)),
+            [w for w, k in zip(words, kinds, strict=True) if k],
         )
 
 
@@ -146,11 +185,11 @@ _WINDOW = T.StructType(
 )
 
 
-def _emit(keys: pa.Array, tokens: Tokens, row, place, kind, picked: list[tuple[int, int, int]]) -> pa.RecordBatch:
+def _emit(keys: pa.Array, tokens: Tokens, row, place, kind, picked: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     first = np.searchsorted(row, np.arange(len(keys)))
     columns: list[list] = [[], [], [], [], []]
-    for start, size, wh in picked:
-        template, slots = tokens.shown(place[start : start + size], kind[start : start + size])
+    for start, size, reading, wh in picked:
+        template, slots = tokens.shown(place[start : start + size], kind[start : start + size], reading)
         for column, value in zip(
             columns, (keys[int(row[start])].as_py(), wh, int(start - first[row[start]]), template, slots), strict=True
         ):
@@ -172,12 +211,16 @@ def item_windows(items: DataFrame, id: str = "item_id", text: str = "text", wind
                 row, place, kind = tokens.read(piece.column("text").to_pylist())
                 picked = []
                 lengths = np.bincount(row, minlength=piece.num_rows)
-                for size in sorted({min(windows.size, int(n)) for n in lengths if n}):
+                for size in sorted({min(windows.size, int(n)) for n in lengths if n >= windows.literals}):
                     fits = lengths >= size if size == windows.size else lengths == size
-                    start, wh = tokens.windows(row, place, kind, size)
-                    for s, h in zip(start.tolist(), wh.view(np.int64).tolist(), strict=True):
-                        if fits[row[s]] and np.count_nonzero(kind[s : s + size] == 0) >= windows.literals:
-                            picked.append((s, size, h))
+                    start, reading, wh = tokens.windows(row, place, kind, size, windows.literals)
+                    own = np.flatnonzero(fits[row[start]])
+                    picked += [
+                        (s, size, r, h)
+                        for s, r, h in zip(
+                            start[own].tolist(), reading[own].tolist(), wh[own].view(np.int64).tolist(), strict=True
+                        )
+                    ]
                 yield _emit(piece.column("key"), tokens, row, place, kind, picked)
 
     return (
@@ -216,11 +259,14 @@ def candidate_windows(docs: DataFrame, bits: bytes, sizes: list[int], windows: W
                 row, place, kind = tokens.read(piece.column("text").to_pylist())
                 picked = []
                 for size in sizes:
-                    start, wh = tokens.windows(row, place, kind, size)
+                    start, reading, wh = tokens.windows(row, place, kind, size, windows.literals)
                     hit = np.flatnonzero(wanted[(wh >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                    for s, h in zip(start[hit].tolist(), wh[hit].view(np.int64).tolist(), strict=True):
-                        if np.count_nonzero(kind[s : s + size] == 0) >= windows.literals:
-                            picked.append((s, size, h))
+                    picked += [
+                        (s, size, r, h)
+                        for s, r, h in zip(
+                            start[hit].tolist(), reading[hit].tolist(), wh[hit].view(np.int64).tolist(), strict=True
+                        )
+                    ]
                 if picked:
                     yield _emit(piece.column("key"), tokens, row, place, kind, picked)
 
@@ -232,15 +278,17 @@ def matches(
 ) -> DataFrame:
     """``(key, item_id, n_windows)``: the items found in documents ``(key, text)``.
 
-    A window without slots is evidence as it stands; windows with slots are evidence
-    if along their alignment every value of the item stands for one value of the
-    document. Null and empty texts have no windows; an item with too few plain words
-    is not looked for. Rows with equal keys count as one document, equal items each
-    for itself. Empty documents or items give no rows.
+    A window without slots is evidence as it stands, and so is one whose slots hold the
+    item's own values. Another is evidence if every value of the item in its slots stands
+    for one value of the document along the whole alignment. Null and empty texts have
+    no windows, a text of any length as many as it has words; an item of fewer than
+    three words, or without id, is not looked for. Rows with equal keys count as one
+    document, equal items each for itself. Empty documents or items give no rows.
     """
     found = staging.table(item_windows(items, windows=windows), "item-windows")
     size_of = F.size(F.split("template", " "))
-    sizes = [r[0] for r in found.select(size_of.alias("n")).distinct().sort("n").limit(windows.size).collect()]
+    # at most as many as a window has tokens
+    sizes = [r[0] for r in found.select(size_of.alias("n")).distinct().sort("n").collect()]
     if not sizes:
         return found.select(F.col("item_id").alias("key"), "item_id", F.col("pos").alias("n_windows"))
     seen = candidate_windows(docs.select("key", "text"), _filter_of(found), sizes, windows).distinct()
@@ -260,21 +308,24 @@ def matches(
         .groupBy(*alignment, F.col("z.item_slots").alias("v"))
         .agg((F.min("z.slots") != F.max("z.slots")).alias("odd"))
         .filter("odd")
-        .select(*alignment)
-        .distinct()
-        .withColumn("odd", F.lit(True))
+        .groupBy(*alignment)
+        # values of one item
+        .agg(F.collect_set("v").alias("odd"))
+    )
+    counts = (
+        F.col("odd").isNull()
+        | (F.size("slots") == 0)
+        | (F.col("slots") == F.col("item_slots"))
+        | ~F.arrays_overlap("item_slots", "odd")
     )
     return (
-        hits.groupBy(*alignment)
-        .agg(
-            F.count_if(F.size("slots") == 0).alias("plain"),
-            F.count_if(F.size("slots") > 0).alias("slotted"),
-        )
-        .join(odd, alignment, "left")
-        .withColumn("n", F.col("plain") + F.when(F.col("odd"), 0).otherwise(F.col("slotted")))
-        .filter("n > 0")
+        hits.join(odd, alignment, "left")
+        .filter(counts)
+        # a window that can be read in two ways counts once
+        .select("key", "item_id", "shift", "pos")
+        .distinct()
         .groupBy("key", "item_id")
-        .agg(F.sum("n").alias("n_windows"))
+        .agg(F.count(F.lit(1)).alias("n_windows"))
     )
 
 

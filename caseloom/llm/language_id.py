@@ -43,6 +43,8 @@ class Space:
 
 _SPACE_POINT = 32
 _CHUNK = 1 << 20
+# Texts times characters, and so texts times n-grams, that are counted at a time
+_CELLS = 16_000_000
 
 
 class Encoder:
@@ -106,16 +108,25 @@ class Encoder:
     def add(self, sums: np.ndarray, texts: list[str | None], rows_to: np.ndarray | None = None) -> None:
         """Add the n-gram vectors of ``texts`` to rows of ``sums``.
 
-        Texts longer than a chunk are cut into overlapping pieces, so memory is
-        bounded however long they are.
+        Texts longer than a chunk are cut into overlapping pieces, and many short ones
+        are added in groups, so memory is bounded however long or many they are.
         """
         to = np.arange(len(texts)) if rows_to is None else rows_to
         if any(t is not None and len(t) > 2 * _CHUNK for t in texts):
             for t, row in zip(texts, to, strict=True):
                 for cut in cuts(t or "", self.space.size):
                     self._add(sums, [cut], np.array([row]))
-        else:
-            self._add(sums, texts, to)
+            return
+        # a group has a count for every text and n-gram of it
+        start, chars, own = 0, 0, set()
+        for i, t in enumerate(texts):
+            size = len(t or "") + 2
+            if i > start and len(own | {int(to[i])}) * (chars + size) > _CELLS:
+                self._add(sums, texts[start:i], to[start:i])
+                start, chars, own = i, 0, set()
+            chars += size
+            own.add(int(to[i]))
+        self._add(sums, texts[start:], to[start:])
 
     def _add(self, sums: np.ndarray, texts: list[str | None], to: np.ndarray) -> None:
         rows, gram, letters = self.grams(texts)

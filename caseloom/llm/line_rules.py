@@ -20,31 +20,46 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 
-# How sentences of running text end, closing marks included.
+# How sentences of running text end in the scripts that mark it, closing marks
+# included. Thai and Lao have no such mark: their letters are enough.
 SENTENCE_END = (
-    r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"'\x{201D}\x{2019}\x{00BB})\]]*([\x20\x09-\x0D]|\z)"
+    r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF0E}\x{FF1F}\x{FF61}\x{0589}\x{061B}\x{061F}\x{06D4}\x{0964}\x{0965}"
+    r"\x{0F0D}\x{104A}\x{104B}\x{1362}\x{1367}\x{17D4}\x{17D5}]"
+    r"[\"'\x{201D}\x{2019}\x{00BB}\x{300D}\x{300F})\]]*([\x20\x09-\x0D]|\z)|[\x{0E01}-\x{0EDF}]"
 )
 
 # Signs between the entries of a menu or table.
 MENU_MARKS = ("|", "»", "›", "•", "·", ">")
 
-# Phrases of page furniture, navigation first.
+# Phrases of page furniture, navigation first; whole words only.
 PHRASES = (
-    "skip to ",
+    "skip to content",
+    "skip to main content",
+    "skip to navigation",
     "read more",
     "click here",
     "next page",
+    "previous page",
     "sign in",
     "log in",
-    "javascript",
+    "sign up",
+    "enable javascript",
+    "javascript is disabled",
     "lorem ipsum",
-    "cookies",
+    "dolor sit amet",
+    "use cookies",
+    "uses cookies",
+    "accept cookies",
+    "cookie policy",
     "privacy policy",
-    "terms of ",
+    "terms of use",
+    "terms of service",
     "all rights reserved",
-    "subscribe",
-    "{",
+    "subscribe to our",
+    "subscribe now",
 )
+# A phrase and the signs beside it, which are no letters or digits
+PHRASE = rf"(^|[^\p{{L}}\p{{N}}])(?:{'|'.join(PHRASES)})($|[^\p{{L}}\p{{N}}])"
 
 
 @dataclass(frozen=True)
@@ -60,6 +75,7 @@ class LineRules:
     distinct_from_words: int = 12
     menu_marks: int = 3
     max_lost_percent: int = 40
+    max_phrase_percent: int = 20
 
 
 def words_of(text: Column) -> Column:
@@ -82,6 +98,16 @@ def has_phrase(text: Column) -> Column:
     return reduce(or_, [lowered.contains(p) for p in PHRASES])
 
 
+def phrase_fails(line: Column, rules: LineRules) -> Column:
+    """Whether phrases of page furniture make up much of a line.
+
+    One that stands in a longer word counts for nothing, one in a long line for little:
+    running text may speak of such things."""
+    lowered = F.lower(line)
+    rest = F.regexp_replace(lowered, PHRASE, "$1$2")
+    return 100 * (F.length(lowered) - F.length(rest)) > rules.max_phrase_percent * F.length(lowered)
+
+
 def repeated_words(words: Column, size: int = 3) -> Column:
     """How many words lie in a window of ``size`` words that occurs twice or more.
 
@@ -254,7 +280,7 @@ def line_first(
                 F.size(x["words"]).alias("n"),
                 (
                     (F.size(x["words"]) > 0)
-                    & ((suspect & has_phrase(x["line"])) | line_fails(x["line"], x["words"], rules))
+                    & ((suspect & phrase_fails(x["line"], rules)) | line_fails(x["line"], x["words"], rules))
                 ).alias("fails"),
             ),
         )
@@ -299,7 +325,15 @@ def _sql(rules: LineRules = LineRules()) -> str:
     space = r"[\x20\x09-\x0D]"
     words = f"list_filter(string_split_regex({{}}, '{space}+'), lambda x: x <> '')"
     symbols = "(length({0}) - length(translate({0}, '#*$%&|<>', '')))"
-    phrases = " OR ".join(f"contains(lower(line), '{p}')" for p in PHRASES)
+    # the list is written out apart from the code under test
+    listed = (
+        "skip to content|skip to main content|skip to navigation|read more|click here|next page|previous page|sign in"
+        "|log in|sign up|enable javascript|javascript is disabled|lorem ipsum|dolor sit amet|use cookies|uses cookies"
+        "|accept cookies|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|subscribe to our"
+        "|subscribe now"
+    )
+    rest = rf"regexp_replace(lower(line), '(^|[^\p{{L}}\p{{N}}])(?:{listed})($|[^\p{{L}}\p{{N}}])', '\1\2', 'g')"
+    phrases = f"100 * (length(lower(line)) - length({rest})) > {rules.max_phrase_percent} * length(lower(line))"
     marks = ", ".join(f"'{m}'" for m in MENU_MARKS)
     end = SENTENCE_END.replace("'", "''")
     return rf"""

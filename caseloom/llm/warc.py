@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,6 +188,17 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 # ---------------------------------------------------------------------------
 # Spark
 # ---------------------------------------------------------------------------
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme Spark gives it, so that tasks mean the same place.
+
+    Without one it is a folder of the session's default file system, not of each
+    executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    # a local path has no host, which a URI shows by three slashes
+    return re.sub(r"^file:/(?!/)", "file:///", whole)
+
+
 def revisits(pages: DataFrame, min_bytes: int) -> DataFrame:
     """``pages (page_id, url, payload)`` and ``refers_to``.
 
@@ -221,6 +233,7 @@ def write_bundles(
     a page without id is never the first of its payload unless no other has one.
     ``folder`` must be one that driver and executors share.
     """
+    folder = qualified(pages.sparkSession, folder)
     need = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.col("url").cast("string").alias("url"),

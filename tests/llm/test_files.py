@@ -5,6 +5,7 @@ import hashlib
 import html as entities
 import io
 import re
+import time
 from collections import Counter
 from urllib.parse import unquote, urlparse
 
@@ -188,6 +189,73 @@ def test_alignment_has_the_weight_of_the_recurrence():
         assert len(set(map(id, found.values()))) == len(found)
 
 
+def extracted(spark, rows, **induction):
+    df = spark.createDataFrame(rows, PAGES)
+    got = wrapper.main_text(df, Staging(spark), wrapper.Induction(**induction)).collect()
+    return {r["page_id"]: r["text"] for r in got}
+
+
+def site(n, furniture=lambda i: "", start=0, host="w.example", notice=lambda i: ""):
+    """Pages without a telling tag or class: a menu, a varying body, a foot."""
+    return [
+        (
+            start + i,
+            f"http://{host}/{i}",
+            f"<div class='a'><ul><li>Home</li><li>News</li></ul></div>{notice(i)}<div class='b'>{furniture(i)}<h2>Head {i}</h2>"
+            f"<p>Body {i} is here.</p></div><div class='c'><p>All about us</p></div>",
+        )
+        for i in range(n)
+    ]
+
+
+def test_induction_alone_finds_what_varies(spark):
+    want = {i: f"Head {i}\nBody {i} is here." for i in range(12)}
+    assert extracted(spark, site(12), names=False) == want
+    # eight pages are enough, and two layouts of a host do not disturb each other
+    other = [
+        (100 + i, f"http://w.example/o{i}", f"<section><table><tr><td>Old menu</td></tr></table><form></form><p>Text {i}.</p><p>Old foot</p></section>")
+        for i in range(9)
+    ]
+    got = extracted(spark, site(8) + other, names=False)
+    assert got == {i: want[i] for i in range(8)} | {100 + i: f"Text {i}." for i in range(9)}
+
+
+def test_copies_and_a_reference_without_the_notice(spark):
+    rows = site(30)
+    # four more copies of the reference, and a great many of one other page
+    copies = [(200 + k, "http://w.example/c", rows[0][2]) for k in range(4)]
+    copies += [(300 + k, "http://w.example/d", rows[7][2]) for k in range(300)]
+    got = extracted(spark, rows + copies, names=False)
+    assert all(got[i] == f"Head {i}\nBody {i} is here." for i in range(30))
+    assert all(got[300 + k] == got[7] for k in range(300)) and got[200] == got[0]
+    # a notice on every page but the reference
+    noted = site(20, notice=lambda i: "<p>Closed on Monday</p>" if i else "")
+    got = extracted(spark, noted, names=False)
+    assert all(got[i] == f"Head {i}\nBody {i} is here." for i in range(20))
+
+
+def test_names_give_way_to_what_varies(spark):
+    for around in ("layout has-sidebar", "post form-letter", "share"):
+        rows = [
+            (i, "http://n.example/", f"<div class='{around}'><h2>Head {i}</h2><p>Body {i} is a long text.</p></div><div class='sidebar'>More {i}</div>")
+            for i in range(10)
+        ]
+        assert extracted(spark, rows) == {i: f"Head {i}\nBody {i} is a long text." for i in range(10)}
+
+
+def test_quotes_depth_and_siblings_of_any_number(spark):
+    deep = "<div>" * 3000 + "<p>deep {0}</p><p>same</p>" + "</div>" * 3000
+    many = "<ul>" + "".join(f"<li>item {k} {{0}}</li>" for k in range(5000)) + "</ul>"
+    rows = [(i, "http://deep.example/", deep.format(i)) for i in range(9)]
+    rows += [(100 + i, "http://many.example/", many.format(i)) for i in range(3)]
+    rows += [(200, "http://q.example/", "<p title=it's>one</p><div class=\"x\"\">two</div>" + "<a '" * 20_000)]
+    start = time.time()
+    got = extracted(spark, rows)
+    assert time.time() - start < 30
+    assert all(got[i] == f"deep {i}" for i in range(9))
+    assert got[100].count("\n") == 4999 and got[200] == "one\ntwo"
+
+
 # ---------------------------------------------------------------------------
 # Segmentation
 # ---------------------------------------------------------------------------
@@ -204,10 +272,9 @@ def all_paths(vocabulary, text):
         node = 0
         for c in piece:
             key = node * vocabulary.width + int(vocabulary.chars[ord(c)])
-            at = int(np.searchsorted(vocabulary.keys, key))
-            if vocabulary.chars[ord(c)] < 0 or at == len(vocabulary.keys) or vocabulary.keys[at] != key:
+            node = int(vocabulary.steps(np.array([key]))[0])
+            if vocabulary.chars[ord(c)] < 0 or node < 0:
                 break
-            node = int(vocabulary.targets[at])
         else:
             if vocabulary.piece_at[node] == i:
                 score[piece] = (i, float(vocabulary.log_at[node]))

@@ -145,7 +145,35 @@ def test_templates_are_found_and_slots_checked(spark):
     docs = spark.createDataFrame(rows, "key bigint, text string")
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     got = {r["key"]: r["item_ids"] for r in decontaminate.contaminated(docs, items, Staging(spark)).collect()}
-    assert got == {10: [1], 11: [1], 13: [2], 15: [3], 16: [3], 20: [2]}
+    assert got == {10: [1], 11: [1], 13: [2], 15: [3], 16: [3], 17: [5], 20: [2]}
+
+
+def test_short_items_headings_and_single_odd_values(spark):
+    items = [
+        (1, "Compute 12 + 30."),
+        (2, "What is the capital city of France?"),
+        (3, "Ben has 7 coins and loses 2 of them on the way to the old mill, then Ben counts what is left"),
+        (4, "12"),
+        (5, "Yes no"),
+    ]
+    pages = {
+        1: "Now compute 12 + 30. Then rest.",
+        2: "Now compute 13 + 30. Then rest.",
+        3: "Question: What is the capital city of France?",
+        4: "Geography\nWhat is the capital city of France?",
+        5: "question what is the capital city of Spain",
+        6: "Yes no 12 maybe",
+        7: "Eva has 9 coins and loses 4 of them on the way to the old mill, then Ida counts what is left",
+        8: "Question: Eva has 9 coins and loses 4 of them on the way to the old mill, then Eva counts what is left",
+    }
+    got = decontaminate.contaminated(
+        spark.createDataFrame(list(pages.items()), "key bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+        Staging(spark),
+    )
+    # a name that does not stay the same voids the windows it is in, not those between
+    # and a question asked anew of another place is the same question
+    assert {r["key"]: r["item_ids"] for r in got.collect()} == {1: [1], 3: [2], 4: [2], 5: [2], 7: [3], 8: [3]}
 
 
 def test_windows_equal_plain_ones_on_literal_text(spark):
@@ -247,4 +275,5 @@ def test_chats_are_cut_however_turns_are_numbered(spark):
         told = "".join(f"{chat.TURN_OPEN}{r}\n{t}{chat.TURN_CLOSE}\n" for r, t in path)
         assert "".join(r["text"] for r in ours) == told
     named = {c: [r["segment"] for r in got if r["conv_id"] == c] for c in want}
-    assert named == {None: [-1, 0, 1, 6], 1: [0, 1, 2], 2: [-1, 0]}
+    # by place, whatever the numbers of the turns are
+    assert named == {None: [0, 1, 2], 1: [0, 1], 2: [0, 1]}
