@@ -1,8 +1,9 @@
 """A training corpus from raw documents, stage by stage.
 
-Every stage takes the documents its predecessor kept, carries all their columns
-whatever they are called, and handles null and empty texts, repeated rows and empty
-tables as its operator states.
+Every stage takes the documents its predecessor kept and, but for the last, carries all
+their columns whatever they are called. Null and empty texts, very long ones, ties,
+repeated rows and empty tables have the results the stages state; an empty table goes
+through all of them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ def _nested(docs: DataFrame, *beside: Column) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; one without a letter goes.
 
-    Where no row has a language to learn from, only those without a letter go.
+    Where no row has a language to learn from, only those without a letter go. Null and
+    empty texts have no letter; repeated rows stay or go together.
     """
     learned = language_id.learn_profiles(docs)
     if not any(np.any(v) for v in learned.values()):
@@ -34,7 +36,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that keep enough of their lines, with those lines as their text."""
+    """Documents that keep enough of their lines, with those lines as their text.
+
+    Null and empty texts and those of fewer than fifty words go. ``n_chars`` is that of
+    the lines left. Each row is judged for itself, so repeated rows agree.
+    """
     judged = line_rules.line_first(_nested(docs, F.col("text").alias("t")), "t")
     # a filter is not pushed below a generator, so the rules are evaluated once
     judged = judged.select("row", F.explode(F.array("line_rules")).alias("line_rules"))
@@ -52,7 +58,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows with that id and fingerprint are one document; of several fingerprints under
     that id the smallest stays, and a group without any id keeps one row of its
-    smallest fingerprint. Groups are told apart by their texts, never by an id.
+    smallest fingerprint. Rows that agree in id and fingerprint but not in text are
+    settled by a hash of the text, so a task that runs again keeps the same one. Groups
+    are told apart by their texts, never by an id. Texts without words are one group.
     """
     staging = Staging(spark)
     rows = _nested(docs, F.col("doc_id"), F.col("text").alias("t"))
@@ -72,13 +80,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         simhash.fingerprints(rows, "t", keep=["row", "doc_id"])
         .select("row", *key)
         .groupBy("k1", "k2")
-        .agg(F.first("row").alias("row"))
+        .agg(F.min_by("row", F.struct(F.xxhash64("row.text"), F.xxhash64("row"))).alias("row"))
     )
     return once.join(stays, ["k1", "k2"], "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts have none and stay; rows of one id and text stay or go together.
+    """
     staging = Staging(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     keyed = _nested(docs, decontaminate.row_key().alias("key"))
@@ -92,7 +103,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every document, checked against their decoding."""
+    """Sampled segmentations of every document, checked against their decoding.
+
+    In place of the text; of the other columns those of ``documents`` stay. Null and
+    empty texts have no segmentation, and repeated rows get equal ones.
+    """
     return segment.segmentations(docs, keep=["doc_id", "lang", "source", "n_chars"])
 
 
