@@ -291,15 +291,17 @@ def crosstabs(
         return F.when(inside, value).otherwise(F.lit(other)).alias(column)
 
     narrow = df.select(*[closed(c) for c in used])
-    sets = [[F.col(r), F.col(c)] for r, c in tables.values()]
-    counted = narrow.groupingSets(sets, *used).agg(
-        F.grouping_id().alias("which"), F.count(F.lit(1)).alias("n")
-    )
 
     def number(pair: tuple[str, str]) -> int:
         """The grouping id: a bit for each column left out, the first one highest."""
         return sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in pair)
 
+    # a table and its transpose come from the same counts
+    sets = {number(pair): [F.col(c) for c in pair] for pair in tables.values()}
+    counted = narrow.groupingSets(list(sets.values()), *used).agg(
+        F.grouping_id().alias("which"), F.count(F.lit(1)).alias("n")
+    )
+
     def both(name: str) -> tuple[list[str], list[str]]:
         more = [] if other is None else [other]
         return tuple([*domains[c], *more] for c in tables[name])

@@ -23,7 +23,7 @@ from caseloom.operators.scaling import Staging, together
 from caseloom.operators.series import case_series
 from caseloom.plans.silver import SILVER_COLUMNS
 from caseloom.settings import DEFAULT_DATES, DatePolicy
-from caseloom.sources.release import Release, published
+from caseloom.sources.release import Release, metrics_of, published
 from caseloom.sources.tables import (
     read_table,
     read_table_or_none,
@@ -101,7 +101,7 @@ def plan_gold(
         insurance=insurance_cube(base, BASE_WEIGHT),
         kpis=kpi_row(base, BASE_WEIGHT).withColumn("timestamp_generacion", utc_now()),
         series=scans["series"],
-        totals=seen.get,
+        totals=metrics_of(seen, cases, totals),
     )
 
 

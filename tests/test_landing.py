@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from caseloom.errors import HeaderNotFound
-from caseloom.settings import EARLIER_LIMITS, INPATIENT_SHEET, OUTPATIENT_SHEET
+from caseloom.settings import DAILY_SHEET, EARLIER_LIMITS, INPATIENT_SHEET, OUTPATIENT_SHEET
 from caseloom.sources import landing
 
 
@@ -143,3 +143,35 @@ def test_columns_resolve_by_level_or_whole_name(spark):
     )
     got = landing.resolve_columns(names, [("res", "RESULTADO"), ("m", "EDAD | M"), ("no", "ZZZ")])
     assert {r.logical: r.c for r in got.collect()} == {"res": 1, "m": 3}
+
+
+def test_sheets_read_together_are_those_read_alone(spark, tmp_path):
+    books = [
+        fx.workbook("a.xlsx", three_rows(4), [{"hospital": "H1", "folio": 3, "F": 20}], daily=[["1", "x"], ["2", None], ["3", "y"]], phantom=True),
+        fx.workbook("b.xlsx", three_rows(1), [{"hospital": "H2", "folio": 4, "M": 30}, {"hospital": "H3"}], blanks=2),
+    ]
+    path = str(tmp_path / "cells")
+    fx.cell_table(spark, *books).write.partitionBy("sheet").parquet(path)
+    # a sheet that nobody described, and that cannot be read
+    other = tmp_path / "cells" / "sheet=NOTAS"
+    other.mkdir()
+    (other / "part-0.parquet").write_text("no table")
+    schema = "file string, r int, c int, v string, kind string, sheet string"
+    cells = spark.read.schema(schema).parquet(path)
+    specs = [OUTPATIENT_SHEET, INPATIENT_SHEET, DAILY_SHEET]
+    together = landing.read_sheets(cells, specs)
+    for spec in specs:
+        alone = landing.read_sheet(cells, spec)
+        rows = [sorted((r.file, r.r, sorted(r.cells)) for r in df.collect()) for df in (together[spec.sheet], alone)]
+        assert rows[0] == rows[1]
+        limited = replace(spec, **EARLIER_LIMITS)
+        rows.append(sorted((r.file, r.r, sorted(r.cells)) for r in landing.read_sheet(cells, limited).collect()))
+        assert rows[2] == rows[0]
+    assert [together[s.sheet].count() for s in specs] == [5, 3, 1]
+
+
+def test_a_cell_landed_twice_counts_by_its_smallest_value(spark):
+    book = fx.workbook("a.xlsx", three_rows(2))
+    twice = [(f, s, r, c, "0" + v, k) for f, s, r, c, v, k in book if r == fx.OUT_FIRST and c == fx.PLACES["folio"]]
+    got = landing.read_sheet(fx.cell_table(spark, book + twice + book), OUTPATIENT_SHEET).orderBy("r").collect()
+    assert [r.cells["folio"].v for r in got] == ["01", "2"]

@@ -173,6 +173,12 @@ def test_a_killed_run_leaves_the_earlier_set(spark, finished, tmp_path, monkeypa
     assert spark.read.parquet(before[gold.SILVER_FILE]).count() == 5
 
 
+def test_an_empty_table_is_written_and_counted(spark, tmp_path):
+    empty = spark.createDataFrame([], "n int")
+    found = release.write_checked(empty, str(tmp_path / "e"), {"n": F.col("n") > 0}, {"s": F.sum("n")})
+    assert found == {"filas": 0, "s": None} and spark.read.parquet(str(tmp_path / "e")).count() == 0
+
+
 def test_two_runs_cannot_publish_the_same_number(spark, tmp_path, monkeypatch):
     one, two = (release.Release(spark, str(tmp_path)) for _ in range(2))
     for r in (one, two):

@@ -285,3 +285,28 @@ def test_catalog_table_lookup(spark):
     df = spark.createDataFrame([(" zurich",), ("GENEVE",), ("x",), (None,)], "v string")
     got = scaling.catalog_join(df, F.col("v"), catalog, "o", "??")
     assert {(r.v, r.o) for r in got.collect()} == {(" zurich", "ZH"), ("GENEVE", "GE"), ("x", "??"), (None, "??")}
+
+
+def test_crosstabs_of_one_scan_equal_single_ones(spark, cases):
+    df = cases.select("sexo", "resultado_prueba", "estatus_paciente")
+    domains = {
+        "sexo": ("F", "M"),
+        "resultado_prueba": ("POSITIVO", "NEGATIVO", "NADIE"),
+        "estatus_paciente": ("AMBULATORIO", "DEFUNCION"),
+    }
+    tables = {
+        "a": ("resultado_prueba", "sexo"),
+        "b": ("estatus_paciente", "sexo"),
+        "c": ("sexo", "resultado_prueba"),
+    }
+    for other in (None, "RESTO"):
+        whole = cubes.crosstabs(df, tables, domains, other)
+        got = {(r.tabla, r.fila, r.columna): r.n for r in whole.collect()}
+        want = {}
+        for name, (row, column) in tables.items():
+            single = cubes.crosstab(df, row, column, domains[row], domains[column], other=other)
+            for r in single.collect():
+                want |= {(name, r[row], c): n for c, n in r.asDict().items() if c != row}
+        assert got == want
+        plan = whole._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Expand") == 1
