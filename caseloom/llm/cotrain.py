@@ -83,7 +83,8 @@ def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
 def text_features(texts: list[str | None]) -> np.ndarray:
     """Shares of byte classes and hashed byte pairs, and repetition, a row per text.
 
-    How long a text is belongs to the other view."""
+    How long a text is belongs to the other view. Values are those of 16-bit numbers,
+    as which they are stored."""
     kind, bucket = _byte_tables()
     out = np.zeros((len(texts), TEXT_FEATURES), np.float32)
     for i, text in enumerate(texts):
@@ -105,7 +106,7 @@ def text_features(texts: list[str | None]) -> np.ndarray:
             len(text) / max(1, len(words)) if words else 0,
             sum(x[-1:] in ".!?" for x in lines) / len(lines),
         )
-    return out
+    return np.minimum(out, 60_000).astype(np.float16).astype(np.float32)
 
 
 def meta_features(lang: list, source: list, n_chars: list) -> np.ndarray:
@@ -338,7 +339,7 @@ def features(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
     """
 
     def start():
-        return lambda texts: [pa.array([x.tobytes() for x in text_features(texts)], pa.binary())]
+        return lambda texts: [pa.array([x.tobytes() for x in text_features(texts).astype(np.float16)], pa.binary())]
 
     known = staging.table(
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -358,7 +359,7 @@ def features(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
 
 def _views(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     raw = b"".join(batch.column("features").to_pylist())
-    text = np.frombuffer(raw, np.float32).reshape(-1, TEXT_FEATURES)
+    text = np.frombuffer(raw, np.float16).astype(np.float32).reshape(-1, TEXT_FEATURES)
     return {"text": text, "meta": meta_features(*(batch.column(c).to_pylist() for c in _BESIDE))}
 
 
