@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -122,6 +123,22 @@ def test_languages_are_learned_and_held_out(spark):
     assert n > 150 and right >= 0.98 * n
 
 
+def test_many_short_texts_take_little_memory_and_add_up_as_they_do_alone():
+    rng = np.random.default_rng(1)
+    letters = [chr(c) for c in range(0x61, 0x7B)] + [chr(c) for c in range(0x430, 0x450)]
+    texts = ["".join(rng.choice(letters, 95)) for _ in range(4000)]
+    space = language_id.Space(dims=64)
+    sums = np.zeros((len(texts), space.dims), np.float32)
+    tracemalloc.start()
+    language_id.Encoder(space).add(sums, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    alone = np.zeros((1, space.dims), np.float32)
+    language_id.Encoder(space).add(alone, [texts[1234]])
+    assert np.array_equal(alone[0], sums[1234])
+
+
 def test_language_vectors_equal_a_plain_bundle(spark):
     space = language_id.Space(dims=64)
     text = "Ab, b1c\nÄb"
