@@ -41,6 +41,14 @@ def test_a_named_folder_is_used_and_no_setting_changed(spark, tmp_path):
     assert not [p for p in (tmp_path / "own").rglob("*.parquet")]
 
 
+def test_running_values_are_summed_up_row_by_row(spark):
+    """A frame that ends with the group is worked out anew for every row: work grows with the square."""
+    df = spark.range(50).selectExpr("'hot' g", "id o", "id v")
+    got = running(df, ["g"], ["o"], Staging(spark), {"b": ("sum", F.col("v"))}, {"n": ("min", F.col("v"))})
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
 def test_running_values_equal_those_of_one_list(spark):
     """One group holds most rows; sums, extremes and exclusive-ors before a row, and from it on."""
     rng = random.Random(2)
