@@ -11,6 +11,7 @@ they are not the article, unless such a part holds most of what varies on its pa
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 import sys
 from collections.abc import Callable, Iterator
@@ -242,20 +243,83 @@ def _pair_all(a: Node, b: Node, found: dict[Node, Node]) -> None:
             todo.extend(zip(x.children, y.children))
 
 
-def _in_order(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
-    """Very many siblings: pairs of equal labels, each with the next one there is."""
-    places: dict[str, list[int]] = {}
-    for j in range(len(y) - 1, -1, -1):
-        places.setdefault(y[j].label, []).append(j)
-    out, after = [], -1
-    for node in x:
-        rest = places.get(node.label, [])
-        while rest and rest[-1] <= after:
-            rest.pop()
-        if rest:
-            after = rest.pop()
-            out.append((node, y[after]))
-    return out
+def _shape(root: Node, known: dict[tuple, int]) -> tuple[int, set[str]]:
+    """A number for the tree without its texts, and the texts."""
+    order, todo, words = [], [root], set()
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(node.children)
+        if node.tag == "#text":
+            words.add(node.text)
+    done: dict[int, int] = {}
+    for node in reversed(order):
+        done[id(node)] = known.setdefault((node.label, *(done[id(c)] for c in node.children)), len(known))
+    return done[id(root)], words
+
+
+def _align_many(x: list[Node], y: list[Node], found: dict[Node, Node]) -> float:
+    """The same alignment of very many siblings, in little memory.
+
+    Trees without a text in common are worth what their shapes are, so that is worked out
+    once for every two shapes; only pairs that share a text are aligned one by one. Of the
+    table of sums some rows are kept, and those between them made again on the way back.
+    """
+    known: dict[tuple, int] = {}
+    ours, theirs = [_shape(n, known) for n in x], [_shape(n, known) for n in y]
+    shapes, first, kind = np.unique([s for s, _ in theirs], return_index=True, return_inverse=True)
+    labels = [y[j].label for j in first]
+    holders: dict[str, list[int]] = {}
+    for j, (_, words) in enumerate(theirs):
+        for word in words:
+            holders.setdefault(word, []).append(j)
+    apart: dict[int, np.ndarray] = {}  # by shape: the weight with every shape of ``y``
+    pairs: dict[tuple[int, int], float] = {}
+
+    def weights(i: int) -> np.ndarray:
+        shape, words = ours[i]
+        shared = {j for word in words for j in holders.get(word, ()) if y[j].label == x[i].label}
+        row = apart.setdefault(shape, np.array([0.0 if n != x[i].label else np.nan for n in labels]))
+        for k in np.flatnonzero(np.isnan(row)).tolist():
+            j = next((j for j in np.flatnonzero(kind == k).tolist() if j not in shared), None)
+            if j is not None:
+                row[k] = align(x[i], y[j], {})
+        out = row[kind]
+        for j in shared:
+            if (i, j) not in pairs:
+                if len(pairs) >= 200_000:
+                    pairs.clear()
+                pairs[i, j] = align(x[i], y[j], {})
+            out[j] = pairs[i, j]
+        return out
+
+    def following(above: np.ndarray, i: int) -> np.ndarray:
+        row = np.zeros(len(y) + 1)
+        row[1:] = np.maximum.accumulate(np.maximum(above[1:], above[:-1] + weights(i)))
+        return row
+
+    step = math.isqrt(len(x)) + 1
+    row, kept = np.zeros(len(y) + 1), []
+    for i in range(len(x)):
+        if i % step == 0:
+            kept.append(row)
+        row = following(row, i)
+    whole, j = float(row[-1]), len(y)
+    for block in range(len(kept) - 1, -1, -1):
+        begin, end = block * step, min((block + 1) * step, len(x))
+        best = [kept[block]]
+        for i in range(begin, end):
+            best.append(following(best[-1], i))
+        i = end - begin
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                align(x[begin + i], y[j], found)
+    return whole
 
 
 def align(a: Node, b: Node, found: dict[Node, Node]) -> float:
@@ -263,8 +327,8 @@ def align(a: Node, b: Node, found: dict[Node, Node]) -> float:
     roots agree, with equal texts counting more; ``found`` gets texts of ``b`` by ``a``.
 
     Equal subtrees are aligned as they are, so are chains of only children without
-    recursion. More than ``_MOST_PAIRS`` pairs of siblings left after that are not all
-    tried: then each is paired with the next of its label.
+    recursion. More than ``_MOST_PAIRS`` pairs of siblings left after that are aligned
+    alike, by shapes instead of one by one; time grows with the pairs, memory does not.
     """
     above = 0.0
     while True:
@@ -295,7 +359,7 @@ def align(a: Node, b: Node, found: dict[Node, Node]) -> float:
     if not x or not y:
         return above
     if len(x) * len(y) > _MOST_PAIRS:
-        return above + sum(align(p, q, found) for p, q in _in_order(x, y))
+        return above + _align_many(x, y, found)
     inner: dict[tuple[int, int], dict[Node, Node]] = {}
     weight = np.zeros((len(x), len(y)))
     places: dict[str, list[int]] = {}

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html as entities
 import io
+import random
 import re
 import time
 from collections import Counter
@@ -243,6 +244,28 @@ def test_names_give_way_to_what_varies(spark):
         assert extracted(spark, rows) == {i: f"Head {i}\nBody {i} is a long text." for i in range(10)}
 
 
+def test_alignment_is_the_same_however_many_siblings(monkeypatch):
+    """All pairs tried, or by shapes as with very many: one weight and one set of pairs."""
+
+    def page(rng):
+        def word():
+            return rng.choice(["a", "b", "more", f"u{rng.randrange(30)}", f"z{rng.random()}"])
+
+        shapes = (word, lambda: f"<h3>{word()}</h3><p>{word()}</p>", lambda: f"<ul><li>{word()}<li>{word()}</ul>", str)
+        tags = [rng.choice(("li", "div", "section")) for _ in range(rng.randrange(1, 40))]
+        return wrapper.parse("<div>" + "".join(f"<{t}>{rng.choice(shapes)()}</{t}>" for t in tags) + "</div>")
+
+    for seed in range(30):
+        rng = random.Random(seed)
+        a, b = page(rng), page(rng)
+        got = []
+        for most in (10**9, 0):
+            monkeypatch.setattr(wrapper, "_MOST_PAIRS", most)
+            found = {}
+            got.append((wrapper.align(a, b, found), found))
+        assert got[0] == got[1], seed
+
+
 def test_quotes_depth_and_siblings_of_any_number(spark):
     deep = "<div>" * 3000 + "<p>deep {0}</p><p>same</p>" + "</div>" * 3000
     many = "<ul>" + "".join(f"<li>item {k} {{0}}</li>" for k in range(5000)) + "</ul>"
