@@ -3,9 +3,11 @@
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from caseloom.operators import hot_linkage
 from caseloom.operators.hot_linkage import DAY_US, HotSizes, cut_at_gaps, with_cells
 from caseloom.operators.linkage import (
     LinkOptions,
@@ -119,6 +121,35 @@ def test_a_hot_key_falls_into_pieces(spark):
     assert cut_at_gaps(events, 24, Staging(spark)).select("_key").distinct().count() == 1
 
 
+def test_a_chunk_gets_its_admissions_in_runs():
+    """Lists of admissions, a row for each stored run of a cell, in any order."""
+    chunk = pa.table({"_key": ["k"] * 3, "n_seq": [2, 0, 1], "at": [0, 0, DAY_US]})
+    runs = pa.table(
+        {
+            "_key": ["k"] * 3,
+            "cell": [DAY_US, 0, 0],
+            "run": pa.array([0, 1, 0], pa.int32()),
+            "heads": [[7], [5], [1]],
+            "free": [1, 2, 2],
+        }
+    )
+    found = hot_linkage._fold_chunk(7)(chunk, runs)
+    assert found.select(["n_seq", "h_seq", "days", "collided"]).to_pylist() == [
+        {"n_seq": 0, "h_seq": 1, "days": 0, "collided": True},
+        {"n_seq": 1, "h_seq": 7, "days": 0, "collided": True},
+        {"n_seq": 2, "h_seq": 5, "days": 0, "collided": False},
+    ]
+    assert hot_linkage._fold_chunk(7)(chunk.slice(0, 0), runs).num_rows == 0
+
+
+def test_runs_of_a_cell_follow_each_other(spark, monkeypatch):
+    """Cells of many short runs, a chunk beginning inside one."""
+    monkeypatch.setattr(hot_linkage, "RUN_ROWS", 3)
+    rows = random_rows(11, 150, 1, 6, "dates")
+    got = outcome(spark, rows, small_key_rows=0, sizes=HotSizes(3, 20))
+    assert {o: (t, d, c) for o, t, d, c in got if t is not None} == model(rows)
+
+
 def test_a_stray_time_of_day_doubles_the_cells_at_most(spark):
     events = [("k", True, i, i * DAY_US + 9 * 3_600_000_000) for i in range(20)]
     events += [("k", False, i, i * 3_600_000_000 * 5) for i in range(96)]
