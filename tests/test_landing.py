@@ -175,3 +175,18 @@ def test_a_cell_landed_twice_counts_by_its_smallest_value(spark):
     twice = [(f, s, r, c, "0" + v, k) for f, s, r, c, v, k in book if r == fx.OUT_FIRST and c == fx.PLACES["folio"]]
     got = landing.read_sheet(fx.cell_table(spark, book + twice + book), OUTPATIENT_SHEET).orderBy("r").collect()
     assert [r.cells["folio"].v for r in got] == ["01", "2"]
+
+
+def test_landed_cells_are_scanned_once(spark):
+    book = fx.workbook("a.xlsx", three_rows(), [{"hospital": "H"}])
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    cells = fx.cell_table(spark, book)
+    read = landing.read_sheets(cells.mapInArrow(passed, cells.schema), [OUTPATIENT_SHEET, INPATIENT_SHEET])
+    assert [read[s.sheet].count() for s in (OUTPATIENT_SHEET, INPATIENT_SHEET)] == [3, 1]
+    assert seen.value == len([x for x in book if x[4] is not None])
