@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.llm.arrow import pieces, with_columns
+from caseloom.llm.arrow import map_batches, pieces, with_columns
 
 UNDETERMINED = "und"
 MAX_LANGUAGES = 4096
@@ -198,11 +198,8 @@ def profiles(
                 names=["lang", "signs"],
             )
 
-    parts = (
-        df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-        .filter("lang IS NOT NULL AND text IS NOT NULL")
-        .mapInArrow(learn, schema)
-    )
+    rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    parts = map_batches(rows.filter("lang IS NOT NULL AND text IS NOT NULL"), learn, schema)
     summed = (
         parts.select("lang", F.posexplode("signs"))
         .groupBy("lang", "pos")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.llm.arrow import pieces
+from caseloom.llm.arrow import map_batches, pieces
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
@@ -602,7 +602,7 @@ def segmentations(
         F.col(text).cast("string").alias("_text"),
         F.xxhash64(F.lit(seed), F.col(key).isNull(), F.col(key)).alias("_seed"),
     )
-    return ready.mapInArrow(run, schema)
+    return map_batches(ready, run, schema)
 
 
 def op4_segment(spark, sf: str) -> DataFrame:

@@ -11,10 +11,13 @@ from collections import Counter
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from caseloom.llm import segment, warc, wrapper
+from caseloom.llm import arrow, segment, warc, wrapper
 from caseloom.operators.scaling import Staging
 
 PAGES = "page_id bigint, url string, html string"
@@ -365,3 +368,17 @@ def test_segments_come_back_as_text_wherever_they_are_made(spark):
         assert len({tuple(s["ids"]) for s in r["samples"]}) == len(r["samples"])
         assert (len(r["samples"]) == 0) == (not r["text"])
     assert segment.segmentations(df.limit(0)).count() == 0
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    """Ten thousand rows were one batch, held by executor and worker, whatever they take."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    schema = T.StructType([T.StructField("rows", T.LongType()), T.StructField("size", T.LongType())])
+    texts = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("ab "), 1000).alias("text"))
+    got = arrow.map_batches(texts, sizes, schema).collect()
+    assert sum(r["rows"] for r in got) == 6000
+    assert max(r["size"] for r in got) < 2 * arrow.BATCH_BYTES
