@@ -11,11 +11,14 @@ Gumbel maximum below its parent's.
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,8 @@ _PIECE_CHARS = 250_000
 # Noise from 53-bit uniform numbers lies in (-3.7, 37.5): a region whose log-mass is
 # further below another's than both together cannot come before it.
 _REACH = 41.2
+# Steps of a path looked at together, and paths
+_BLOCK, _TOGETHER = 512, 64
 
 
 # ---------------------------------------------------------------------------
@@ -111,7 +116,7 @@ class Vocabulary:
             np.array(log_at),
         )
 
-    @property
+    @cached_property
     def width(self) -> int:
         """Letters of the trie, and one number for all others."""
         return int(self.chars.max()) + 2
@@ -232,18 +237,23 @@ class Lattice:
         self.id[place] = -1 - points[bare].astype(np.int64)
         weight[place] = size * v.byte_log
         # log of all paths' mass from a node to its unit's end, nearest nodes first
-        left = end_of[begin] - begin
+        inner = np.flatnonzero(~self.final)
+        left = end_of[inner] - inner
         if left.max(initial=0) < 65536:
             left = left.astype(np.uint16)  # sorted by counting
         by_left = np.argsort(left, kind="stable")
         bounds = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2, dtype=np.int64))
+        inner = inner[by_left].astype(wide)
+        many = self.count[inner]
+        heads = np.r_[0, np.cumsum(many, dtype=np.int64)]
+        edge = np.repeat(self.first[inner] - heads[:-1], many) + np.arange(total_edges)
+        weight_by, stop_by = weight[edge], self.stop[edge]
         total = np.zeros(n)
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            part = by_left[lo:hi]
-            if len(part):
-                value = weight[part] + total[self.stop[part]]
-                heads = np.flatnonzero(np.r_[True, begin[part[1:]] != begin[part[:-1]]])
-                total[begin[part[heads]]] = np.logaddexp.reduceat(value, heads)
+        for lo, hi in itertools.pairwise(bounds.tolist()):
+            if lo < hi:
+                start, end = int(heads[lo]), int(heads[hi])
+                value = weight_by[start:end] + total[stop_by[start:end]]
+                total[inner[lo:hi]] = np.logaddexp.reduceat(value, heads[lo:hi] - start)
         self.log = np.minimum(weight + total[self.stop] - total[begin], 0.0)
         # share of each edge and those before it at the same node; the last takes what rounding leaves
         run = np.cumsum(np.exp(self.log))
@@ -255,6 +265,7 @@ class Lattice:
         """A path from each node to its unit's end: ``(counts, edges)``, by item, then step."""
         active = np.flatnonzero(~self.final[nodes])
         at = nodes[active]
+        counts = np.zeros(len(nodes), np.int64)
         items, edges, step = [], [], 0
         while len(active):
             edge = self.first[at]
@@ -266,12 +277,10 @@ class Lattice:
             items.append(active)
             edges.append(edge)
             at = self.stop[edge]
-            more = ~self.final[at]
-            active, at = active[more], at[more]
             step += 1
-        counts = np.zeros(len(nodes), np.int64)
-        for x in items:
-            counts[x] += 1
+            done = self.final[at]
+            counts[active[done]] = step
+            active, at = active[~done], at[~done]
         offset = np.cumsum(counts) - counts
         out = np.empty(int(counts.sum()), np.int64)
         for k, (x, e) in enumerate(zip(items, edges, strict=True)):
@@ -283,10 +292,11 @@ class Store(Lattice):
     """Lattices of all units asked for so far, one after the other.
 
     A unit is worked out once, until there are some ``limit`` nodes; then all are
-    forgotten, so memory is bounded however many units there are.
+    forgotten but those that more than one call has asked for since the last time, so
+    memory is bounded however many units there are.
     """
 
-    _NODES, _EDGES = ("final", "first", "count"), ("stop", "id", "log", "run")
+    _NODES, _EDGES = ("final", "first", "count", "again"), ("stop", "id", "log", "run")
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 1_000_000) -> None:
         self.vocabulary, self.limit = vocabulary, limit
@@ -297,7 +307,28 @@ class Store(Lattice):
         self.held: dict[str, np.ndarray] = {}
         self.sizes = [0, 0]
 
+    def _keep_known(self) -> None:
+        """Forget the units that were not asked for again; move the others together."""
+        units, at = list(self.place), np.fromiter(self.place.values(), np.int64, len(self.place))
+        stays = self.again[at]
+        if not stays.any():
+            return self._clear()
+        # units stand in the order in which they were put down
+        node = np.repeat(stays, np.diff(np.r_[at, self.sizes[0]]))
+        edge = np.repeat(node, self.count)
+        moved = np.cumsum(node) - 1
+        self.place = dict(zip(itertools.compress(units, stays.tolist()), moved[at[stays]].tolist(), strict=True))
+        held = {name: getattr(self, name)[node] for name in self._NODES}
+        held |= {name: getattr(self, name)[edge] for name in self._EDGES}
+        held["first"] = np.cumsum(held["count"], dtype=held["first"].dtype) - held["count"]
+        held["stop"] = moved[held["stop"]].astype(held["stop"].dtype)
+        held["again"][:] = False
+        self.held, self.sizes = held, [len(held["final"]), len(held["stop"])]
+        for name, values in held.items():
+            setattr(self, name, values)
+
     def _append(self, part: Lattice) -> None:
+        part.again = np.zeros(len(part.final), bool)
         for which, names in enumerate((self._NODES, self._EDGES)):
             size = self.sizes[which]
             more = len(getattr(part, names[0]))
@@ -315,18 +346,28 @@ class Store(Lattice):
                 setattr(self, name, held[: size + more])
         self.sizes = [len(self.final), len(self.stop)]
 
+    def _find(self, units: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The node of each unit, -1 where it is new, and the new units."""
+        at = np.fromiter(map(self.place.get, units, itertools.repeat(-1)), np.int64, len(units))
+        return at, list(itertools.compress(units, (at < 0).tolist()))
+
     def nodes(self, units: list[str]) -> np.ndarray:
-        """The node where each unit begins."""
-        distinct = dict.fromkeys(units)
-        new = [u for u in distinct if u not in self.place]
-        if new and self.sizes[0] and self.sizes[0] + 2 * len(new) + sum(map(len, new)) > self.limit:
-            self._clear()
-            new = list(distinct)
+        """The node where each of these different units begins."""
+        at, new = self._find(units)
+        for forget in (self._keep_known, self._clear):
+            if not new or self.sizes[0] + 2 * len(new) + sum(map(len, new)) <= self.limit:
+                break
+            forget()
+            at, new = self._find(units)
+        if self.sizes[0]:
+            self.again[at[at >= 0]] = True
         if new:
             part = Lattice(self.vocabulary, [_MARK + u for u in new])
-            self.place.update(zip(new, (part.starts + self.sizes[0]).tolist(), strict=True))
+            begin = part.starts + self.sizes[0]
+            self.place.update(zip(new, begin.tolist(), strict=True))
             self._append(part)
-        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+            at[at < 0] = begin
+        return at
 
 
 def units_of(text: str) -> list[str]:
@@ -346,6 +387,40 @@ def units_of(text: str) -> list[str]:
     return out + [_MARK * (spaces - 1)] if spaces else out
 
 
+def _split(texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """``units_of`` each text: how many it has, the different ones, the place of each among them."""
+    counts = np.zeros(len(texts), np.int64)
+    # texts without runs of spaces are cut and their words numbered outside Python
+    plain, odd = [], []
+    for i, text in enumerate(texts):
+        if text:
+            text = text.replace(_MARK, " ")
+            (odd if "  " in f" {text} " else plain).append((i, text))
+    try:
+        words = pc.split_pattern(pa.array([t for _, t in plain], pa.string()), " ")
+    except UnicodeEncodeError:  # half a surrogate pair
+        odd, plain = sorted(odd + plain), []
+        words = pa.array([], pa.list_(pa.string()))
+    coded = words.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    counts[[i for i, _ in plain]] = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    of_plain = coded.indices.to_numpy(zero_copy_only=False)
+    if not odd:
+        return counts, distinct, of_plain
+    known = {u: k for k, u in enumerate(distinct)}
+    of_odd = []
+    for i, text in odd:
+        units = units_of(text)
+        counts[i] = len(units)
+        of_odd += [known.setdefault(u, len(known)) for u in units]
+    is_odd = np.zeros(len(texts), bool)
+    is_odd[[i for i, _ in odd]] = True
+    is_odd = np.repeat(is_odd, counts)
+    code = np.empty(len(is_odd), np.int64)
+    code[~is_odd], code[is_odd] = of_plain, of_odd
+    return counts, list(known), code
+
+
 # ---------------------------------------------------------------------------
 # Best-first search
 # ---------------------------------------------------------------------------
@@ -372,7 +447,7 @@ def _open(row: _Row, lattice: Lattice, wanted: int, since: int, excluded: tuple[
     parts: list[np.ndarray] = []
     # regions further down have no more mass than the prefix that leads to them
     while reach < len(path) and prefix > least - _REACH:
-        block = log[path[reach : reach + 512]]
+        block = log[path[reach : reach + _BLOCK]]
         before = prefix + np.cumsum(block) - block
         with np.errstate(divide="ignore"):
             off = before + np.log(-np.expm1(block))
@@ -403,6 +478,51 @@ def _open(row: _Row, lattice: Lattice, wanted: int, since: int, excluded: tuple[
         heapq.heappush(row.regions, (-float(value[k]), number, at, used))
 
 
+def _open_all(turns: list[tuple[_Row, int, tuple[int, ...]]], lattice: Lattice, wanted: int) -> None:
+    """``_open`` for many rows; the few that one block does not decide go there."""
+    for begin in range(0, len(turns), _TOGETHER):
+        part = turns[begin : begin + _TOGETHER]
+        blocks = [row.paths[-1][since : since + _BLOCK] for row, since, _ in part]
+        sizes = np.fromiter(map(len, blocks), np.int64, len(part))
+        log = np.zeros((len(part), int(sizes.max())))
+        log[np.arange(log.shape[1]) < sizes[:, None]] = lattice.log[np.concatenate(blocks)]
+        prefix = np.array([lattice.log[row.paths[-1][:since]].sum() if since else 0.0 for row, since, _ in part])
+        before = prefix[:, None] + np.cumsum(log, axis=1) - log
+        with np.errstate(divide="ignore"):
+            mass = before + np.log(-np.expm1(log))  # none where a path has ended
+        whole = np.ones(len(part), bool)
+        for i, (row, since, excluded) in enumerate(part):
+            if excluded and sizes[i]:
+                choice = _choice(lattice, _start(lattice, row, len(row.paths) - 1, since), excluded)
+                mass[i, 0] = before[i, 0] + np.logaddexp.reduce(lattice.log[choice]) if choice else -np.inf
+            if since + sizes[i] < len(row.paths[-1]):
+                least = np.partition(mass[i], -wanted)[-wanted] if sizes[i] >= wanted else -np.inf
+                whole[i] = prefix[i] + log[i].sum() <= least - _REACH
+        here = np.flatnonzero(whole & (mass > -np.inf).any(axis=1))
+        salts = []
+        for i in here.tolist():
+            row = part[i][0]
+            row.number += 1
+            salts.append((int(row.seed) + row.number * 0x632BE59BD9B4E019) & (2**64 - 1))
+        if salts:
+            mass = mass[here]
+            u = _uniform(np.array(salts, np.uint64)[:, None], np.arange(mass.shape[1]))
+            bound = np.array([part[i][0].values[-1] for i in here.tolist()])[:, None]
+            value = -np.logaddexp(-bound, -(mass - np.log(-np.log(u))))
+            for _ in range(min(wanted, mass.shape[1])):
+                best = value.argmax(axis=1)
+                for j, (i, k) in enumerate(zip(here.tolist(), best.tolist(), strict=True)):
+                    if mass[j, k] > -np.inf:
+                        row, since, excluded = part[i]
+                        path, at = row.paths[-1], since + k
+                        used = excluded if k == 0 and excluded else (int(path[at]),)
+                        heapq.heappush(row.regions, (-float(value[j, k]), len(row.paths) - 1, at, used))
+                mass[np.arange(len(here)), best] = value[np.arange(len(here)), best] = -np.inf
+        for i in np.flatnonzero(~whole).tolist():
+            row, since, excluded = part[i]
+            _open(row, lattice, wanted, since, excluded)
+
+
 def _choice(lattice: Lattice, node: int, used: tuple[int, ...]) -> list[int]:
     """The edges of a node that are not used up."""
     lo = int(lattice.first[node])
@@ -430,17 +550,11 @@ def sample(
     """
     if k < 1:
         raise ValueError("at least one segmentation has to be asked for")
-    every: list[str] = []
-    counts = np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        if text:
-            units = units_of(text)
-            counts[i] = len(units)
-            every += units
-    if not every:
+    counts, distinct, code = _split(texts)
+    if not len(code):
         return [[] for _ in texts]
     lattice = store or Store(vocabulary)
-    nodes = lattice.nodes(every)
+    nodes = lattice.nodes(distinct)[code]
     offset = np.cumsum(counts) - counts
     row_of = np.repeat(np.arange(len(texts)), counts)
     seeds = _mix(np.asarray(seeds, np.uint64))
@@ -455,7 +569,7 @@ def sample(
         lo, hi = int(offset[i]), int(offset[i] + counts[i])
         noise = float(-np.log(-np.log(_uniform(seeds[i : i + 1], 0)))[0])
         rows[i] = _Row(nodes[lo:hi], seeds[i], [edges[at[lo] : at[hi]]], [steps[lo:hi]], [noise], [])
-        _open(rows[i], lattice, k, 0, ())
+    _open_all([(row, 0, ()) for row in rows.values()], lattice, k)
     for number in range(1, k):
         turns, starts, owners, units = [], [], [], []
         for i, row in rows.items():
@@ -478,7 +592,7 @@ def sample(
             np.concatenate(starts), keys(np.concatenate(owners), np.concatenate(units), number)
         )
         at = np.r_[0, np.cumsum(steps)]
-        item = 0
+        item, opened = 0, []
         for (i, value, parent, step, used, edge, unit), own in zip(turns, starts, strict=True):
             row, size = rows[i], len(own)
             before = row.steps[parent][:unit]
@@ -491,7 +605,8 @@ def sample(
             )
             row.values.append(value)
             item += size
-            _open(row, lattice, k - number, step, (*used, edge))
+            opened.append((row, step, (*used, edge)))
+        _open_all(opened, lattice, k - number)
     out: list[list[tuple]] = [[] for _ in texts]
     for i, row in rows.items():
         limit = -row.regions[0][0] if row.regions else -np.inf

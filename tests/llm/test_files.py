@@ -370,6 +370,52 @@ def test_segments_come_back_as_text_wherever_they_are_made(spark):
     assert segment.segmentations(df.limit(0)).count() == 0
 
 
+def test_lattices_asked_for_again_are_kept_when_others_are_forgotten(vocabulary, monkeypatch):
+    built = []
+
+    class Counted(segment.Lattice):
+        def __init__(self, vocabulary, units):
+            built.extend(units)
+            super().__init__(vocabulary, units)
+
+    texts = [f"often seen  words\n{'x' * n} new{n}é {chr(0x4E00 + n)} end" for n in range(1, 40)]
+    monkeypatch.setattr(segment, "Lattice", Counted)
+    store = segment.Store(vocabulary, 300)
+    got = [segment.sample(vocabulary, [t], np.array([i]), 3, store) for i, t in enumerate(texts)]
+    assert len(store.final) <= 300 + len(texts[-1]) * 2
+    assert built.count(segment._MARK + "often") == 1
+    monkeypatch.undo()
+    for i, (t, rows) in enumerate(zip(texts, got, strict=True)):
+        for a, b in zip(rows[0], segment.sample(vocabulary, [t], np.array([i]), 3)[0], strict=True):
+            assert a[0].tolist() == b[0].tolist() and a[1:] == b[1:]
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_regions_opened_together_are_those_opened_alone(vocabulary, monkeypatch, k):
+    words = ["the", "thereof", "ñandú", "x", "  ", "abc\nabc", "中文"]
+    texts = [" ".join(words[(i * j) % 7] for j in range(n)) for i, n in enumerate([1, 3, 40, 700, 2, 300])]
+    seeds = np.arange(len(texts))
+    together = segment.sample(vocabulary, texts, seeds, k)
+
+    def alone(turns, lattice, wanted):
+        for row, since, excluded in turns:
+            segment._open(row, lattice, wanted, since, excluded)
+
+    monkeypatch.setattr(segment, "_open_all", alone)
+    for a, b in zip(together, segment.sample(vocabulary, texts, seeds, k), strict=True):
+        assert [(x[0].tolist(), *x[1:]) for x in a] == [(x[0].tolist(), *x[1:]) for x in b]
+
+
+def test_texts_are_cut_together_as_each_alone(vocabulary):
+    texts = ["a b", None, "", "  two  runs ", "▁mark▁ed", " ", "a\n b", "b a", "half \ud800 pair"]
+    for rows in (texts, texts[:-1]):
+        counts, distinct, code = segment._split(rows)
+        units = [segment.units_of(t) if t else [] for t in rows]
+        assert counts.tolist() == [len(u) for u in units]
+        assert [distinct[c] for c in code] == [u for row in units for u in row]
+        assert len(set(distinct)) == len(distinct)
+
+
 def test_batches_of_texts_are_bounded_by_bytes(spark):
     """Ten thousand rows were one batch, held by executor and worker, whatever they take."""
 
