@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from caseloom.errors import HeaderNotFound
 from caseloom.settings import DAILY_SHEET, EARLIER_LIMITS, INPATIENT_SHEET, OUTPATIENT_SHEET
+from caseloom.plans import silver
+from caseloom.session import tune
 from caseloom.sources import landing
 
 
@@ -190,3 +192,59 @@ def test_landed_cells_are_scanned_once(spark):
     read = landing.read_sheets(cells.mapInArrow(passed, cells.schema), [OUTPATIENT_SHEET, INPATIENT_SHEET])
     assert [read[s.sheet].count() for s in (OUTPATIENT_SHEET, INPATIENT_SHEET)] == [3, 1]
     assert seen.value == len([x for x in book if x[4] is not None])
+
+
+def test_registry_rows_are_read_from_columns_as_from_maps(spark):
+    """The bronze of a run takes a cell out of a struct: no map is built and searched for every row."""
+    book = fx.workbook("a.xlsx", three_rows(), inpatient=[{"hospital": "H", "nombre": "N"}])
+    cells = fx.cell_table(spark, book)
+    specs = [OUTPATIENT_SHEET, INPATIENT_SHEET]
+    columns, maps = landing.read_columns(cells, specs), landing.read_sheets(cells, specs)
+    for spec in specs:
+        wide = columns[spec.sheet].collect()
+        got = {(r.file, r.r): {k: tuple(v) for k, v in r.cells.asDict().items() if v is not None} for r in wide}
+        rows = maps[spec.sheet].collect()
+        assert got == {(r.file, r.r): {k: tuple(v) for k, v in r.cells.items()} for r in rows}
+        assert got
+    bronze = silver._to_bronze(columns[OUTPATIENT_SHEET.sheet], "seguimiento", 0, OUTPATIENT_SHEET, "s")
+    assert "map_from_entries" not in bronze._jdf.queryExecution().toString()
+
+
+def test_keys_are_told_by_row_as_by_cell(spark):
+    """A row with a key's text that is no key, or stands beyond the limits, holds none."""
+    key, other = OUTPATIENT_SHEET.keys
+    rows = [
+        ("a", fx.OUT, 1, 1, f"x {key}", "text"),
+        ("a", fx.OUT, 2, 1, f" {key.lower()} ", "text"),
+        ("a", fx.OUT, 2, 2, f"{other}S", "text"),
+        ("a", fx.OUT, 3, 1, "y", "text"),
+        ("a", fx.OUT, 3, 2, f"{other}: z", "text"),
+        ("a", fx.OUT, 4, 201, key, "text"),
+        ("a", fx.OUT, 51, 1, key, "text"),
+        ("a", fx.IN, 2, 1, key, "text"),
+    ]
+    cells = fx.cell_table(spark, rows)
+    limited = replace(OUTPATIENT_SHEET, **EARLIER_LIMITS)
+
+    def found(*specs):
+        got = landing._sheet_rows(cells, specs).collect()
+        return {(r.sheet, r.r): (r._k0, r._k1) for r in got if r._k0 or r._k1}
+
+    near = {(fx.OUT, 2): (True, False), (fx.OUT, 3): (False, True)}
+    far = {(fx.OUT, 4): (True, False), (fx.OUT, 51): (True, False)}
+    assert found(limited, INPATIENT_SHEET) == near
+    assert found(OUTPATIENT_SHEET, INPATIENT_SHEET) == near | far
+    # a key is sought once a row, not once a cell: the scan only tells which rows may hold one
+    plan = landing._sheet_rows(cells, [OUTPATIENT_SHEET])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan[plan.index("Aggregate") :]
+
+
+def test_many_sheets_written_side_by_side_stay_whole(spark, tmp_path):
+    """More sheets than files a task keeps open at once, in turn."""
+    tune(spark)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    df = spark.range(3000).select(F.concat(F.lit("s"), F.col("id") % 23).alias("sheet"), "id").coalesce(1)
+    df.write.partitionBy("sheet").parquet(str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert {(r.id, r.sheet) for r in back.collect()} == {(i, f"s{i % 23}") for i in range(3000)}
+    assert back.count() == 3000
